@@ -9,22 +9,71 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# what separates two terms in the standard analyzer
+# The characters terms are made of.
+WORD = r"[\p{L}\p{N}]"
+LETTER = r"\p{L}"
 SEPARATORS = r"[^\p{L}\p{N}]+"
 NON_LETTERS = r"[^\p{L}]+"
 
 
 @dataclass(frozen=True)
 class Analyzer:
-    """``column`` splits stored text inside the JVM, ``literal`` splits a query value."""
+    """``column`` splits stored text inside the JVM, ``literal`` splits a query value.
+
+    Where terms are just the runs of a character class in the lower-cased text, ``word``
+    names it. Then literal terms are found by scanning the text, which spares building
+    an array of all its terms.
+    """
 
     name: str
     column: Callable[[Column], Column]
     literal: Callable[[str], list[str]]
-    # every term is a lower-cased substring of the text, so ``contains`` can pre-filter
-    substring_terms: bool = True
+    word: str | None = None
     synonyms: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
+    def is_term(self, value: str) -> bool:
+        """A value that the analyzer could have produced."""
+        return self.literal(value) == [value]
+
+    def pattern(self, term: str) -> str:
+        """A whole term. The literal comes first, so that most positions fail at once."""
+        t = re.escape(term)
+        return rf"{t}(?!{self.word})(?<!{self.word}{t})"
+
+    def phrase_pattern(self, terms: Sequence[str]) -> str:
+        """The first term where the others follow; only the first is consumed, so
+        occurrences may overlap."""
+        first, gap = re.escape(terms[0]), f"(?:(?!{self.word})(?s:.))+"
+        rest = "".join(gap + re.escape(t) for t in terms[1:])
+        return rf"{first}(?={rest}(?!{self.word}))(?<!{self.word}{first})" if rest else self.pattern(terms[0])
+
+    def length(self, text: Column) -> Column:
+        """Number of terms."""
+        if self.word is None:
+            return F.size(self.column(text))
+        return F.regexp_count(F.lower(text), F.lit(f"{self.word}+"))
+
+    def frequency(self, text: Column, term: str) -> Column:
+        """Occurrences of a literal term."""
+        if self.word is None:
+            toks = self.column(text)
+            return F.size(toks) - F.size(F.array_remove(toks, term))
+        if not self.is_term(term):
+            return F.when(text.isNotNull(), F.lit(0))
+        low = F.lower(text)
+        return F.when(F.contains(low, F.lit(term)), F.regexp_count(low, F.lit(self.pattern(term)))).when(
+            text.isNotNull(), F.lit(0))
+
+    def phrase_frequency(self, text: Column, terms: Sequence[str]) -> Column:
+        if self.word is None:
+            return phrase_frequency(self.column(text), terms)
+        low = F.lower(text)
+        mentioned = F.contains(low, F.lit(terms[0]))
+        for t in terms[1:]:
+            mentioned = mentioned & F.contains(low, F.lit(t))
+        return F.when(mentioned, F.regexp_count(low, F.lit(self.phrase_pattern(terms)))).when(
+            text.isNotNull(), F.lit(0))
+
 
 def _split(text: Column, separators: str) -> Column:
     # only the ends can be empty: the separator pattern is greedy
@@ -35,19 +84,16 @@ STANDARD = Analyzer(
     "standard",
     lambda c: _split(c, SEPARATORS),
     lambda s: re.findall(r"[^\W_]+", s.lower()),
+    word=WORD,
 )
 SIMPLE = Analyzer(
     "simple",
     lambda c: _split(c, NON_LETTERS),
     lambda s: re.findall(r"[^\W\d_]+", s.lower()),
+    word=LETTER,
 )
-WHITESPACE = Analyzer(
-    "whitespace",
-    lambda c: F.array_remove(F.split(c, r"\s+"), ""),
-    str.split,
-    substring_terms=False,
-)
-KEYWORD = Analyzer("keyword", lambda c: F.array(c), lambda s: [s], substring_terms=False)
+WHITESPACE = Analyzer("whitespace", lambda c: F.array_remove(F.split(c, r"\s+"), ""), str.split)
+KEYWORD = Analyzer("keyword", lambda c: F.array(c), lambda s: [s])
 
 ANALYZERS = {a.name: a for a in (STANDARD, SIMPLE, WHITESPACE, KEYWORD)}
 
@@ -68,8 +114,7 @@ def synonym_analyzer(groups: Sequence[Sequence[str]], base: Analyzer = STANDARD)
     def literal(text: str) -> list[str]:
         return [head.get(t, t) for t in base.literal(text)]
 
-    return Analyzer("synonym", column, literal, substring_terms=False,
-                    synonyms={g[0]: tuple(g) for g in groups})
+    return Analyzer("synonym", column, literal, synonyms={g[0]: tuple(g) for g in groups})
 
 
 def tokens(text: Column | str, analyzer: Analyzer | str = STANDARD) -> Column:
@@ -80,7 +125,9 @@ def tokens(text: Column | str, analyzer: Analyzer | str = STANDARD) -> Column:
 
 
 def token_count(text: Column | str, analyzer: Analyzer | str = STANDARD) -> Column:
-    return F.size(tokens(text, analyzer))
+    if isinstance(analyzer, str):
+        analyzer = ANALYZERS[analyzer]
+    return analyzer.length(F.col(text) if isinstance(text, str) else text)
 
 
 def term_array(terms: Sequence[str]) -> Column:

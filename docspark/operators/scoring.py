@@ -30,13 +30,8 @@ def tf_norm(tf: Column, length: Column, avg_length: Column, k1: float = K1, b: f
     return tf / (tf + k1 * (1.0 - b + b * length / avg_length))
 
 
-def term_frequency(toks: Column, term: str) -> Column:
-    """Occurrences of a literal term, without a lambda so that it stays in generated code."""
-    return F.size(toks) - F.size(F.array_remove(toks, term))
-
-
 class _Scoring:
-    """The scoring side of a Context: per text field a token, a length and a frequency column."""
+    """The scoring side of a Context: per text field a length, per term a frequency column."""
 
     def __init__(self, schema: DocSchema, wanted: dict[str, list[str]], similarity: str):
         self.schema, self.wanted, self.similarity = schema, wanted, similarity
@@ -48,39 +43,33 @@ class _Scoring:
 
     def statistics(self, docs: DataFrame) -> Column:
         """One struct of corpus numbers as a scalar subquery."""
-        toks = [self.schema.field(f).analyzer.column(F.col(self.schema.field(f).stored))
-                .alias(self._name("tok", f)) for f in self.wanted]
-        aggs = []
+        counts, aggs = [], []
         for f, terms in self.wanted.items():
-            tok = F.col(self._name("tok", f))
-            length = F.greatest(F.size(tok), F.lit(0))
-            aggs.append(F.count_if(length > 0).cast("double").alias(self._name("n", f)))
-            aggs.append((F.sum(length) / F.nullif(F.count_if(length > 0), F.lit(0)))
-                        .cast("double").alias(self._name("avg", f)))
-            aggs += [F.count_if(F.array_contains(tok, t)).cast("double").alias(self._name("df", f, t))
-                     for t in terms]
-        one = docs.select(*toks).agg(F.struct(*aggs).alias("__stats"))
+            spec = self.schema.field(f)
+            length, text = F.col(self._name("len", f)), F.col(spec.stored)
+            counts.append(F.coalesce(spec.analyzer.length(text), F.lit(0)).alias(self._name("len", f)))
+            n = F.count_if(length > 0)
+            aggs.append(n.cast("double").alias(self._name("n", f)))
+            aggs.append((F.sum(length) / F.nullif(n, F.lit(0))).cast("double").alias(self._name("avg", f)))
+            for t in terms:
+                counts.append((spec.analyzer.frequency(text, t) > 0).alias(self._name("has", f, t)))
+                aggs.append(F.count_if(self._name("has", f, t)).cast("double").alias(self._name("df", f, t)))
+        one = docs.select(*counts).agg(F.struct(*aggs).alias("__stats"))
         return one.scalar()
 
     def prepare(self, hits: DataFrame, docs: DataFrame, only: Column | None = None) -> DataFrame:
-        """Tokens once per matching row (where ``only`` holds), then lengths and
-        frequencies from them."""
+        """Lengths and frequencies of the matching rows (of those where ``only`` holds)."""
         if not self.wanted:
             return hits
-        cols = {}
-        for f in self.wanted:
-            spec = self.schema.field(f)
-            toks = spec.analyzer.column(F.col(spec.stored))
-            cols[self._name("tok", f)] = toks if only is None else F.when(only, toks)
-        out = hits.withColumns(cols)
         counts = {}
         for f, terms in self.wanted.items():
-            tok = F.col(self._name("tok", f))
-            counts[self._name("len", f)] = F.greatest(F.size(tok), F.lit(0)).cast("double")
+            spec = self.schema.field(f)
+            text = F.col(spec.stored) if only is None else F.when(only, F.col(spec.stored))
+            counts[self._name("len", f)] = F.coalesce(spec.analyzer.length(text), F.lit(0)).cast("double")
             for t in terms:
-                counts[self._name("tf", f, t)] = term_frequency(tok, t).cast("double")
-        out = out.withColumns(counts)
-        return out.withColumn("__stats", self.statistics(docs))
+                counts[self._name("tf", f, t)] = F.coalesce(
+                    spec.analyzer.frequency(text, t), F.lit(0)).cast("double")
+        return hits.withColumns(counts).withColumn("__stats", self.statistics(docs))
 
     def _weight(self, field: str, freq: Column, idf_: Column) -> Column:
         if self.similarity == "boolean":
@@ -98,13 +87,14 @@ class _Scoring:
         return idf(n, df)
 
     def term(self, field: str, term: str) -> Column:
-        freq = F.coalesce(F.col(self._name("tf", field, term)), F.lit(0.0))
+        freq = F.col(self._name("tf", field, term))
         return F.when(freq > 0, self._weight(field, freq, self._idf(field, term))).otherwise(F.lit(0.0))
 
     def phrase(self, field: str, terms: Sequence[str]) -> Column:
         if not terms:
             return F.lit(0.0)
-        freq = A.phrase_frequency(F.col(self._name("tok", field)), terms).cast("double")
+        spec = self.schema.field(field)
+        freq = spec.analyzer.phrase_frequency(F.col(spec.stored), terms).cast("double")
         total = sum((self._idf(field, t) for t in terms), F.lit(0.0))
         return F.when(freq > 0, self._weight(field, freq, total)).otherwise(F.lit(0.0))
 
@@ -278,26 +268,20 @@ def function_score(base: Column, functions: Sequence[tuple[Column | None, Column
 def postings(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(id, doc_len, term, tf)``: one row per distinct term of a document.
 
-    The occurrences of one document are counted inside its row, as run lengths of the
-    sorted terms (linear in the document), so a stop word costs one row per document and
-    nothing is shuffled.
+    All terms of a document are in one task, which counts them before the shuffle. The key
+    starts with the document, so a stop word is no hot group; and rows that are already
+    partitioned by document are not shuffled at all.
     """
-    toks = docs.select(F.col(id), F.sort_array(analyzer.column(F.col(text))).alias("t"))
-    toks = toks.withColumn("doc_len", F.size("t")).where("doc_len > 0")
-    t = F.col("t")
-    starts = F.filter(F.sequence(F.lit(0), F.col("doc_len") - 1),
-                      lambda i: (i == 0) | (F.get(t, i - 1) != F.get(t, i)))
-    runs = toks.withColumn("s", starts)
-    counted = F.transform("s", lambda s, i: F.struct(
-        F.get(t, s).alias("term"),
-        (F.coalesce(F.get(F.col("s"), i + 1), F.col("doc_len")) - s).alias("tf")))
-    return (runs.select(id, "doc_len", F.explode(counted).alias("p"))
-            .select(id, "doc_len", "p.term", "p.tf"))
+    toks = docs.select(id, analyzer.column(F.col(text)).alias("t"))
+    # an inner explode would make Catalyst test the size first, by tokenizing twice
+    each = toks.select(id, F.size("t").alias("doc_len"), F.explode_outer("t").alias("term"))
+    return each.where(F.col("term").isNotNull()).groupBy(id, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def positions(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(id, term, pos)``: only where positions are asked for."""
-    return docs.select(id, F.posexplode(analyzer.column(F.col(text))).alias("pos", "term"))
+    rows = docs.select(id, F.posexplode_outer(analyzer.column(F.col(text))).alias("pos", "term"))
+    return rows.where(F.col("term").isNotNull())
 
 
 def document_frequencies(post: DataFrame) -> DataFrame:
@@ -305,10 +289,10 @@ def document_frequencies(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(docs: DataFrame, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
+def vocabulary(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(term, df, freq)`` of a text column, pre-aggregated in every task."""
-    rows = postings(docs.select(F.lit(0).alias("_d"), text), "_d", text, analyzer)
-    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))
+    return postings(docs, id, text, analyzer).groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))
 
 
 # --- more like this -----------------------------------------------------------------------------------
@@ -335,9 +319,9 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
         own = postings(docs.join(sources, id, "left_semi"), id, text, analyzer)
     else:
         own = post.join(sources, id, "left_semi")
-    n_stats = (docs.select(F.size(analyzer.column(F.col(text))).alias("l")).where("l > 0")
-               .agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
-                             F.avg("l").alias("avg")).alias("s")).scalar())
+    length = analyzer.length(F.col(text))
+    n_stats = (docs.select(F.when(length > 0, length).alias("l"))
+               .agg(F.struct(F.count("l").cast("double").alias("n"), F.avg("l").alias("avg")).alias("s")).scalar())
     usable = F.col("tf") >= min_term_freq
     if min_word_len:
         usable &= F.length("term") >= min_word_len
@@ -367,6 +351,7 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     scored = (shared.groupBy("source_id", id)
               .agg(F.sum("_s").alias("_score"), F.count(F.lit(1)).alias("_shared"), need.alias("_need"))
               .where("_shared >= _need"))
-    rank = Window.partitionBy("source_id").orderBy(F.desc("_score"), F.asc(id))
+    # a distributed sum varies in its last digits; copies must still tie and fall back to the id
+    rank = Window.partitionBy("source_id").orderBy(F.desc(F.round("_score", 9)), F.asc(id))
     return (scored.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= size)
             .select("source_id", id, "_score", "rank"))

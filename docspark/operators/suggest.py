@@ -42,7 +42,7 @@ def term_candidates(vocab: DataFrame, words: Sequence[str], *, max_edits: int =
     return out
 
 
-def suggest_term(docs: DataFrame, text: str, request: str, *, size: int = 5, mode: str = "missing",
+def suggest_term(docs: DataFrame, id: str, text: str, request: str, *, size: int = 5, mode: str = "missing",
                  sort: str = "score", vocab: DataFrame | None = None,
                  analyzer: A.Analyzer = A.STANDARD, **limits) -> DataFrame:
     """Per word of the request the best similar terms: ``(position, token, term, score, df, rank)``.
@@ -52,7 +52,7 @@ def suggest_term(docs: DataFrame, text: str, request: str, *, size: int = 5, mod
     """
     if mode not in ("missing", "popular", "always"):
         raise ValueError(f"unknown suggest mode {mode!r}")
-    vocab = vocab if vocab is not None else vocabulary(docs, text, analyzer)
+    vocab = vocab if vocab is not None else vocabulary(docs, id, text, analyzer)
     words = analyzer.literal(request)
     found = term_candidates(vocab, words, **limits)
     if mode != "always":
@@ -66,17 +66,15 @@ def suggest_term(docs: DataFrame, text: str, request: str, *, size: int = 5, mod
     return top_per_key(found, "position", order, size, rank="rank")
 
 
-def bigrams(docs: DataFrame, text: str, first: Sequence[str] | None = None,
-            analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
+def bigrams(docs: DataFrame, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(w1, w2, n)``: how often two terms follow each other."""
-    toks = docs.select(analyzer.column(F.col(text)).alias("t")).where(F.size("t") > 1)
-    n = F.size("t")
-    pairs = F.arrays_zip(F.slice("t", 1, n - 1).alias("a"), F.slice("t", 2, n - 1).alias("b"))
-    rows = toks.select(F.explode(pairs).alias("p")).select(F.col("p.a").alias("w1"), F.col("p.b").alias("w2"))
+    toks = docs.select(analyzer.column(F.col(text)).alias("t"))
+    each = toks.select("t", F.posexplode_outer("t").alias("i", "w1"))
+    rows = each.select("w1", F.get("t", F.col("i") + 1).alias("w2")).where("w2 IS NOT NULL")
     return rows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
 
 
-def suggest_phrase(docs: DataFrame, text: str, request: str, *, candidates: int = 3, size: int = 1,
+def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candidates: int = 3, size: int = 1,
                    smoothing: float = 0.5, error_likelihood: float = 0.95,
                    vocab: DataFrame | None = None, pairs: DataFrame | None = None,
                    analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
@@ -86,7 +84,7 @@ def suggest_phrase(docs: DataFrame, text: str, request: str, *, candidates: int
     best path is built from left to right, one equi-join on the bigram per word. A step
     holds at most ``candidates ** 2`` paths, whatever the size of the collection.
     """
-    vocab = vocab if vocab is not None else vocabulary(docs, text, analyzer)
+    vocab = vocab if vocab is not None else vocabulary(docs, id, text, analyzer)
     pairs = pairs if pairs is not None else bigrams(docs, text, analyzer=analyzer)
     words = analyzer.literal(request)
     near = term_candidates(vocab, words).withColumn(

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .collapse import top_per_key
 
@@ -142,6 +143,7 @@ def knn_batch(docs: DataFrame, queries: DataFrame, vector: str, k: int, *, id: s
     """
     spark = docs.sparkSession
     rows = docs.select(id, vector).where(F.col(vector).isNotNull())
+    q_type, id_type = (to_arrow_type(d.schema[c].dataType) for d, c in ((queries, query_id), (docs, id)))
     schema = f"query_id {queries.schema[query_id].dataType.simpleString()}, " \
              f"{id} {docs.schema[id].dataType.simpleString()}, _score double"
     source = queries.select(F.col(query_id).alias("q"), F.col(vector).alias("v")).where("v IS NOT NULL")
@@ -163,7 +165,8 @@ def knn_batch(docs: DataFrame, queries: DataFrame, vector: str, k: int, *, id: s
                 best = _best(best, _at_least_kth(s, ids, k), k)
             if best is not None and len(best[0]):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_keys[best[0]].tolist()), pa.array(best[1].tolist()), pa.array(best[2])],
+                    [pa.array(q_keys[best[0]].tolist(), q_type), pa.array(best[1].tolist(), id_type),
+                     pa.array(best[2], pa.float64())],
                     names=["query_id", id, "_score"])
 
         part = rows.mapInArrow(nearest, schema)

@@ -323,56 +323,64 @@ _EXACT = {
 # --- operators on an analyzed text value ---------------------------------------------------
 
 
-def _mentions(c: Column, terms: Sequence[str], spec: FieldSpec, combine) -> list[Column]:
-    """A cheap substring test in front of the tokenizer.
-
-    Every term is a substring of the lower-cased text, so most rows are decided
-    without splitting the text at all.
-    """
-    if not spec.analyzer.substring_terms or not terms:
-        return []
-    return [combine(F.contains(F.lower(c), F.lit(t)) for t in terms)]
+def _mentions(c: Column, pieces: Sequence[str], combine) -> Column:
+    """A cheap substring test in front of the pattern: it decides most rows."""
+    return combine(F.contains(F.lower(c), F.lit(t)) for t in pieces)
 
 
 def _text_all(c, terms, spec):
+    terms, an = list(dict.fromkeys(terms)), spec.analyzer
     if not terms:
         return F.lit(False)
-    toks = spec.analyzer.column(c)
-    return _all(_mentions(c, terms, spec, _all) + [A.contains_all(toks, sorted(set(terms)))])
+    if an.word is None:
+        return A.contains_all(an.column(c), terms)
+    if not all(map(an.is_term, terms)):
+        return F.lit(False)
+    return _mentions(c, terms, _all) & _all(F.lower(c).rlike(an.pattern(t)) for t in terms)
 
 
 def _text_any(c, terms, spec):
+    terms, an = list(dict.fromkeys(terms)), spec.analyzer
+    if an.word is None:
+        return A.contains_any(an.column(c), terms) if terms else F.lit(False)
+    terms = [t for t in terms if an.is_term(t)]
     if not terms:
         return F.lit(False)
-    toks = spec.analyzer.column(c)
-    return _all(_mentions(c, terms, spec, _any) + [A.contains_any(toks, sorted(set(terms)))])
+    return _mentions(c, terms, _any) & F.lower(c).rlike("|".join(an.pattern(t) for t in terms))
 
 
 def _text_phrase(c, terms, spec):
+    an = spec.analyzer
     if not terms:
         return F.lit(False)
-    toks = spec.analyzer.column(c)
-    return _all(_mentions(c, terms, spec, _all) + [A.contains_phrase(toks, terms)])
+    if an.word is None:
+        return A.contains_phrase(an.column(c), terms)
+    return _mentions(c, terms, _all) & F.lower(c).rlike(an.phrase_pattern(terms))
 
 
 def _any_token(test):
     def build(c, v, spec, dtype):
-        return F.exists(spec.analyzer.column(c), lambda t: test(t, v))
+        return F.exists(spec.analyzer.column(c), lambda t: test(t, F.lit(v) if test in _LITERAL_TESTS else v))
     return build
 
 
-def _prefiltered(build):
-    """A piece of a term is a piece of the lower-cased text, too."""
-    def with_prefilter(c, v, spec, dtype):
-        inner = build(c, v, spec, dtype)
-        if not spec.analyzer.substring_terms:
-            return inner
-        return F.contains(F.lower(c), F.lit(_no_blanks(v).lower())) & inner
-    return with_prefilter
+_LITERAL_TESTS = (F.contains, F.startswith, F.endswith)
 
 
-def _lower(v):
-    return F.lit(_no_blanks(v).lower())
+def _piece(pattern, test):
+    """A piece of a term: ``pattern`` says where it may lie in a run of term characters."""
+    by_token = _any_token(test)
+
+    def build(c, v, spec, dtype):
+        an, v = spec.analyzer, _no_blanks(v).lower()
+        if an.word is None:
+            return by_token(c, v, spec, dtype)
+        if not an.is_term(v):
+            return F.lit(False)
+        found = F.contains(F.lower(c), F.lit(v))
+        regex = pattern(re.escape(v), an.word)
+        return found & F.lower(c).rlike(regex) if regex else found
+    return build
 
 
 _TEXT = {
@@ -382,11 +390,10 @@ _TEXT = {
     "phrase": lambda c, v, s, t: _text_phrase(c, s.analyzer.literal(str(v)), s),
     "in": lambda c, v, s, t: _any(
         _text_phrase(c, s.analyzer.literal(str(x)), s) for x in v if x is not None),
-    "term": lambda c, v, s, t: _all(
-        _mentions(c, [v], s, _all) + [F.array_contains(s.analyzer.column(c), v)]),
-    "contains": _prefiltered(_any_token(lambda t, v: F.contains(t, _lower(v)))),
-    "starts_with": _prefiltered(_any_token(lambda t, v: F.startswith(t, _lower(v)))),
-    "ends_with": _prefiltered(_any_token(lambda t, v: F.endswith(t, _lower(v)))),
+    "term": lambda c, v, s, t: _text_all(c, [v], s),
+    "contains": _piece(lambda v, w: None, F.contains),
+    "starts_with": _piece(lambda v, w: f"{v}(?<!{w}{v})", F.startswith),
+    "ends_with": _piece(lambda v, w: f"{v}(?!{w})", F.endswith),
     "wildcard": _any_token(lambda t, v: t.rlike(A.wildcard_regex(v.lower()))),
     "regexp": _any_token(lambda t, v: t.rlike(f"^(?:{v})$")),
     "fuzzy": _any_token(lambda t, v: A.within_edits(t, *_fuzzy_edits(v))),
@@ -399,12 +406,8 @@ def _typed_so_far(c, v, spec):
     terms = spec.analyzer.literal(v)
     if not terms:
         return F.lit(False)
-    full, last = terms[:-1], terms[-1]
-    parts = _mentions(c, terms, spec, _all)
-    if full:
-        parts.append(A.contains_all(spec.analyzer.column(c), sorted(set(full))))
-    parts.append(F.exists(spec.analyzer.column(c), lambda t: F.startswith(t, F.lit(last))))
-    return _all(parts)
+    last = _TEXT["starts_with"](c, terms[-1], spec, None)
+    return _text_all(c, terms[:-1], spec) & last if terms[1:] else last
 
 
 # --- operators on the presence of a value ---------------------------------------------------

@@ -19,6 +19,16 @@ def read_index(spark: SparkSession, path: str, format: str = "parquet",
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of an input that has fewer splits than the cluster has cores, over all cores by key.
+
+    A small file is one split however much work its texts are. Large inputs come in
+    many splits and are left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def multi_index(indices: Mapping[str, DataFrame]) -> DataFrame:
     """Several collections as one; missing columns are null, ``_index`` tells the origin."""
     out = None

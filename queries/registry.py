@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docspark.functions import geo
+from docspark.sources.tables import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +21,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # texts are cheap to move and dear to analyze
+        return spread(df, "doc_id") if name == "documents" else df
 
 
 def query(name: str, sql: str | None = None):
@@ -59,7 +64,6 @@ def lon_sql(key: str) -> str:
 
 
 def located(df: DataFrame, key: str, name: str = "location") -> DataFrame:
-    from docspark.functions import geo
     lat = (F.col(key) * 7919) % 170000 / 1000.0 - 85
     lon = (F.col(key) * 104729) % 360000 / 1000.0 - 180
     return df.withColumn(name, geo.make_point(lat, lon))

@@ -45,15 +45,15 @@ def spark_rows(df):
 
 
 def duck_rows(con, sql: str):
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     names = sorted(table.column_names)
     columns = [table.column(n).to_pylist() for n in names]
     return names, sorted((tuple(_plain(v) for v in row) for row in zip(*columns)), key=repr)
 
 
-def difference(df, con, sql: str) -> str | None:
-    """None if equal, else what differs first."""
-    names, rows = spark_rows(df)
+def difference(got, con, sql: str) -> str | None:
+    """None if the rows of :func:`spark_rows` equal those of the SQL, else what differs first."""
+    names, rows = got
     d_names, d_rows = duck_rows(con, sql)
     if names != d_names:
         return f"columns {names} against {d_names}"
