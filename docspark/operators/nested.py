@@ -38,8 +38,10 @@ def nested_score(array: Column | str, predicate: Predicate, score: Predicate,
 
 def include_in_parent(df: DataFrame, array: str, *fields: str) -> DataFrame:
     """Element values as flat arrays of the parent, named ``array_field``."""
-    return df.withColumns({f"{array}_{f}": F.transform(array, lambda x, f=f: x.getField(f))
-                           for f in fields})
+    def values(field: str) -> Column:
+        return F.transform(array, lambda x: x.getField(field))
+
+    return df.withColumns({f"{array}_{f}": values(f) for f in fields})
 
 
 def inner_hits(df: DataFrame, array: str, predicate: Predicate, *, order: Callable | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import analysis as A
@@ -106,13 +106,17 @@ def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candida
     paths = first.select(
         F.col("term").alias("last"), F.array("term").alias("path"), F.col("df").alias("last_df"),
         (F.col("weight") + F.log((F.col("df") + smoothing) / (total + smoothing * distinct))).alias("score"))
-    keep = pairs.join(options.select(F.col("term").alias("w2")).distinct(), "w2", "left_semi")
+    keep = (pairs.join(options.select(F.col("term").alias("w2")).distinct(), "w2", "left_semi")
+            .withColumnRenamed("w2", "k2"))
     for i in range(1, len(words)):
-        step = options.where(F.col("position") == i).select(
-            F.col("term").alias("w2"), F.col("df").alias("df2"), "weight", F.lit(1).alias("_one"))
-        joined = (paths.withColumn("_one", F.lit(1)).join(step, "_one")
-                  .join(keep, (F.col("last") == F.col("w1")) & (keep["w2"] == step["w2"]), "left")
-                  .select(step["w2"].alias("w2"), "path", "score", "last_df", "df2", "weight", "n"))
+        # the few options of this place, as one array value
+        step = (options.where(F.col("position") == i)
+                .agg(F.collect_list(F.struct("term", "df", "weight")).alias("o")).scalar())
+        joined = (paths.withColumn("_o", F.explode(step))
+                  .select("last", "path", "score", "last_df", F.col("_o.term").alias("w2"),
+                          F.col("_o.df").alias("df2"), F.col("_o.weight").alias("weight"))
+                  .join(keep, (F.col("last") == F.col("w1")) & (F.col("w2") == F.col("k2")), "left")
+                  .select("w2", "path", "score", "last_df", "df2", "weight", "n"))
         p = F.log((F.coalesce("n", F.lit(0)) + smoothing) / (F.col("last_df") + smoothing * distinct))
         joined = joined.withColumn("score", F.col("score") + F.col("weight") + p).withColumn(
             "path", F.concat("path", F.array("w2")))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators import scoring
+from ..operators.aggs import running_total
 from ..operators.collapse import best_per_key
 from ..schema import DocSchema
 from .criteria import Bool, Context, Criteria, MatchAll, Node, literal
@@ -339,6 +340,18 @@ class Search:
         return self.hits().withColumn("_total", n).withColumn(
             "_pages", F.ceil(F.col("_total") / size).cast("long"))
 
+    def batches(self, size: int = 500, max_results: int | None = None) -> DataFrame:
+        """All hits with the number of the batch they fall in when read in the order of the
+        (numeric or time) id: the distributed form of reading page after page."""
+        key = self.schema.id
+        hits = self._filtered()
+        one = hits.select(key, F.lit(1).alias("_one"))
+        ranked = running_total(one, key, "_one", name="_nr", blocks=1024).select(key, "_nr")
+        if max_results is not None:
+            ranked = ranked.where(F.col("_nr") <= max_results)
+        batch = F.floor((F.col("_nr") - 1) / size).cast("long")
+        return hits.join(ranked.select(key, batch.alias("_batch")), key)
+
     def stream_results(self, max_results: int | None = None):
         """Iterate over everything, one partition at a time ahead of the reader."""
         out = self._filtered()

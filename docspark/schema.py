@@ -131,11 +131,16 @@ class DocSchema:
         specs = [replace(f, column=mapping.get(f.name, f.column)) for f in self.fields.values()]
         return DocSchema(specs, self.id, self.version, self.routing)
 
-    def describe(self, spark) -> DataFrame:
-        """The mapping as data: path, stored column, role, analyzer."""
-        rows = [(f.name, f.stored, f.role, f.analyzer.name if f.role == "text" else None)
-                for f in self.fields.values()]
-        return spark.createDataFrame(rows, "field string, stored string, role string, analyzer string")
+    def describe(self, docs: DataFrame) -> DataFrame:
+        """The mapping as data: path, stored column, role, analyzer, and how many documents
+        have a value. One pass over the data, one row per field."""
+        specs = [f for f in self.fields.values() if self.nested_path(f.name) is None]
+        counts = docs.agg(*[F.count(F.col(f.stored)).alias(f"c{i}") for i, f in enumerate(specs)])
+        rows = [F.struct(F.lit(f.name).alias("field"), F.lit(f.stored).alias("stored"),
+                         F.lit(f.role).alias("role"),
+                         F.lit(f.analyzer.name if f.role == "text" else None).cast("string").alias("analyzer"),
+                         F.col(f"c{i}").alias("documents")) for i, f in enumerate(specs)]
+        return counts.select(F.explode(F.array(*rows)).alias("f")).select("f.*")
 
 
 def stored_value(spec: FieldSpec, column: Column) -> Column:
