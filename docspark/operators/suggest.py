@@ -66,66 +66,72 @@ def suggest_term(docs: DataFrame, id: str, text: str, request: str, *, size: int
     return top_per_key(found, "position", order, size, rank="rank")
 
 
-def bigrams(docs: DataFrame, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
-    """``(w1, w2, n)``: how often two terms follow each other."""
+def bigrams(docs: DataFrame, text: str, analyzer: A.Analyzer = A.STANDARD,
+            among: Sequence[str] | None = None) -> DataFrame:
+    """``(w1, w2, n)``: how often two terms follow each other; with ``among`` only pairs of
+    the given terms."""
     toks = docs.select(analyzer.column(F.col(text)).alias("t"))
     each = toks.select("t", F.posexplode_outer("t").alias("i", "w1"))
-    rows = each.select("w1", F.get("t", F.col("i") + 1).alias("w2")).where("w2 IS NOT NULL")
+    if among is not None:
+        each = each.where(F.col("w1").isin(list(among)))
+    rows = each.select("w1", F.get("t", F.col("i") + 1).alias("w2"))
+    rows = rows.where(F.col("w2").isNotNull() if among is None else F.col("w2").isin(list(among)))
     return rows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
 
 
-def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candidates: int = 3, size: int = 1,
-                   smoothing: float = 0.5, error_likelihood: float = 0.95,
-                   vocab: DataFrame | None = None, pairs: DataFrame | None = None,
-                   analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
+def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candidates: int = 3,
+                   size: int = 1, smoothing: float = 0.5, error_likelihood: float = 0.95,
+                   vocab: DataFrame | None = None, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """Corrected whole phrases ``(phrase, score)`` by a smoothed bigram model.
 
-    Every word competes with its nearest terms (at most ``candidates`` with itself); the
-    best path is built from left to right, one equi-join on the bigram per word. A step
-    holds at most ``candidates ** 2`` paths, whatever the size of the collection.
+    Every word competes with its nearest terms, at most ``candidates`` with itself. Spark
+    counts the vocabulary and, in a second pass, only the neighbours that both are
+    candidates. What comes back is bounded by the request (``candidates`` rows per word, and
+    their pairs), so the best paths through it are put together on the driver.
     """
-    vocab = vocab if vocab is not None else vocabulary(docs, id, text, analyzer)
-    pairs = pairs if pairs is not None else bigrams(docs, text, analyzer=analyzer)
     words = analyzer.literal(request)
-    near = term_candidates(vocab, words).withColumn(
-        "weight", F.lit(math.log(1.0 - error_likelihood)) + F.log("score"))
-    own = vocab.where(F.col("term").isin(words)).select("term", "df")
     spark = docs.sparkSession
-    asked = spark.createDataFrame(list(enumerate(words)), "position int, token string")
-    itself = asked.join(own.withColumnRenamed("term", "token"), "token", "left").select(
-        "position", "token", F.col("token").alias("term"), F.lit(1.0).alias("score"),
-        F.coalesce("df", F.lit(0)).alias("df"), F.lit(math.log(error_likelihood)).alias("weight"))
-    # an unknown word stays a candidate, at the price the smoothing sets
-    options = top_per_key(near.unionByName(itself), "position",
-                          (F.desc("score"), F.desc("df"), F.asc("term")), candidates)
-    options = options.select("position", "term", "df", "weight")
-    size_v = vocab.agg(F.struct(F.count(F.lit(1)).cast("double").alias("v"),
-                                F.sum("freq").cast("double").alias("f")).alias("s")).scalar()
-    total, distinct = size_v["f"], size_v["v"]
-    first = options.where("position = 0")
-    paths = first.select(
-        F.col("term").alias("last"), F.array("term").alias("path"), F.col("df").alias("last_df"),
-        (F.col("weight") + F.log((F.col("df") + smoothing) / (total + smoothing * distinct))).alias("score"))
-    keep = (pairs.join(options.select(F.col("term").alias("w2")).distinct(), "w2", "left_semi")
-            .withColumnRenamed("w2", "k2"))
-    for i in range(1, len(words)):
-        # the few options of this place, as one array value
-        step = (options.where(F.col("position") == i)
-                .agg(F.collect_list(F.struct("term", "df", "weight")).alias("o")).scalar())
-        joined = (paths.withColumn("_o", F.explode(step))
-                  .select("last", "path", "score", "last_df", F.col("_o.term").alias("w2"),
-                          F.col("_o.df").alias("df2"), F.col("_o.weight").alias("weight"))
-                  .join(keep, (F.col("last") == F.col("w1")) & (F.col("w2") == F.col("k2")), "left")
-                  .select("w2", "path", "score", "last_df", "df2", "weight", "n"))
-        p = F.log((F.coalesce("n", F.lit(0)) + smoothing) / (F.col("last_df") + smoothing * distinct))
-        joined = joined.withColumn("score", F.col("score") + F.col("weight") + p).withColumn(
-            "path", F.concat("path", F.array("w2")))
-        paths = joined.groupBy("w2").agg(F.max_by(F.struct("path", "score", "df2"),
-                                                  F.struct("score", "path")).alias("b")).select(
-            F.col("w2").alias("last"), F.col("b.path").alias("path"),
-            F.col("b.df2").alias("last_df"), F.col("b.score").alias("score"))
-    return (paths.select(F.array_join("path", " ").alias("phrase"), "score")
-            .orderBy(F.desc("score"), F.asc("phrase")).limit(size))
+    result = "phrase string, score double"
+    if not words:
+        return spark.createDataFrame([], result)
+    vocab = (vocab if vocab is not None else vocabulary(docs, id, text, analyzer)).persist()
+    near = term_candidates(vocab, words).select(
+        "position", "term", "df", (F.lit(math.log(1.0 - error_likelihood)) + F.log("score")).alias("weight"))
+    own = None
+    for i, word in enumerate(words):
+        part = vocab.where(F.col("term") == word).select(
+            F.lit(i).alias("position"), "term", "df", F.lit(math.log(error_likelihood)).alias("weight"))
+        own = part if own is None else own.unionByName(part)
+    options = top_per_key(near.unionByName(own), "position",
+                          (F.desc("weight"), F.desc("df"), F.asc("term")), candidates)
+    by_place: list[dict[str, tuple[int, float]]] = [{} for _ in words]
+    for r in options.collect():
+        by_place[r["position"]][r["term"]] = (r["df"], r["weight"])
+    sums = vocab.agg(F.count(F.lit(1)).alias("v"), F.sum("freq").alias("f")).first()
+    vocab.unpersist()
+    for i, word in enumerate(words):
+        # an unknown word stays a candidate, at the price the smoothing sets
+        by_place[i].setdefault(word, (0, math.log(error_likelihood)))
+    terms = sorted({t for place in by_place for t in place})
+    pairs = bigrams(docs, text, analyzer, among=terms).collect() if len(words) > 1 else []
+    return spark.createDataFrame(_best_paths(
+        by_place, {(r["w1"], r["w2"]): r["n"] for r in pairs}, sums["v"], sums["f"] or 0,
+        smoothing, size), result)
+
+
+def _best_paths(places, pairs, distinct, total, smoothing, size) -> list[tuple[str, float]]:
+    """The ``size`` best ways through the candidates, keeping ``size`` per last word."""
+    beam = [(w + math.log((df + smoothing) / (total + smoothing * distinct)), (t,), df)
+            for t, (df, w) in places[0].items()]
+    for place in places[1:]:
+        nxt = []
+        for t, (df, w) in place.items():
+            ways = [(s + w + math.log((pairs.get((path[-1], t), 0) + smoothing)
+                                      / (last + smoothing * distinct)), (*path, t), df)
+                    for s, path, last in beam]
+            nxt += sorted(ways, key=lambda x: (-x[0], x[1]))[:size]
+        beam = nxt
+    return [(" ".join(p), s) for s, p, _ in sorted(beam, key=lambda x: (-x[0], x[1]))[:size]]
 
 
 # --- completion ----------------------------------------------------------------------------------

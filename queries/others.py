@@ -42,9 +42,27 @@ def _(t):
     return s.select("token", "term", "df")
 
 
-@query("suggest_phrase")
+_WORDS = ["thatim", "orreh", "the"]
+
+
+@query("suggest_phrase", f"""WITH {VOCAB.replace("count(DISTINCT doc_id) AS df", "count(DISTINCT doc_id) AS df, count(*) AS freq")},
+    st AS (SELECT count(*) AS v, sum(freq)::DOUBLE AS f FROM vocab),
+    q AS (SELECT unnest({_WORDS}) AS token, unnest([0, 1, 2]) AS position),
+    c AS (SELECT position, term, df, ln(1 - 0.95) + ln(1 - levenshtein(term, token) / least(length(term), length(token))::DOUBLE) AS w
+      FROM q JOIN vocab ON left(term, 1) = left(token, 1) WHERE length(term) >= 4 AND levenshtein(term, token) <= 2 AND term <> token
+      UNION ALL SELECT position, token, df, ln(0.95) FROM q JOIN vocab ON term = token),
+    r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY w DESC, df DESC, term) AS r FROM c),
+    o AS (SELECT position, term, df, w FROM r WHERE r <= 3 UNION ALL SELECT position, token, 0, ln(0.95) FROM q
+      WHERE token NOT IN (SELECT term FROM vocab)),
+    b AS (SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM
+      (SELECT {tok('text')} AS w FROM documents)) GROUP BY 1, 2),
+    p AS (SELECT x.term || ' ' || y.term || ' ' || z.term AS phrase, x.w + ln((x.df + 0.5) / (f + 0.5 * v))
+        + y.w + ln((coalesce(b1.n, 0) + 0.5) / (x.df + 0.5 * v)) + z.w + ln((coalesce(b2.n, 0) + 0.5) / (y.df + 0.5 * v)) AS score
+      FROM st, o x JOIN o y ON y.position = 1 JOIN o z ON z.position = 2
+      LEFT JOIN b b1 ON b1.w1 = x.term AND b1.w2 = y.term LEFT JOIN b b2 ON b2.w1 = y.term AND b2.w2 = z.term WHERE x.position = 0)
+    SELECT phrase, round(score, 6) AS score FROM p ORDER BY p.score DESC, phrase LIMIT 3""")
 def _(t):
-    s = suggest.suggest_phrase(t.documents, "doc_id", "text", "thatim orreh the", size=3)
+    s = suggest.suggest_phrase(t.documents, "doc_id", "text", " ".join(_WORDS), size=3)
     return s.withColumn("score", F.round("score", 6))
 
 
