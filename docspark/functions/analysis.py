@@ -35,17 +35,40 @@ class Analyzer:
         """A value that the analyzer could have produced."""
         return self.literal(value) == [value]
 
+    def members(self, term: str) -> list[str]:
+        """What the text may say for a term: its synonyms, or just itself."""
+        return list(self.synonyms.get(term, (term,)))
+
+    def mentioned(self, text: Column, term: str) -> Column:
+        """A cheap test without word boundaries that every occurrence passes."""
+        out = None
+        for m in self.members(term):
+            hit = F.contains(F.lower(text), F.lit(m))
+            out = hit if out is None else out | hit
+        return out
+
     def pattern(self, term: str) -> str:
         """A whole term. The literal comes first, so that most positions fail at once."""
-        t = re.escape(term)
-        return rf"{t}(?!{self.word})(?<!{self.word}{t})"
+        parts = [re.escape(m) for m in self.members(term)]
+        return "|".join(rf"{t}(?!{self.word})(?<!{self.word}{t})" for t in parts)
 
     def phrase_pattern(self, terms: Sequence[str]) -> str:
         """The first term where the others follow; only the first is consumed, so
         occurrences may overlap."""
-        first, gap = re.escape(terms[0]), f"(?:(?!{self.word})(?s:.))+"
-        rest = "".join(gap + re.escape(t) for t in terms[1:])
-        return rf"{first}(?={rest}(?!{self.word}))(?<!{self.word}{first})" if rest else self.pattern(terms[0])
+        gap = f"(?:(?!{self.word})(?s:.))+"
+        each = ["(?:" + "|".join(re.escape(m) for m in self.members(t)) + ")" for t in terms]
+        rest = "".join(gap + t for t in each[1:])
+        if not rest:
+            return self.pattern(terms[0])
+        return rf"(?<!{self.word}){each[0]}(?={rest}(?!{self.word}))"
+
+    def wildcard_pattern(self, pattern: str) -> str | None:
+        """``*`` and ``?`` within one term; None if no term can look like it."""
+        literal = pattern.replace("*", "").replace("?", "")
+        if literal and not self.is_term(literal):
+            return None
+        body = "".join(f"{self.word}*" if c == "*" else self.word if c == "?" else re.escape(c) for c in pattern)
+        return rf"(?<!{self.word}){body}(?!{self.word})(?<={self.word})"
 
     def length(self, text: Column) -> Column:
         """Number of terms."""
@@ -60,19 +83,17 @@ class Analyzer:
             return F.size(toks) - F.size(F.array_remove(toks, term))
         if not self.is_term(term):
             return F.when(text.isNotNull(), F.lit(0))
-        low = F.lower(text)
-        return F.when(F.contains(low, F.lit(term)), F.regexp_count(low, F.lit(self.pattern(term)))).when(
-            text.isNotNull(), F.lit(0))
+        found = F.regexp_count(F.lower(text), F.lit(self.pattern(term)))
+        return F.when(self.mentioned(text, term), found).when(text.isNotNull(), F.lit(0))
 
     def phrase_frequency(self, text: Column, terms: Sequence[str]) -> Column:
         if self.word is None:
             return phrase_frequency(self.column(text), terms)
-        low = F.lower(text)
-        mentioned = F.contains(low, F.lit(terms[0]))
+        mentioned = self.mentioned(text, terms[0])
         for t in terms[1:]:
-            mentioned = mentioned & F.contains(low, F.lit(t))
-        return F.when(mentioned, F.regexp_count(low, F.lit(self.phrase_pattern(terms)))).when(
-            text.isNotNull(), F.lit(0))
+            mentioned = mentioned & self.mentioned(text, t)
+        found = F.regexp_count(F.lower(text), F.lit(self.phrase_pattern(terms)))
+        return F.when(mentioned, found).when(text.isNotNull(), F.lit(0))
 
 
 def _split(text: Column, separators: str) -> Column:
@@ -101,9 +122,9 @@ ANALYZERS = {a.name: a for a in (STANDARD, SIMPLE, WHITESPACE, KEYWORD)}
 def synonym_analyzer(groups: Sequence[Sequence[str]], base: Analyzer = STANDARD) -> Analyzer:
     """Terms of one group match each other.
 
-    Each group is folded onto its first member, in the stored text and in the query
-    alike, so one term is compared instead of a disjunction. The groups are settings
-    of the analyzer (a short literal map), never data.
+    A group goes by its first member: query values are folded onto it, and it is found in
+    a text where any member stands. The groups are settings of the analyzer (a short
+    literal map), never data.
     """
     head = {term: group[0] for group in groups for term in group}
 
@@ -114,7 +135,8 @@ def synonym_analyzer(groups: Sequence[Sequence[str]], base: Analyzer = STANDARD)
     def literal(text: str) -> list[str]:
         return [head.get(t, t) for t in base.literal(text)]
 
-    return Analyzer("synonym", column, literal, synonyms={g[0]: tuple(g) for g in groups})
+    return Analyzer("synonym", column, literal, word=base.word,
+                    synonyms={g[0]: tuple(g) for g in groups})
 
 
 def tokens(text: Column | str, analyzer: Analyzer | str = STANDARD) -> Column:

@@ -109,7 +109,8 @@ def _ends_after(value: Column, lo: Column, incl: Column) -> Column:
 
 
 def range_contains(r: Column, value: Column) -> Column:
-    return _ends_after(value, r["lo"], r["lo_incl"]) & _starts_before(value, r["hi"], r["hi_incl"])
+    inside = _ends_after(value, r["lo"], r["lo_incl"]) & _starts_before(value, r["hi"], r["hi_incl"])
+    return F.when(r.isNotNull(), inside)
 
 
 def ranges_intersect(a: Column, b: Column) -> Column:
@@ -118,7 +119,7 @@ def ranges_intersect(a: Column, b: Column) -> Column:
         closed = x["hi_incl"] & y["lo_incl"]
         return (x["hi"].isNull() | y["lo"].isNull()
                 | F.when(closed, x["hi"] >= y["lo"]).otherwise(x["hi"] > y["lo"]))
-    return reaches(a, b) & reaches(b, a)
+    return F.when(a.isNotNull() & b.isNotNull(), reaches(a, b) & reaches(b, a))
 
 
 def range_within(inner: Column, outer: Column) -> Column:
@@ -126,20 +127,22 @@ def range_within(inner: Column, outer: Column) -> Column:
         (inner["lo"] == outer["lo"]) & (outer["lo_incl"] | ~inner["lo_incl"]))
     high = outer["hi"].isNull() | (inner["hi"] < outer["hi"]) | (
         (inner["hi"] == outer["hi"]) & (outer["hi_incl"] | ~inner["hi_incl"]))
-    return F.coalesce(low, F.lit(False)) & F.coalesce(high, F.lit(False))
+    return F.when(inner.isNotNull() & outer.isNotNull(),
+                  F.coalesce(low, F.lit(False)) & F.coalesce(high, F.lit(False)))
 
 
 # --- addresses -----------------------------------------------------------------------------------
 
 
+# Fixed value: the text form of a v4 address.
+IPV4_PATTERN = r"^((25[0-5]|2[0-4]\d|1?\d?\d)(\.(?!$)|$)){4}$"
+
+
 def ip_to_long(ip: Column) -> Column:
     """A dotted v4 address as a number; null if it is none."""
-    parts = F.split(ip, r"\.")
-    octets = [F.get(parts, i).try_cast("long") for i in range(4)]
-    ok = F.size(parts) == 4
-    for o in octets:
-        ok = ok & o.between(0, 255)
-    return F.when(ok, ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3])
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"),
+                         lambda n, octet: n * 256 + octet.cast("long"))
+    return F.when(ip.rlike(IPV4_PATTERN), number)
 
 
 def _ip_number(ip: str) -> int:
@@ -148,14 +151,15 @@ def _ip_number(ip: str) -> int:
 
 
 def ip_between(ip: Column, low: str, high: str) -> Column:
-    return ip_to_long(ip).between(_ip_number(low), _ip_number(high))
+    """Inclusive. The distance from the middle is compared, so the address is parsed once."""
+    a, b = _ip_number(low), _ip_number(high)
+    return F.abs(ip_to_long(ip) * 2 - (a + b)) <= b - a
 
 
 def ip_in_network(ip: Column, cidr: str) -> Column:
     base, bits = cidr.split("/")
-    size = 1 << (32 - int(bits))
-    start = _ip_number(base) // size * size
-    return ip_to_long(ip).between(start, start + size - 1)
+    host = 32 - int(bits)
+    return F.shiftright(ip_to_long(ip), host) == _ip_number(base) >> host
 
 
 # --- scalars -------------------------------------------------------------------------------------

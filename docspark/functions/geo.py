@@ -265,18 +265,21 @@ def cell_bounds(cell: Column, precision: int) -> Column:
 
 
 def cell_neighbors(cell: Column, precision: int) -> Column:
-    """Array of the cells around a cell; columns wrap around, rows end at the poles."""
+    """Array of the cells around a cell; columns wrap around, rows end at the poles.
+
+    The indices of the cell are bound once as an array element, so that the eight
+    neighbours do not decode it again.
+    """
     lon_bits, lat_bits = _bits(precision)
     row, col = cell_indices(cell, precision)
-    around = []
-    for dr in (-1, 0, 1):
-        for dc in (-1, 0, 1):
-            if dr or dc:
-                r = row + dr
-                c = F.pmod(col + dc, F.lit(1 << lon_bits))
-                around.append(F.when(r.between(0, (1 << lat_bits) - 1),
-                                     cell_of_indices(r, c, precision)))
-    return F.array_distinct(F.array_compact(F.array(*around)))
+    steps = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"))
+                      for r in (-1, 0, 1) for c in (-1, 0, 1) if r or c])
+    here = F.array(F.struct(row.alias("row"), col.alias("col")))
+    moved = F.flatten(F.transform(here, lambda h: F.transform(steps, lambda s: F.struct(
+        (h["row"] + s["r"]).alias("row"), F.pmod(h["col"] + s["c"], F.lit(1 << lon_bits)).alias("col")))))
+    inside = F.filter(moved, lambda m: m["row"].between(0, (1 << lat_bits) - 1))
+    return F.array_distinct(F.transform(
+        inside, lambda m: cell_of_indices(m["row"], m["col"], precision)))
 
 
 def sub_cells(cell: Column) -> Column:

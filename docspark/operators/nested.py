@@ -70,12 +70,14 @@ def inner_hits_rows(df: DataFrame, id: str, path: Sequence[str], predicate: Pred
     offsets = []
     for level, _ in enumerate(path):
         offsets.append(f"_offset_{level}")
-        out = out.select(id, *offsets[:-1], F.posexplode(f"_a{level}").alias(offsets[-1], "hit"))
+        # an inner explode would evaluate the arrays twice, once to test their size
+        out = out.select(id, *offsets[:-1], F.posexplode_outer(f"_a{level}").alias(offsets[-1], "hit"))
         if level + 1 < len(path):
             out = out.select(id, *offsets, F.col("hit").getField(path[level + 1]).alias(f"_a{level + 1}"))
-    return out.where(_two_valued(predicate)(F.col("hit")))
+    return out.where(F.col(offsets[-1]).isNotNull() & _two_valued(predicate)(F.col("hit")))
 
 
 def nested_rows(df: DataFrame, array: str, *keep: str) -> DataFrame:
     """One row per element, parent columns kept, for nested aggregations."""
-    return df.select(*keep, F.posexplode(array).alias("_offset", "_element"))
+    rows = df.select(*keep, F.posexplode_outer(array).alias("_offset", "_element"))
+    return rows.where(F.col("_offset").isNotNull())

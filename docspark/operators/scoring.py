@@ -142,6 +142,16 @@ def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
     return hits.select(*[c for c in dict.fromkeys(keep)])
 
 
+def settled(df: DataFrame, column: str) -> DataFrame:
+    """The frame with a dear column that later filters use as a value.
+
+    Catalyst pushes a filter on a computed column below its computation and so evaluates
+    it twice; it does not push it through a generator.
+    """
+    others = [F.col(c) for c in df.columns if c != column]
+    return df.select(*others, F.explode_outer(F.array(column)).alias(column))
+
+
 def max_score(hits: DataFrame) -> DataFrame:
     return hits.agg(F.max("_score").alias("max_score"))
 

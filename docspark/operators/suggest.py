@@ -95,23 +95,27 @@ def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candida
     if not words:
         return spark.createDataFrame([], result)
     vocab = (vocab if vocab is not None else vocabulary(docs, id, text, analyzer)).persist()
-    near = term_candidates(vocab, words).select(
-        "position", "term", "df", (F.lit(math.log(1.0 - error_likelihood)) + F.log("score")).alias("weight"))
+    near = term_candidates(vocab, words).select("position", "term", "df", "score")
     own = None
     for i, word in enumerate(words):
         part = vocab.where(F.col("term") == word).select(
-            F.lit(i).alias("position"), "term", "df", F.lit(math.log(error_likelihood)).alias("weight"))
+            F.lit(i).alias("position"), "term", "df", F.lit(1.0).alias("score"))
         own = part if own is None else own.unionByName(part)
     options = top_per_key(near.unionByName(own), "position",
-                          (F.desc("weight"), F.desc("df"), F.asc("term")), candidates)
-    by_place: list[dict[str, tuple[int, float]]] = [{} for _ in words]
+                          (F.desc("score"), F.desc("df"), F.asc("term")), candidates)
+    found: list[dict[str, tuple[int, float]]] = [{} for _ in words]
     for r in options.collect():
-        by_place[r["position"]][r["term"]] = (r["df"], r["weight"])
+        found[r["position"]][r["term"]] = (r["df"], r["score"])
     sums = vocab.agg(F.count(F.lit(1)).alias("v"), F.sum("freq").alias("f")).first()
     vocab.unpersist()
-    for i, word in enumerate(words):
-        # an unknown word stays a candidate, at the price the smoothing sets
-        by_place[i].setdefault(word, (0, math.log(error_likelihood)))
+    # a known word is right with that likelihood, an unknown one (it stays a candidate) wrong
+    right, wrong = math.log(error_likelihood), math.log(1.0 - error_likelihood)
+    by_place = []
+    for word, place in zip(words, found):
+        known = word in place
+        itself = {word: (place[word][0] if known else 0, right if known else wrong)}
+        by_place.append({**{t: (df, math.log(s) + (wrong if known else right))
+                            for t, (df, s) in place.items()}, **itself})
     terms = sorted({t for place in by_place for t in place})
     pairs = bigrams(docs, text, analyzer, among=terms).collect() if len(words) > 1 else []
     return spark.createDataFrame(_best_paths(

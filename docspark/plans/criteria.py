@@ -1,9 +1,13 @@
 """Composable criteria that compile to Columns.
 
-A node gives two things: ``match`` (a two-valued boolean Column: null never leaks out)
-and ``score`` (a double Column, meaningful where ``match`` holds). Both are ordinary
+A node gives two things: ``match`` (a boolean Column that holds where the row matches) and
+``score`` (a double Column, meaningful where ``match`` holds). Both are ordinary
 expressions on the row, so a whole boolean query is one filter plus one projection over
-one scan and Catalyst can push the plain parts down.
+one scan.
+
+Logic is two-valued: what is unknown does not match. Asserted conditions stay as they are,
+because a filter drops unknown rows anyway and a bare comparison is what Catalyst can push to
+the scan. Only under a negation is an unknown condition turned into false.
 
 Two ways to compose:
 
@@ -112,8 +116,7 @@ class Raw(Node):
     boost_: float = 1.0
 
     def match(self, ctx: Context) -> Column:
-        e = F.expr(self.expression) if isinstance(self.expression, str) else self.expression
-        return _false_if_null(e)
+        return F.expr(self.expression) if isinstance(self.expression, str) else self.expression
 
 
 @dataclass(frozen=True)
@@ -141,14 +144,15 @@ class Bool(Node):
 
     def match(self, ctx: Context) -> Column:
         parts = [n.match(ctx) for n in (*self.filter, *self.must)]
-        parts += [~n.match(ctx) for n in self.must_not]
+        parts += [~_false_if_null(n.match(ctx)) for n in self.must_not]
         need = self.min_should
         if need is None:
             need = 1 if self.should and not self.must and not self.filter else 0
         if need == 1:
             parts.append(_any(n.match(ctx) for n in self.should))
         elif need > 1:
-            parts.append(sum((n.match(ctx).cast("int") for n in self.should), F.lit(0)) >= need)
+            hits = [_false_if_null(n.match(ctx)).cast("int") for n in self.should]
+            parts.append(sum(hits, F.lit(0)) >= need)
         return _all(parts)
 
     def score(self, ctx: Context) -> Column:
@@ -197,10 +201,9 @@ class Leaf(Node):
             inner = self.field[len(nested) + 1:]
             array = F.col(ctx.schema.field(nested).stored)
             dtype = ctx.type_of(spec.stored)
-            return _false_if_null(F.exists(array, lambda x: _false_if_null(
-                self.on(_path(x, inner), spec, dtype))))
+            return F.exists(array, lambda x: self.on(_path(x, inner), spec, dtype))
         dtype = ctx.type_of(spec.stored)
-        return _false_if_null(self.on(ctx.column(self.field), spec, dtype))
+        return self.on(ctx.column(self.field), spec, dtype)
 
     def on(self, column: Column, spec: FieldSpec, dtype: T.DataType | None) -> Column:
         """The condition on a given column, which may be an element of a nested array."""
@@ -214,7 +217,7 @@ class Leaf(Node):
         if fn is None:
             raise ValueError(f"operator {self.op!r} does not apply to a {spec.role} field")
         if is_array:
-            return F.exists(column, lambda e: _false_if_null(fn(e, value, spec, dtype)))
+            return F.exists(column, lambda e: fn(e, value, spec, dtype))
         return fn(column, value, spec, dtype)
 
     def terms(self, schema: DocSchema) -> list[str]:
@@ -292,7 +295,7 @@ def _expression_on(test):
         parts = [test(c, x, spec) for x in all_of]
         if any_of:
             parts.append(_any(test(c, x, spec) for x in any_of))
-        return _all(parts + [~test(c, x, spec) for x in none_of])
+        return _all(parts + [~_false_if_null(test(c, x, spec)) for x in none_of])
     return build
 
 
@@ -323,9 +326,9 @@ _EXACT = {
 # --- operators on an analyzed text value ---------------------------------------------------
 
 
-def _mentions(c: Column, pieces: Sequence[str], combine) -> Column:
+def _mentions(c: Column, terms: Sequence[str], an: A.Analyzer, combine) -> Column:
     """A cheap substring test in front of the pattern: it decides most rows."""
-    return combine(F.contains(F.lower(c), F.lit(t)) for t in pieces)
+    return combine(an.mentioned(c, t) for t in terms)
 
 
 def _text_all(c, terms, spec):
@@ -336,7 +339,7 @@ def _text_all(c, terms, spec):
         return A.contains_all(an.column(c), terms)
     if not all(map(an.is_term, terms)):
         return F.lit(False)
-    return _mentions(c, terms, _all) & _all(F.lower(c).rlike(an.pattern(t)) for t in terms)
+    return _mentions(c, terms, an, _all) & _all(F.lower(c).rlike(an.pattern(t)) for t in terms)
 
 
 def _text_any(c, terms, spec):
@@ -346,7 +349,7 @@ def _text_any(c, terms, spec):
     terms = [t for t in terms if an.is_term(t)]
     if not terms:
         return F.lit(False)
-    return _mentions(c, terms, _any) & F.lower(c).rlike("|".join(an.pattern(t) for t in terms))
+    return _mentions(c, terms, an, _any) & F.lower(c).rlike("|".join(an.pattern(t) for t in terms))
 
 
 def _text_phrase(c, terms, spec):
@@ -355,7 +358,7 @@ def _text_phrase(c, terms, spec):
         return F.lit(False)
     if an.word is None:
         return A.contains_phrase(an.column(c), terms)
-    return _mentions(c, terms, _all) & F.lower(c).rlike(an.phrase_pattern(terms))
+    return _mentions(c, terms, an, _all) & F.lower(c).rlike(an.phrase_pattern(terms))
 
 
 def _any_token(test):
@@ -394,7 +397,7 @@ _TEXT = {
     "contains": _piece(lambda v, w: None, F.contains),
     "starts_with": _piece(lambda v, w: f"{v}(?<!{w}{v})", F.startswith),
     "ends_with": _piece(lambda v, w: f"{v}(?!{w})", F.endswith),
-    "wildcard": _any_token(lambda t, v: t.rlike(A.wildcard_regex(v.lower()))),
+    "wildcard": lambda c, v, s, t: _text_wildcard(c, v.lower(), s),
     "regexp": _any_token(lambda t, v: t.rlike(f"^(?:{v})$")),
     "fuzzy": _any_token(lambda t, v: A.within_edits(t, *_fuzzy_edits(v))),
     "expression": _expression_on(lambda c, x, s: _text_all(c, s.analyzer.literal(x), s)),
@@ -402,6 +405,18 @@ _TEXT = {
 }
 
 
+def _text_wildcard(c, v, spec):
+    an = spec.analyzer
+    if an.word is None:
+        return F.exists(an.column(c), lambda t: t.rlike(A.wildcard_regex(v)))
+    pattern = an.wildcard_pattern(v)
+    if pattern is None:
+        return F.lit(False)
+    longest = max(re.split(r"[*?]", v), key=len)
+    found = F.lower(c).rlike(pattern)
+    return F.contains(F.lower(c), F.lit(longest)) & found if longest else found
+
+
 def _typed_so_far(c, v, spec):
     terms = spec.analyzer.literal(v)
     if not terms:

@@ -268,7 +268,9 @@ class Search:
                                  explain=self.explained)
         if self.boosts:
             out = scoring.index_boost(out, dict(self.boosts))
-        return out.where(F.col("_score") >= self.minimum) if self.minimum is not None else out
+        if self.minimum is not None:
+            out = scoring.settled(out, "_score").where(F.col("_score") >= self.minimum)
+        return out
 
     def _filtered(self) -> DataFrame:
         out = self.matches()

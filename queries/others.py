@@ -48,11 +48,12 @@ _WORDS = ["thatim", "orreh", "the"]
 @query("suggest_phrase", f"""WITH {VOCAB.replace("count(DISTINCT doc_id) AS df", "count(DISTINCT doc_id) AS df, count(*) AS freq")},
     st AS (SELECT count(*) AS v, sum(freq)::DOUBLE AS f FROM vocab),
     q AS (SELECT unnest({_WORDS}) AS token, unnest([0, 1, 2]) AS position),
-    c AS (SELECT position, term, df, ln(1 - 0.95) + ln(1 - levenshtein(term, token) / least(length(term), length(token))::DOUBLE) AS w
+    c AS (SELECT position, term, df, CASE WHEN token IN (SELECT term FROM vocab) THEN ln(1 - 0.95) ELSE ln(0.95) END
+        + ln(1 - levenshtein(term, token) / least(length(term), length(token))::DOUBLE) AS w, 1 - levenshtein(term, token) / least(length(term), length(token))::DOUBLE AS s
       FROM q JOIN vocab ON left(term, 1) = left(token, 1) WHERE length(term) >= 4 AND levenshtein(term, token) <= 2 AND term <> token
-      UNION ALL SELECT position, token, df, ln(0.95) FROM q JOIN vocab ON term = token),
-    r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY w DESC, df DESC, term) AS r FROM c),
-    o AS (SELECT position, term, df, w FROM r WHERE r <= 3 UNION ALL SELECT position, token, 0, ln(0.95) FROM q
+      UNION ALL SELECT position, token, df, ln(0.95), 1 FROM q JOIN vocab ON term = token),
+    r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY s DESC, df DESC, term) AS r FROM c),
+    o AS (SELECT position, term, df, w FROM r WHERE r <= 3 UNION ALL SELECT position, token, 0, ln(1 - 0.95) FROM q
       WHERE token NOT IN (SELECT term FROM vocab)),
     b AS (SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM
       (SELECT {tok('text')} AS w FROM documents)) GROUP BY 1, 2),

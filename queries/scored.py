@@ -128,7 +128,7 @@ def _(t):
     UNION ALL SELECT doc_id, 'rewh', f1::DOUBLE, d1, round(s1, 6) FROM scored WHERE f1 > 0""")
 def _(t):
     hits = scores(t, C.matches("text", "of rewh"), explain=True)
-    e = hits.select("doc_id", F.explode("_explanation").alias("e"))
+    e = hits.select("doc_id", F.explode_outer("_explanation").alias("e")).where("e IS NOT NULL")
     return e.select("doc_id", "e.term", "e.tf", "e.df", F.round("e.value", 6).alias("value"))
 
 
