@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from .collapse import top_per_key
 
+# keys that one block of a running total should hold
+KEYS_PER_BLOCK = 100_000
+
 
 def _exploded(df: DataFrame, field: str) -> DataFrame:
     if isinstance(df.schema[field].dataType, T.ArrayType):
@@ -76,10 +79,10 @@ def percentiles(df: DataFrame, field: str, points: Sequence[float] = (1, 5, 25,
         return out.select(*by, *[F.get("_q", i).alias(n) for i, n in enumerate(names)])
     counts = (df.where(F.col(field).isNotNull()).groupBy(*by, F.col(field).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    ranked = running_total(counts, "_v", "_c", by=by, name="_upto", blocks=1024)
+    ranked = running_total(counts, "_v", "_c", by=by, name="_upto", blocks=1024, per_block=KEYS_PER_BLOCK)
     totals = df.where(F.col(field).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     if by:
-        placed = ranked.join(totals, list(by))
+        placed = _join_groups(ranked, totals, by)
     else:
         placed = ranked.withColumn("_n", totals.scalar())
     aggs = []
@@ -94,6 +97,18 @@ def percentiles(df: DataFrame, field: str, points: Sequence[float] = (1, 5, 25,
     return placed.groupBy(*by).agg(*aggs)
 
 
+def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str],
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Inner join on group columns, where null is a group like any other."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in [*by, *keys]})
+    cond = F.lit(True)
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    for c in keys:
+        cond = cond & (F.col(c) == F.col(f"_r_{c}"))
+    return left.join(renamed, cond).drop(*[f"_r_{c}" for c in [*by, *keys]])
+
+
 def _as_number(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         return column.cast("double")
@@ -101,28 +116,39 @@ def _as_number(column: Column, dtype: T.DataType) -> Column:
 
 
 def running_total(df: DataFrame, order: str, value: str, *, by: Sequence[str] = (),
-                  name: str = "total", blocks: int = 64) -> DataFrame:
+                  name: str = "total", blocks: int = 64, per_block: int | None = None) -> DataFrame:
     """Running sum in the order of unique numeric or time keys, without one task that sees
     all rows.
 
-    The key range is cut into equal blocks. A block sums on its own, and the sum of the
-    blocks before it is added: one row per block and group. A block depends on the key
-    and the range alone, so a recomputed task finds the same one.
+    The key range is cut into equal blocks; with ``per_block`` a block with more keys is cut
+    again into as many equal parts as it needs. A block sums on its own, and the sum of the
+    blocks before it is added: one row per block and group. The cuts depend on the data
+    alone, so a recomputed task finds the same ones.
     """
     key = _as_number(F.col(order), df.schema[order].dataType)
     ends = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias("e")).scalar()
-    share = F.try_divide(key - ends["lo"], ends["hi"] - ends["lo"])
-    blocked = df.withColumn("_block", F.coalesce(
-        F.least(F.floor(share * blocks), F.lit(blocks - 1)), F.lit(0)).cast("int"))
-    inside = Window.partitionBy(*by, "_block").orderBy(order).rowsBetween(
+    share = F.coalesce(F.try_divide(key - ends["lo"], ends["hi"] - ends["lo"]), F.lit(0.0))
+    block = F.least(F.floor(share * blocks), F.lit(blocks - 1)).cast("int")
+    blocked = df.withColumn("_block", block)
+    cuts = ["_block"]
+    if per_block is not None:
+        # at most ``blocks`` rows
+        parts = blocked.groupBy("_block").agg(
+            F.ceil(F.count(F.lit(1)) / per_block).cast("double").alias("_parts"))
+        inner = (share * blocks - F.col("_block")) * F.col("_parts")
+        blocked = (blocked.join(F.broadcast(parts), "_block")
+                   .withColumn("_part", F.least(F.floor(inner), F.col("_parts") - 1).cast("int"))
+                   .drop("_parts"))
+        cuts.append("_part")
+    inside = Window.partitionBy(*by, *cuts).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = blocked.withColumn("_inside", F.sum(value).over(inside))
-    sums = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block").rowsBetween(
+    sums = blocked.groupBy(*by, *cuts).agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*cuts).rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = sums.select(*by, "_block",
+    offsets = sums.select(*by, *cuts,
                           F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    out = local.join(offsets, [*by, "_block"])
+    out = _join_groups(local, offsets, by, cuts)
     return (out.withColumn(name, F.col("_inside") + F.col("_before"))
             .select(*df.columns, name))
 
@@ -201,7 +227,7 @@ def sub_aggs(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column] = (),
 def nested_buckets(df: DataFrame, outer: str, inner: str, *, size: int = 10,
                    inner_size: int = 10) -> DataFrame:
     """Top outer buckets, each with its top inner buckets as an array."""
-    pairs = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.where(F.col(outer).isNotNull()).groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
     outers = (pairs.groupBy(F.col(outer).alias("key")).agg(F.sum("n").alias("doc_count"))
               .orderBy(F.desc("doc_count"), F.asc("key")).limit(size))
     best = top_per_key(pairs, outer, (F.desc("n"), F.asc(inner)), inner_size)

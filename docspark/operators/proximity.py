@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .aggs import KEYS_PER_BLOCK, running_total
 
 
 def proximity_join(points: DataFrame, sites: DataFrame, metres: float, *, point_location: str,
@@ -74,14 +75,12 @@ def count_overlaps(left: DataFrame, right: DataFrame, *, left_range: tuple[str,
     that end before the start: two rank lookups in sorted bounds and no pair is built. The
     ranks come from one union per side with a running total over value blocks.
     """
-    from .aggs import running_total
-
     def rank(bounds: DataFrame, probes: DataFrame, strict: bool) -> DataFrame:
         # bounds <= probe, or < probe if strict
         side = (bounds.groupBy("x").agg(F.count(F.lit(1)).alias("_n"))
                 .unionByName(probes.select("x").distinct().withColumn("_n", F.lit(0).cast("long"))))
         merged = side.groupBy("x").agg(F.sum("_n").alias("_n"))
-        total = running_total(merged, "x", "_n", name="_upto")
+        total = running_total(merged, "x", "_n", name="_upto", blocks=1024, per_block=KEYS_PER_BLOCK)
         value = F.col("_upto") - F.col("_n") if strict else F.col("_upto")
         return total.select("x", value.alias("_r"))
 

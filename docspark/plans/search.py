@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators import scoring
-from ..operators.aggs import running_total
+from ..operators.aggs import KEYS_PER_BLOCK, running_total
 from ..operators.collapse import best_per_key
 from ..schema import DocSchema
 from .criteria import Bool, Context, Criteria, MatchAll, Node, literal
@@ -348,7 +348,8 @@ class Search:
         key = self.schema.id
         hits = self._filtered()
         one = hits.select(key, F.lit(1).alias("_one"))
-        ranked = running_total(one, key, "_one", name="_nr", blocks=1024).select(key, "_nr")
+        ranked = running_total(one, key, "_one", name="_nr", blocks=1024,
+                               per_block=KEYS_PER_BLOCK).select(key, "_nr")
         if max_results is not None:
             ranked = ranked.where(F.col("_nr") <= max_results)
         batch = F.floor((F.col("_nr") - 1) / size).cast("long")

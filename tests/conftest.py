@@ -12,7 +12,8 @@ from docspark.session import build_session  # noqa: E402
 def spark():
     session = build_session("local[8]", "tests", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+        "spark.sql.maxMetadataStringLength": "10000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

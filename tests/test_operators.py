@@ -248,12 +248,16 @@ def test_running_total_and_percentiles_match_brute_force(spark):
     one = df.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     got = rows(aggs.running_total(one, "v", "c"), "v", "total")
     assert got == [(v, sum(x <= v for x in values)) for v in sorted(set(values))]
+    # nearly all keys fall into the first block and are cut again
+    assert rows(aggs.running_total(one, "v", "c", per_block=10), "v", "total") == got
     p = aggs.percentiles(df, "v", (0, 10, 50, 99.9, 100), exact=True).first()
     ordered = sorted(values)
     for point, x in zip((0, 10, 50, 99.9, 100), p):
         at = (len(values) - 1) * point / 100
         low, high = ordered[int(at)], ordered[min(int(at) + 1, len(values) - 1)]
         assert abs(x - (low + (high - low) * (at - int(at)))) < 1e-6 * max(1, abs(x))
+    groups = df.withColumn("g", F.when(F.col("v") > 2, "big"))
+    assert {r["g"] for r in aggs.percentiles(groups, "v", (50,), exact=True, by=["g"]).collect()} == {None, "big"}
     empty = aggs.percentiles(df.where("v < 0"), "v", (50,), exact=True)
     assert [r["p50"] for r in empty.collect()] in ([None], [])
 
