@@ -288,6 +288,17 @@ def postings(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STAND
     return each.where(F.col("term").isNotNull()).groupBy(id, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def stored_postings(docs: DataFrame, id: str, text: str, path: str,
+                    analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
+    """Postings as a written table: the text is analyzed once, however often they are read.
+
+    Files are sorted by term, so that reading a few terms skips most row groups.
+    """
+    rows = postings(docs, id, text, analyzer)
+    rows.sortWithinPartitions("term").write.mode("errorifexists").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def positions(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(id, term, pos)``: only where positions are asked for."""
     rows = docs.select(id, F.posexplode_outer(analyzer.column(F.col(text))).alias("pos", "term"))
@@ -321,17 +332,14 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     meet the postings in one equi-join on the term. AQE splits the partitions of frequent
     terms; scores are summed per (source, document) with map-side combine, so no term's or
     source's matches are ever gathered in one place. A document has to share
-    ``min_should_match`` of the terms.
+    ``min_should_match`` of the terms. The postings are read three times: for anything big
+    pass a stored table as ``post``, and bound ``max_doc_freq``.
     """
-    sources = source.select(id).distinct()
-    if post is None:
-        post = postings(docs, id, text, analyzer)
-        own = postings(docs.join(sources, id, "left_semi"), id, text, analyzer)
-    else:
-        own = post.join(sources, id, "left_semi")
-    length = analyzer.length(F.col(text))
-    n_stats = (docs.select(F.when(length > 0, length).alias("l"))
-               .agg(F.struct(F.count("l").cast("double").alias("n"), F.avg("l").alias("avg")).alias("s")).scalar())
+    post = post if post is not None else postings(docs, id, text, analyzer)
+    own = post.join(source.select(id).distinct(), id, "left_semi")
+    per_doc = post.groupBy(id).agg(F.first("doc_len").alias("l"))
+    n_stats = per_doc.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
+                                   F.avg("l").alias("avg")).alias("s")).scalar()
     usable = F.col("tf") >= min_term_freq
     if min_word_len:
         usable &= F.length("term") >= min_word_len
@@ -349,10 +357,11 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     best = Window.partitionBy(id).orderBy(F.desc("_w"), "term")
     picked = (weighted.withColumn("_r", F.row_number().over(best))
               .where(F.col("_r") <= max_query_terms))
-    per_source = picked.groupBy(id).agg(F.count(F.lit(1)).alias("_terms"),
-                                        F.max("_w").alias("_top"))
-    terms = picked.join(per_source, id).select(
-        F.col(id).alias("source_id"), "term", "df", "_n", "_w", "_terms", "_top")
+    # the same partitioning once more, over at most ``max_query_terms`` rows
+    whole = Window.partitionBy(id)
+    terms = picked.select(
+        F.col(id).alias("source_id"), "term", "df", "_n", "_w",
+        F.count(F.lit(1)).over(whole).alias("_terms"), F.max("_w").over(whole).alias("_top"))
     boost = F.lit(1.0) if boost_terms is None else F.col("_w") / F.col("_top") * float(boost_terms)
     shared = (post.join(terms, "term").where(F.col(id) != F.col("source_id"))
               .withColumn("_s", boost * idf(F.col("_n"), F.col("df")) * tf_norm(

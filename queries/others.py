@@ -13,8 +13,7 @@ from docspark.sources import sql as S
 from docspark.sources.collection import Collection
 from docspark.streaming import streams
 
-from .registry import query, tok
-from .writes import scratch
+from .registry import query, scratch, tok
 
 # --- suggestions ------------------------------------------------------------------------------------
 

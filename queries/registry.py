@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions import geo
+from docspark.session import checkpoint_dir
 from docspark.sources.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +40,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def scratch(t: Tables, name: str) -> str:
+    """A fresh place for what a query stores, in the folder every executor reaches."""
+    return os.path.join(checkpoint_dir(t.spark), "queries", f"{name}-{uuid.uuid4().hex}")
+
+
 # --- the same definitions in SQL ---------------------------------------------------------------
 
 

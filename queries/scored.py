@@ -11,7 +11,7 @@ from docspark.schema import DocSchema, FieldSpec
 from docspark.sources.tables import multi_index
 
 from .predicates import documents, orders
-from .registry import Tables, query, tok
+from .registry import Tables, query, scratch, tok
 
 # --- the scoring function in SQL ---------------------------------------------------------------
 
@@ -248,7 +248,8 @@ def _(t):
     SELECT source_id, doc_id, round(s, 6) AS _score FROM top WHERE rank <= 10""")
 def _(t):
     sources = t.labels.where("quality = 1 AND toxic = 1").select("doc_id")
-    m = scoring.more_like_this(t.documents, sources, "doc_id", "text", max_doc_freq=400, min_word_len=3)
+    post = scoring.stored_postings(t.documents, "doc_id", "text", scratch(t, "postings"))
+    m = scoring.more_like_this(t.documents, sources, "doc_id", "text", max_doc_freq=400, min_word_len=3, post=post)
     return rounded(m, "source_id", "doc_id")
 
 

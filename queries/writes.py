@@ -1,8 +1,6 @@
 """Sources, lifecycle and document writes. Merges return the collection as it is afterwards."""
 
 import datetime as dt
-import os
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,12 +8,11 @@ from docspark.operators import writes
 from docspark.plans import criteria as C
 from docspark.plans.search import Search
 from docspark.schema import DocSchema
-from docspark.session import checkpoint_dir
 from docspark.sources import tables
 from docspark.sources.collection import Collection
 
 from .predicates import orders
-from .registry import Tables, query
+from .registry import Tables, query, scratch
 
 ORD = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -33,10 +30,6 @@ def _(t):
     return DocSchema.of(docs, text=["text"], id="doc_id").describe(docs).select("field", "role", F.col("documents").alias("n"))
 
 
-def scratch(t: Tables, name: str) -> str:
-    return os.path.join(checkpoint_dir(t.spark), "queries", f"{name}-{uuid.uuid4().hex}")
-
-
 @query("index_lifecycle", """SELECT 'created' AS state, 0::BIGINT AS n UNION ALL SELECT 'filled', count(*) FROM customer
     UNION ALL SELECT 'dropped', count(*) FROM customer""")
 def _(t):
