@@ -54,13 +54,14 @@ def suggest_term(docs: DataFrame, id: str, text: str, request: str, *, size: int
         raise ValueError(f"unknown suggest mode {mode!r}")
     vocab = vocab if vocab is not None else vocabulary(docs, id, text, analyzer)
     words = analyzer.literal(request)
+    if not words:
+        raise ValueError("nothing to suggest for: the request has no terms")
     found = term_candidates(vocab, words, **limits)
     if mode != "always":
-        known = vocab.where(F.col("term").isin(words)).select(
-            F.col("term").alias("token"), F.col("df").alias("_own"))
-        found = found.join(known, "token", "left")
-        found = found.where(F.col("_own").isNull() if mode == "missing"
-                            else F.coalesce("_own", F.lit(0)) < F.col("df")).drop("_own")
+        # how many documents have the words themselves: one row for the whole request
+        own = vocab.agg(F.array(*[F.max(F.when(F.col("term") == w, F.col("df"))) for w in words]).alias("o"))
+        mine = F.get(own.scalar(), F.col("position"))
+        found = found.where(mine.isNull() if mode == "missing" else F.coalesce(mine, F.lit(0)) < F.col("df"))
     order = ((F.desc("score"), F.desc("df"), F.asc("term")) if sort == "score"
              else (F.desc("df"), F.desc("score"), F.asc("term")))
     return top_per_key(found, "position", order, size, rank="rank")
