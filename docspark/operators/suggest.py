@@ -24,22 +24,26 @@ def term_candidates(vocab: DataFrame, words: Sequence[str], *, max_edits: int =
                     min_word_length: int = MIN_WORD_LENGTH) -> DataFrame:
     """``(position, token, term, score, df)`` for every vocabulary term near a word.
 
-    The words of a request are literals, so this is a filter over the vocabulary: each
-    term is blocked by first letters and length before the edit distance is computed.
+    The words of a request are literals, so this is one pass over the vocabulary. Length and
+    first letters are plain conditions on the term, which Catalyst pushes below the
+    counting of the vocabulary: other terms are never shuffled.
     """
-    out = None
-    for i, word in enumerate(words):
-        near = ((F.length("term") >= min_word_length)
-                & F.startswith("term", F.lit(word[:prefix_length]))
-                & F.length("term").between(len(word) - max_edits, len(word) + max_edits)
-                & (F.col("term") != word))
+    near = [(F.length("term") >= min_word_length)
+            & F.startswith("term", F.lit(w[:prefix_length]))
+            & F.length("term").between(len(w) - max_edits, len(w) + max_edits)
+            & (F.col("term") != w) for w in words]
+    some = near[0]
+    for cond in near[1:]:
+        some = some | cond
+    entries = []
+    for i, (word, cond) in enumerate(zip(words, near)):
         dist = F.levenshtein("term", F.lit(word), max_edits)
-        score = 1.0 - F.col("_d") / F.least(F.length("term"), F.lit(len(word)))
-        part = (vocab.where(near).withColumn("_d", dist).where("_d >= 0")
-                .select(F.lit(i).alias("position"), F.lit(word).alias("token"), "term",
-                        score.alias("score"), "df"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        entries.append(F.when(cond & (dist >= 0), F.struct(
+            F.lit(i).alias("position"), F.lit(word).alias("token"), dist.alias("d"))))
+    found = vocab.where(some).select(
+        "term", "df", F.explode_outer(F.array_compact(F.array(*entries))).alias("c"))
+    score = 1.0 - F.col("c.d") / F.least(F.length("term"), F.length("c.token"))
+    return found.where("c IS NOT NULL").select("c.position", "c.token", "term", score.alias("score"), "df")
 
 
 def suggest_term(docs: DataFrame, id: str, text: str, request: str, *, size: int = 5, mode: str = "missing",
@@ -59,7 +63,7 @@ def suggest_term(docs: DataFrame, id: str, text: str, request: str, *, size: int
     found = term_candidates(vocab, words, **limits)
     if mode != "always":
         # how many documents have the words themselves: one row for the whole request
-        own = vocab.agg(F.array(*[F.max(F.when(F.col("term") == w, F.col("df"))) for w in words]).alias("o"))
+        own = vocab.where(F.col("term").isin(words)).agg(F.array(*[F.max(F.when(F.col("term") == w, F.col("df"))) for w in words]).alias("o"))
         mine = F.get(own.scalar(), F.col("position"))
         found = found.where(mine.isNull() if mode == "missing" else F.coalesce(mine, F.lit(0)) < F.col("df"))
     order = ((F.desc("score"), F.desc("df"), F.asc("term")) if sort == "score"
@@ -97,11 +101,9 @@ def suggest_phrase(docs: DataFrame, id: str, text: str, request: str, *, candida
         return spark.createDataFrame([], result)
     vocab = (vocab if vocab is not None else vocabulary(docs, id, text, analyzer)).persist()
     near = term_candidates(vocab, words).select("position", "term", "df", "score")
-    own = None
-    for i, word in enumerate(words):
-        part = vocab.where(F.col("term") == word).select(
-            F.lit(i).alias("position"), "term", "df", F.lit(1.0).alias("score"))
-        own = part if own is None else own.unionByName(part)
+    places = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(w).alias("w")) for i, w in enumerate(words)])
+    own = (vocab.where(F.col("term").isin(words)).withColumn("c", F.explode(places))
+           .where("c.w = term").select("c.position", "term", "df", F.lit(1.0).alias("score")))
     options = top_per_key(near.unionByName(own), "position",
                           (F.desc("score"), F.desc("df"), F.asc("term")), candidates)
     found: list[dict[str, tuple[int, float]]] = [{} for _ in words]
