@@ -13,6 +13,8 @@ from .collapse import top_per_key
 
 # keys that one block of a running total should hold
 KEYS_PER_BLOCK = 100_000
+# empty buckets written at a time
+FILL_PIECE = 10_000
 
 
 def _exploded(df: DataFrame, field: str) -> DataFrame:
@@ -161,7 +163,10 @@ def histogram(df: DataFrame, field: str, interval: float, *, offset: float = 0.0
                .agg(F.count(F.lit(1)).alias("doc_count"), *metrics))
     if fill:
         ends = buckets.agg(F.min("_i").alias("lo"), F.max("_i").alias("hi")).where("lo IS NOT NULL")
-        every = ends.select(F.explode(F.sequence("lo", "hi")).alias("_i"))
+        # in pieces: an outlier may make the row of buckets very long
+        piece = ends.select("hi", F.explode(F.sequence("lo", "hi", F.lit(FILL_PIECE).cast("long"))).alias("at"))
+        upto = F.least(F.col("at") + (FILL_PIECE - 1), F.col("hi"))
+        every = piece.select(F.explode(F.sequence("at", upto)).alias("_i"))
         buckets = every.join(buckets, "_i", "left").withColumn(
             "doc_count", F.coalesce("doc_count", F.lit(0).cast("long")))
     key = (F.col("_i") * float(interval) + float(offset)).alias("key")

@@ -174,15 +174,17 @@ def suggest_completion(rows: DataFrame, prefix: str, id: str, *, size: int = 5,
 
 def suggest_completion_batch(rows: DataFrame, prefixes: DataFrame, prefix: str, id: str, *,
                              size: int = 5, max_prefix: int = 20) -> DataFrame:
-    """Many prefixes at once: every input is keyed by its own leading substrings, up to the
-    longest prefix asked for, and meets the prefixes in an equi-join."""
+    """Many prefixes at once: every input is keyed by its own leading substrings and meets the
+    prefixes in an equi-join. ``max_prefix`` bounds the keys of an input, not the prefixes: a
+    longer one joins by its beginning and is then compared as a whole.
+    """
     asked = prefixes.select(F.col(prefix).alias("prefix"),
                             normalize_input(F.col(prefix)).alias("_p")).distinct()
-    asked = asked.where(F.length("_p").between(1, max_prefix))
-    lead = F.transform(F.sequence(F.lit(1), F.least(F.length("key"), F.lit(max_prefix))),
+    asked = asked.withColumn("_lead", F.substring("_p", 1, max_prefix))
+    lead = F.transform(F.sequence(F.lit(0), F.least(F.length("key"), F.lit(max_prefix))),
                        lambda n: F.substring(F.col("key"), F.lit(1), n))
-    keyed = rows.where(F.length("key") > 0).withColumn("_p", F.explode(lead))
-    joined = keyed.join(asked, "_p").drop("_p")
+    keyed = rows.withColumn("_lead", F.explode(lead))
+    joined = keyed.join(asked, "_lead").where(F.startswith("key", F.col("_p"))).drop("_p", "_lead")
     return top_per_key(joined, "prefix", (F.desc("weight"), F.asc("input"), F.asc(id)), size, rank="rank")
 
 

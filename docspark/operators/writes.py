@@ -28,7 +28,8 @@ class WriteResult:
 
 
 def _last_per_id(incoming: DataFrame, id: str, order: str | None) -> DataFrame:
-    """Within one bulk the last write of an id stands."""
+    """Within one bulk the last write of an id stands; ``order`` may be left out only where
+    ids do not repeat."""
     if order is None:
         return incoming
     return top_per_key(incoming, id, (F.desc(order),), 1).drop("_rank")

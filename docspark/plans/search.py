@@ -280,6 +280,9 @@ class Search:
 
     def _orders(self, df: DataFrame) -> tuple[Order, ...]:
         orders = self.orders or ((Order("_score", descending=True),) if "_score" in df.columns else ())
+        if not orders and self.size is None and not self.offset and not self.collapse_on:
+            # everything, in no asked order: nothing to sort for
+            return ()
         tie = self.schema.id
         if tie and all(o.field != tie for o in orders) and self.after is None:
             orders = (*orders, Order(tie))

@@ -167,6 +167,13 @@ def _(t):
     return _vector_rows(t).sort(Order("embedding").desc()).limit(40).hits().select("vec_id")
 
 
+@query("sort_mode", """SELECT vec_id, round(list_sum(embedding::DOUBLE[]), 6) AS m FROM embeddings
+    ORDER BY list_sum(embedding::DOUBLE[]), vec_id LIMIT 40""")
+def _(t):
+    s = _vector_rows(t).sort(Order("embedding", mode="sum")).limit(40).sort_values()
+    return s.select("vec_id", F.round("_sort_0", 6).alias("m"))
+
+
 @query("sort_mode_median", """SELECT vec_id, round(list_median(embedding::DOUBLE[]), 6) AS m FROM embeddings
     ORDER BY list_median(embedding::DOUBLE[]), vec_id LIMIT 40""")
 def _(t):

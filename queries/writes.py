@@ -367,3 +367,10 @@ def _(t):
 def _(t):
     # eight batches of 500 hits
     return orders(t).query(C.is_("o_orderstatus", "O")).batches(500, max_results=4000).select("o_orderkey", "_batch")
+
+
+@query("stream_results", """SELECT b AS _batch, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM
+    (SELECT o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS b FROM orders WHERE o_totalprice > 100000) GROUP BY 1""")
+def _(t):
+    hits = orders(t).query(C.gt("o_totalprice", 100000.0)).batches(500)
+    return hits.groupBy("_batch").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))

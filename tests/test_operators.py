@@ -228,6 +228,10 @@ def test_suggest(spark):
     assert p.first()["phrase"] == "quick brown"
     inputs = suggest.completion_rows(df, "id", F.array("t"), F.col("id"))
     assert [r["id"] for r in suggest.suggest_completion(inputs, "The q", "id").collect()] == [2, 1]
+    asked = spark.createDataFrame([("the",), ("",), ("the quick brown d",), ("x",)], "p string")
+    batch = suggest.suggest_completion_batch(inputs, asked, "p", "id", size=2, max_prefix=5)
+    assert rows(batch, "prefix", "id") == [
+        ("", 2), ("", 3), ("the", 1), ("the", 2), ("the quick brown d", 2)]
     assert suggest.suggest_completion(inputs, "teh", "id", fuzzy_edits=2).count() >= 2
 
 
@@ -265,6 +269,8 @@ def test_running_total_and_percentiles_match_brute_force(spark):
 def test_histogram_fills_gaps(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (31.0,), (None,)], "v double")
     assert rows(aggs.histogram(df, "v", 10)) == [(0.0, 2), (10.0, 0), (20.0, 0), (30.0, 1)]
+    far = spark.createDataFrame([(0.0,), (25_000.0,)], "v double")
+    assert aggs.histogram(far, "v", 1).agg(F.count("*"), F.countDistinct("key"), F.sum("doc_count")).first() == (25_001, 25_001, 2)
     d = spark.createDataFrame([(dt.datetime(2020, 1, 5),), (dt.datetime(2020, 3, 1),)], "t timestamp")
     assert [r["doc_count"] for r in aggs.date_histogram(d, "t", "month").orderBy("key").collect()] == [1, 0, 1]
 
