@@ -84,7 +84,7 @@ def _(t):
     return orders(t).query(C.is_("o_orderkey", 4711)).matches().select(*ORD.split(", "))
 
 
-@query("multi_get", """SELECT p AS _pos, k AS o_orderkey, o_totalprice, o_orderkey IS NOT NULL AS _found FROM
+@query("multi_get", """SELECT p AS _pos, k::BIGINT AS o_orderkey, o_totalprice, o_orderkey IS NOT NULL AS _found FROM
     (VALUES (0, 99), (1, -5), (2, 7), (3, 14000)) v(p, k) LEFT JOIN orders ON o_orderkey = k""")
 def _(t):
     return tables.multi_get(t.orders, [99, -5, 7, 14000], "o_orderkey").select("_pos", "o_orderkey", "o_totalprice", "_found")
