@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, substrings, toxicity, urls
+from . import decontamination, mixing, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,8 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
