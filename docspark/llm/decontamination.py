@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from .toxicity import words_of
 K1, B = 1.2, 0.75
 #: Items whose largest impacts are kept together in a block of a posting list.
 PER_BLOCK = 8
+#: Texts searched at a time.
+TOGETHER = 64
 LEAK = "array<struct<item_id: long, score: double, question: double, answer: double, word: long>>"
 
 
@@ -67,18 +70,20 @@ class Index:
         order = sorted(df, key=lambda w: (df[w], w))  # rare terms first
         self.terms = {w: t for t, w in enumerate(order)}
         idf = np.log1p((len(bags) - np.array([df[w] for w in order]) + 0.5) / (np.array([df[w] for w in order]) + 0.5))
-        self.item_terms, self.item_shares = [], []
+        item_terms, item_shares = [np.empty(0, np.int64)], [np.empty(0)]
         postings: list[dict[int, float]] = [{} for _ in order]
         for n, b in enumerate(bags):
             t = np.array([self.terms[w] for w in b])
             tf = np.array(list(b.values()), float)
             impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[n] / lengths.mean()))
             share = impact / impact.sum()
-            self.item_terms.append(t)
-            self.item_shares.append(share)
+            item_terms.append(t)
+            item_shares.append(share)
             for term, s in zip(t.tolist(), share.tolist()):
                 block = n // PER_BLOCK
                 postings[term][block] = max(postings[term].get(block, 0.0), s)
+        self.item_start = np.cumsum([0, *map(len, bags)])
+        self.item_terms, self.item_shares = np.concatenate(item_terms), np.concatenate(item_shares)
         self.n_blocks = -(-len(bags) // PER_BLOCK)
         # common terms, from the end of the order, whose bounds together stay under half the
         # threshold in every block: a passage without a rarer term can reach no item
@@ -95,18 +100,10 @@ class Index:
         self.block = np.array([b for p in postings for b in p], np.int64)
         self.bound = np.array([s for p in postings for s in p.values()])
 
-    def candidates(self, terms: np.ndarray, places: np.ndarray, n_words: int) -> list[tuple[int, int]]:
-        """``(passage, block)`` whose block maxima reach the threshold.
-
-        Passage p has the words of strides p and p + 1; the last stride alone is a passage if
-        it is the only one.
-        """
-        segments = places // self.stride
-        last = max(0, (n_words - 1) // self.stride - 1)
-        both = np.concatenate([np.stack([np.minimum(segments, last), terms], 1),
-                               np.stack([np.maximum(segments - 1, 0), terms], 1)])
+    def candidates(self, passage: np.ndarray, term: np.ndarray) -> list[tuple[int, int]]:
+        """``(passage, block)`` whose block maxima reach the threshold, of rows (passage, term)."""
         size = len(self.start)
-        key = np.unique(both[:, 0] * size + both[:, 1])
+        key = np.unique(passage * size + term)
         passage, term = key // size, key % size
         rare = term < self.first_common
         bounds, where = self.sums(passage[rare], term[rare])
@@ -116,9 +113,8 @@ class Index:
             return []
         some = np.isin(passage, where // self.n_blocks) & ~rare
         extra, also = self.sums(passage[some], term[some])
-        at = np.searchsorted(also, where)
-        at[at == len(also)] = 0
         if len(also):
+            at = np.minimum(np.searchsorted(also, where), len(also) - 1)
             bounds = bounds + np.where(also[at] == where, extra[at], 0.0)
         return [divmod(w, self.n_blocks) for w in where[bounds >= self.least - 1e-9].tolist()]
 
@@ -129,40 +125,53 @@ class Index:
         where, which = np.unique(np.repeat(passage, n) * self.n_blocks + self.block[at], return_inverse=True)
         return np.bincount(which, self.bound[at], len(where)) if len(where) else np.empty(0), where
 
-    def search(self, text: str | None, overlap: float) -> list[dict]:
-        """Every item that a passage of the text scores the threshold for and that is verified:
-        its best passage."""
-        words = words_of(text)
-        if not words or not self.ids:
-            return []
-        get = self.terms.get
-        all_terms = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        places = np.flatnonzero(all_terms >= 0)
-        if not len(places):
-            return []
-        found: dict[int, dict] = {}
-        present, at = np.zeros(len(self.terms), bool), None
-        for passage, block in self.candidates(all_terms[places], places, len(words)):
-            begin = passage * self.stride
+    def search(self, texts: list[str | None], overlap: float) -> list[list[dict]]:
+        """For each text every item that one of its passages scores the threshold for and that is
+        verified there: its best passage.
+
+        Passage p of a text has the words of its strides p and p + 1, so a run of a stride's
+        length lies in one of them; a text of one stride is one passage.
+        """
+        texts = [words_of(t) for t in texts]
+        if not self.ids:
+            return [[] for _ in texts]
+        get, seen, passages, terms, owner, first = self.terms.get, [], [], [], [], []
+        for n, words in enumerate(texts):
+            known = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+            places = np.flatnonzero(known >= 0)
+            seen.append(known)
+            last = max(0, (len(words) - 1) // self.stride - 1)
+            segments = places // self.stride
+            passages += [len(owner) + np.minimum(segments, last), len(owner) + np.maximum(segments - 1, 0)]
+            terms += [known[places]] * 2
+            first += [len(owner)] * (last + 1)
+            owner += [n] * (last + 1)
+        found: list[dict[int, dict]] = [{} for _ in texts]
+        at, present = None, np.zeros(len(self.terms), bool)
+        for passage, block in self.candidates(np.concatenate(passages), np.concatenate(terms)):
             if at != passage:
-                at = passage
+                at, best = passage, found[owner[passage]]
+                begin = (passage - first[passage]) * self.stride
+                span, runs = texts[owner[passage]][begin:begin + 2 * self.stride], None
+                held = seen[owner[passage]][begin:begin + 2 * self.stride]
                 present[:] = False
-                held = all_terms[begin:begin + 2 * self.stride]
                 present[held[held >= 0]] = True
-                runs, vocabulary = None, None
-            for n in range(block * PER_BLOCK, min(len(self.ids), (block + 1) * PER_BLOCK)):
-                score = float(self.item_shares[n] @ present[self.item_terms[n]])
-                if score < self.least:
-                    continue
+            lo = block * PER_BLOCK
+            cuts = self.item_start[lo:lo + PER_BLOCK + 1]
+            held = np.where(present[self.item_terms[cuts[0]:cuts[-1]]], self.item_shares[cuts[0]:cuts[-1]], 0.0)
+            scores = np.add.reduceat(held, cuts[:-1] - cuts[0])
+            for k in np.flatnonzero(scores >= self.least).tolist():
                 if runs is None:
-                    span = words[begin:begin + 2 * self.stride]
-                    runs, vocabulary = shingles(span, self.width), set(span)
-                    runs |= {r for k in range(1, self.width) for r in shingles(span, k)}
-                q, a = share(self.questions[n], runs), share(self.answers[n], vocabulary)
-                old = found.get(n)
-                if min(q, a) >= overlap and (old is None or (min(q, a), score) > (min(old["question"], old["answer"]), old["score"])):
-                    found[n] = {"item_id": self.ids[n], "score": score, "question": q, "answer": a, "word": begin}
-        return [found[n] for n in sorted(found)]
+                    runs, vocabulary = set().union(*(shingles(span, w) for w in range(1, self.width + 1))), set(span)
+                q, a = share(self.questions[lo + k], runs), share(self.answers[lo + k], vocabulary)
+                new = {"item_id": self.ids[lo + k], "score": float(scores[k]), "question": q, "answer": a, "word": begin}
+                if min(q, a) >= overlap and rank(new) > rank(best.get(lo + k)):
+                    best[lo + k] = new
+        return [[best[n] for n in sorted(best)] for best in found]
+
+
+def rank(leak: dict | None) -> tuple[float, float]:
+    return (min(leak["question"], leak["answer"]), leak["score"]) if leak else (-1.0, 0.0)
 
 
 def share(wanted: set, there: set) -> float:
@@ -202,7 +211,9 @@ def searcher(index: Index, overlap: float):
     @F.arrow_udf(LEAK)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([index.search(t.as_py(), overlap) for t in texts], kind)
+            each = texts.to_pylist()
+            yield pa.array([x for at in range(0, len(each), TOGETHER) for x in index.search(each[at:at + TOGETHER], overlap)],
+                           kind)
 
     return search
 
