@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, simhash, substrings, toxicity, urls
+from . import decontamination, mixing, secrets, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,13 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    number = [F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *number,
+                        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
