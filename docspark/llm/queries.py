@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, secrets, simhash, substrings, toxicity, urls
+from . import decontamination, fingerprints, mixing, secrets, simhash, substrings, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +101,10 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *number,
                         F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
                         secrets.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = fingerprints.edited(table(spark, folder, "documents"))
+    return fingerprints.compared(pairs, F.length("text").cast("long").alias("n_chars"),
+                                 F.sha2("edited", 256).alias("edited_sha256")).withColumnRenamed("id", "doc_id")
