@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, mixing, secrets, simhash, substrings, toxicity, urls
+from ..session import checkpoint_dir
+from . import decontamination, fingerprints, htmltext, mixing, secrets, simhash, substrings, toxicity, urls, warc
+from .common import pinned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +112,27 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     pairs = fingerprints.edited(table(spark, folder, "documents"))
     return fingerprints.compared(pairs, F.length("text").cast("long").alias("n_chars"),
                                  F.sha2("edited", 256).alias("edited_sha256")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    place = os.path.join(checkpoint_dir(spark), "warc", uuid.uuid4().hex)
+    # the list of archives is pinned, so that they are written once
+    read = warc.records(pinned(warc.archived(table(spark, folder, "pages"), place)))
+    return read.select(F.col("id").alias("page_id"), F.col("length").alias("payload_bytes"),
+                       F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+ORACLES["op3_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, payload_bytes, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN keeper IS NOT NULL AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
+"""
+
+
+@query
+def op6_html(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
