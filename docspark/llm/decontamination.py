@@ -178,7 +178,7 @@ def share(wanted: set, there: set) -> float:
     return len(wanted & there) / len(wanted) if wanted else 1.0
 
 
-def leaks(docs: DataFrame, items: DataFrame, text: Column, *, item_id: str = "item_id", item_text: str = "text",
+def leaks(items: DataFrame, text: Column, *, item_id: str = "item_id", item_text: str = "text",
           least: float = 0.5, overlap: float = 0.8, width: int = 5, per_index: int = 20_000) -> Column:
     """A column with the test items that a text holds, ``[]`` if none: item, BM25 share, overlaps
     of question and answer, and the first word of the best passage.
@@ -224,5 +224,5 @@ def contaminated(docs: DataFrame, items: DataFrame, *, text: str = "text", id: s
     A document without one has no row; repeated rows are reported one by one, and so is a null
     id. Columns besides ``id`` and ``text`` are not looked at.
     """
-    found = docs.select(F.col(id), leaks(docs, items, F.col(text), **how).alias("_leaks"))
+    found = docs.select(F.col(id), leaks(items, F.col(text), **how).alias("_leaks"))
     return found.select(id, F.explode("_leaks").alias("_leak")).select(id, "_leak.*")
