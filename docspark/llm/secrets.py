@@ -33,8 +33,9 @@ ENCODINGS = [
 ENGLISH = [8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1,
            2.8, 0.98, 2.4, 0.15, 2.0, 0.074]
 #: What a token of text is taken to be: the share of digits and marks, and how often the class
-#: of a character (upper case, lower case, digit, mark) changes to the next.
-OTHER, CHANGES = 0.10, 0.20
+#: of a character (upper case, lower case, digit, mark) changes to the next, in one case and in
+#: two, where names in camel case change often.
+OTHER, CHANGES, MIXED_CHANGES = 0.10, 0.20, 0.45
 #: Serial correlation of the places of letters in words: vowels and consonants take turns.
 SERIAL = -0.15
 
@@ -122,9 +123,11 @@ def battery(token: Column) -> Column:
                 total(F.sequence(F.lit(1), F.size(v) - 1), lambda i: (F.element_at(v, i) - m) * (F.element_at(v, i + 1) - m)),
                 total(v, lambda x: (x - m) * (x - m))), F.lit(0.0)) - SERIAL) * F.sqrt(n)))
 
+        often = MIXED_CHANGES if "a" in alphabet and "A" in alphabet else CHANGES
+
         def changed(k: Column, n: Column) -> Column:
             changes = total(F.sequence(F.lit(1), F.size(k) - 1), lambda i: (F.element_at(k, i) != F.element_at(k, i + 1)).cast("double"))
-            return normal_tail((changes - 0.5 - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES)))
+            return normal_tail((changes - 0.5 - (n - 1) * often) / F.sqrt((n - 1) * often * (1 - often)))
 
         def statistics(c: Column) -> Column:
             n = F.size(c).cast("double")
