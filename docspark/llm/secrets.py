@@ -35,7 +35,7 @@ ENGLISH = [8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6
 #: What a token of text is taken to be: the share of digits and marks, and how often the class
 #: of a character (upper case, lower case, digit, mark) changes to the next, in one case and in
 #: two, where names in camel case change often.
-OTHER, CHANGES, MIXED_CHANGES = 0.10, 0.20, 0.45
+OTHER, CHANGES, MIXED_CHANGES = 0.10, 0.20, 0.35
 #: Serial correlation of the places of letters in words: vowels and consonants take turns.
 SERIAL = -0.15
 
@@ -145,7 +145,7 @@ def battery(token: Column) -> Column:
     return picked
 
 
-def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float = 0.001) -> DataFrame:
+def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float = 0.01) -> DataFrame:
     """``docs`` with ``base``, the spans of the listed patterns, and ``spans``, all of them:
     arrays of ``(start, kind, end)`` by start and kind, in code points, end exclusive.
 
