@@ -53,7 +53,13 @@ DATE_FORMATS = {
 
 
 def _pattern(name: str) -> str:
-    return DATE_FORMATS.get(name, name)
+    """The pattern of a named format, strict or not, or the pattern itself."""
+    plain = name.removeprefix("strict_")
+    if name in DATE_FORMATS or plain in DATE_FORMATS:
+        return DATE_FORMATS.get(name) or DATE_FORMATS[plain]
+    if re.fullmatch(r"[a-z]+(_[a-z]+)+", name):
+        raise ValueError(f"unknown date format {name!r}")
+    return name
 
 
 def parse_date(text: Column, formats: Sequence[str] | str) -> Column:

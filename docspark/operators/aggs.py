@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import pinned
 from .collapse import top_per_key
 
-# keys that one block of a running total should hold
-KEYS_PER_BLOCK = 100_000
 # empty buckets written at a time
 FILL_PIECE = 10_000
 
@@ -24,16 +23,18 @@ def _exploded(df: DataFrame, field: str) -> DataFrame:
     return df
 
 
-def terms_agg(df: DataFrame, field: str, size: int = 10, *, order: Sequence[Column] | None = None,
+def terms_agg(df: DataFrame, field: str, size: int | None = None, *, order: Sequence[Column] | None = None,
               min_doc_count: int = 1, metrics: Sequence[Column] = ()) -> DataFrame:
-    """``(key, doc_count, metrics..)`` of the biggest buckets: count descending, then key."""
+    """``(key, doc_count, metrics..)`` of all buckets, or of the ``size`` biggest: count
+    descending, then key."""
     buckets = (_exploded(df, field).where(F.col(field).isNotNull())
                .groupBy(F.col(field).alias("key"))
                .agg(F.count(F.lit(1)).alias("doc_count"), *metrics))
     if min_doc_count > 1:
         buckets = buckets.where(F.col("doc_count") >= min_doc_count)
     order = order or (F.desc("doc_count"), F.asc("key"))
-    return buckets.orderBy(*order).limit(size)
+    ranked = buckets.orderBy(*order)
+    return ranked if size is None else ranked.limit(size)
 
 
 def terms_other_count(df: DataFrame, field: str, size: int = 10) -> DataFrame:
@@ -81,7 +82,7 @@ def percentiles(df: DataFrame, field: str, points: Sequence[float] = (1, 5, 25,
         return out.select(*by, *[F.get("_q", i).alias(n) for i, n in enumerate(names)])
     counts = (df.where(F.col(field).isNotNull()).groupBy(*by, F.col(field).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    ranked = running_total(counts, "_v", "_c", by=by, name="_upto", blocks=1024, per_block=KEYS_PER_BLOCK)
+    ranked = running_total(counts, "_v", "_c", by=by, name="_upto")
     totals = df.where(F.col(field).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     if by:
         placed = _join_groups(ranked, totals, by)
@@ -95,7 +96,8 @@ def percentiles(df: DataFrame, field: str, points: Sequence[float] = (1, 5, 25,
         v_low = F.max(F.when((low >= before) & (low < F.col("_upto")), F.col("_v")))
         v_high = F.max(F.when((high >= before) & (high < F.col("_upto")), F.col("_v")))
         part = F.max(at - low)
-        aggs.append((v_low + (v_high - v_low) * part).alias(name))
+        # equal neighbours need no step between them, which infinite ones have not
+        aggs.append(F.when(v_low == v_high, v_low).otherwise(v_low + (v_high - v_low) * part).alias(name))
     return placed.groupBy(*by).agg(*aggs)
 
 
@@ -111,46 +113,26 @@ def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str],
     return left.join(renamed, cond).drop(*[f"_r_{c}" for c in [*by, *keys]])
 
 
-def _as_number(column: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.NumericType):
-        return column.cast("double")
-    return F.unix_micros(column.cast("timestamp")).cast("double")
-
-
 def running_total(df: DataFrame, order: str, value: str, *, by: Sequence[str] = (),
-                  name: str = "total", blocks: int = 64, per_block: int | None = None) -> DataFrame:
-    """Running sum in the order of unique numeric or time keys, without one task that sees
-    all rows.
-
-    The key range is cut into equal blocks; with ``per_block`` a block with more keys is cut
-    again into as many equal parts as it needs. A block sums on its own, and the sum of the
-    blocks before it is added: one row per block and group. The cuts depend on the data
-    alone, so a recomputed task finds the same ones.
+                  name: str = "total", parts: int | None = None) -> DataFrame:
+    """Running sum in the order of unique keys of any orderable type, strings too, without one
+    task that sees all rows.
+
+    The rows are dealt out by sampled ranges of the keys, so that ranges hold about as many
+    rows however the keys lie, and stored once in the shared folder: the ranges are the
+    same for all that follows. A range sums on its own, and the sum of the ranges before it
+    is added: one row per range and group.
     """
-    key = _as_number(F.col(order), df.schema[order].dataType)
-    ends = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias("e")).scalar()
-    share = F.coalesce(F.try_divide(key - ends["lo"], ends["hi"] - ends["lo"]), F.lit(0.0))
-    block = F.least(F.floor(share * blocks), F.lit(blocks - 1)).cast("int")
-    blocked = df.withColumn("_block", block)
-    cuts = ["_block"]
-    if per_block is not None:
-        # at most ``blocks`` rows
-        parts = blocked.groupBy("_block").agg(
-            F.ceil(F.count(F.lit(1)) / per_block).cast("double").alias("_parts"))
-        inner = (share * blocks - F.col("_block")) * F.col("_parts")
-        blocked = (blocked.join(F.broadcast(parts), "_block")
-                   .withColumn("_part", F.least(F.floor(inner), F.col("_parts") - 1).cast("int"))
-                   .drop("_parts"))
-        cuts.append("_part")
-    inside = Window.partitionBy(*by, *cuts).orderBy(order).rowsBetween(
+    keys = [*by, order]
+    dealt = df.repartitionByRange(*([parts] if parts else []), *keys)
+    dealt = pinned(dealt.withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("_range", *by).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = blocked.withColumn("_inside", F.sum(value).over(inside))
-    sums = blocked.groupBy(*by, *cuts).agg(F.sum(value).alias("_sum"))
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*cuts).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = sums.select(*by, *cuts,
-                          F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    out = _join_groups(local, offsets, by, cuts)
+    local = dealt.withColumn("_inside", F.sum(value).over(inside))
+    sums = dealt.groupBy(*by, "_range").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*by, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    out = _join_groups(local, offsets, by, ["_range"])
     return (out.withColumn(name, F.col("_inside") + F.col("_before"))
             .select(*df.columns, name))
 
@@ -186,7 +168,15 @@ def date_histogram(df: DataFrame, field: str, unit: str, *, fill: bool = True,
     if not fill:
         return buckets
     ends = buckets.agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo IS NOT NULL")
-    every = ends.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {step}"))).alias("key"))
+    # in pieces, each a row of its own that the tasks share: the calendar step is counted, not
+    # listed in one array
+    size, word = step.split()
+    unit_of = {"days": "DAY", "months": "MONTH"}.get(word, word.upper())
+    n = F.expr(f"timestampdiff({unit_of}, lo, hi) div {size}")
+    piece = ends.select("lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), n, F.lit(FILL_PIECE).cast("long"))).alias("at"))
+    begin = F.expr(f"timestampadd({unit_of}, cast(at * {size} as bigint), lo)")
+    last = F.least(F.expr(f"timestampadd({unit_of}, cast((at + {FILL_PIECE - 1}) * {size} as bigint), lo)"), F.col("hi"))
+    every = piece.repartition(F.col("at")).select(F.explode(F.sequence(begin, last, F.expr(f"interval {step}")).cast(T.ArrayType(dtype))).alias("key"))
     return every.join(buckets, "key", "left").withColumn(
         "doc_count", F.coalesce("doc_count", F.lit(0).cast("long")))
 
@@ -229,12 +219,13 @@ def sub_aggs(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column] = (),
     return grouped.agg(F.count(F.lit(1)).alias("doc_count"), *metrics, *level)
 
 
-def nested_buckets(df: DataFrame, outer: str, inner: str, *, size: int = 10,
+def nested_buckets(df: DataFrame, outer: str, inner: str, *, size: int | None = None,
                    inner_size: int = 10) -> DataFrame:
-    """Top outer buckets, each with its top inner buckets as an array."""
+    """All outer buckets, or the ``size`` biggest, each with its top inner buckets as an array."""
     pairs = df.where(F.col(outer).isNotNull()).groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
     outers = (pairs.groupBy(F.col(outer).alias("key")).agg(F.sum("n").alias("doc_count"))
-              .orderBy(F.desc("doc_count"), F.asc("key")).limit(size))
+              .orderBy(F.desc("doc_count"), F.asc("key")))
+    outers = outers if size is None else outers.limit(size)
     best = top_per_key(pairs, outer, (F.desc("n"), F.asc(inner)), inner_size)
     listed = best.groupBy(F.col(outer).alias("key")).agg(
         F.sort_array(F.collect_list(F.struct("_rank", F.col(inner).alias("key"),
@@ -293,7 +284,7 @@ def bucket_sort(buckets: DataFrame, order: Sequence[Column], size: int, start: i
     return buckets.orderBy(*order).offset(start).limit(size)
 
 
-def geohash_grid(df: DataFrame, cell: str, size: int = 10_000) -> DataFrame:
+def geohash_grid(df: DataFrame, cell: str, size: int | None = None) -> DataFrame:
     """Rows per cell of an existing cell column."""
     return terms_agg(df, cell, size)
 

@@ -55,17 +55,30 @@ def match_examples(docs: DataFrame, probes: DataFrame, fields: Sequence[str], *,
 
     A probe constrains the fields it fills. Probes with the same filled fields share one
     equi-join on exactly those that compare by equality; other matchers refine the pairs.
-    The patterns number at most ``2 ** len(fields)`` and are spelled out, not looked up.
-    Every probe has to fill at least one field that compares by equality; one that does not
-    would match by pattern alone and is evaluated by :func:`example_criteria`.
+    Which fields are filled together is looked up first: one number per combination that occurs.
+    Probes that fill no field that compares by equality match by pattern alone; they are a
+    request of their own and become one condition each, checked in one scan of the documents
+    (a probe without any field matches all of them).
     """
     matchers = matchers or {}
     _check(matchers, False)
     equal = [f for f in fields if matchers.get(f, "default") in ("default", "exact")]
     other = [f for f in fields if f not in equal]
     renamed = probes.select(F.col(probe_id), *[F.col(f).alias(f"_q_{f}") for f in fields])
+    filled = F.lit(0)
+    for i, f in enumerate(equal):
+        filled = filled + F.when(F.col(f"_q_{f}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    masks = sorted(r[0] for r in renamed.select(filled.alias("m")).distinct().collect())
     out = None
-    for mask in range(1, 1 << len(equal)):
+    if masks[:1] == [0]:
+        # the probes of a request, as literal conditions
+        asked = renamed.where(filled == 0).distinct().collect()
+        found = F.array(*[F.when(_by_pattern(row, equal, other, matchers, include_nulls), F.lit(row[probe_id]))
+                          for row in asked])
+        out = docs.withColumn(probe_id, F.explode(F.array_compact(found)))
+    for mask in masks:
+        if mask == 0:
+            continue
         used = [f for i, f in enumerate(equal) if mask >> i & 1]
         part = renamed
         for f in equal:
@@ -83,7 +96,17 @@ def match_examples(docs: DataFrame, probes: DataFrame, fields: Sequence[str], *,
             cond = cond & _pattern(F.col(f), F.col(f"_q_{f}"), matchers[f], include_nulls)
         joined = left.join(part, cond).drop(*[f"_q_{f}" for f in fields])
         out = joined if out is None else out.unionByName(joined)
-    return out
+    return docs.join(renamed.where(F.lit(False)), F.lit(False)).select(*docs.columns, probe_id) if out is None else out
+
+
+def _by_pattern(row, equal: Sequence[str], other: Sequence[str], matchers: Mapping[str, str],
+                include_nulls: bool) -> Column:
+    cond: Column = F.lit(True)
+    for f in other:
+        cond = cond & _pattern(F.col(f), F.lit(row[f"_q_{f}"]), matchers[f], include_nulls)
+    for f in equal if include_nulls else ():
+        cond = cond & F.col(f).isNull()
+    return cond
 
 
 def _pattern(value: Column, probe: Column, matcher: str, include_nulls: bool) -> Column:

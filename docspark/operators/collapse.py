@@ -29,8 +29,6 @@ def best_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 def collapse_inner_hits(df: DataFrame, key: str, order: Sequence[Column], n: int,
                         fields: Sequence[str], name: str = "inner_hits") -> DataFrame:
     """Per key its best ``n`` rows as an ordered array; ``n = 0`` gives empty arrays."""
-    if n == 0:
-        return df.select(key).distinct().withColumn(name, F.array())
-    ranked = top_per_key(df, key, order, n)
-    return ranked.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_rank", *fields))).alias(name))
+    ranked = top_per_key(df, key, order, max(n, 1))
+    listed = F.collect_list(F.when(F.col("_rank") <= n, F.struct("_rank", *fields)))
+    return ranked.groupBy(key).agg(F.sort_array(listed).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .aggs import KEYS_PER_BLOCK, running_total
+from .aggs import running_total
 
 
 def proximity_join(points: DataFrame, sites: DataFrame, metres: float, *, point_location: str,
@@ -57,36 +57,50 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell_degrees: float, *,
     """
     lat, lon = F.col(location)["lat"], F.col(location)["lon"]
     keyed = points.withColumns({"_row": F.floor(lat / cell_degrees), "_col": F.floor(lon / cell_degrees)})
-    b = F.col(box)
-    covered = (areas
+    # a box over the antimeridian is two boxes for the grid
+    whole = F.col(box)
+    halves = F.when(whole["left"] <= whole["right"], F.array(F.struct(whole["left"].alias("l"), whole["right"].alias("r")))).otherwise(
+        F.array(F.struct(whole["left"].alias("l"), F.lit(180.0).alias("r")),
+                F.struct(F.lit(-180.0).alias("l"), whole["right"].alias("r"))))
+    b, part = whole, F.col("_part")
+    covered = (areas.withColumn("_part", F.explode(halves))
                .withColumn("_row", F.explode(F.sequence(F.floor(b["bottom"] / cell_degrees),
                                                         F.floor(b["top"] / cell_degrees))))
-               .withColumn("_col", F.explode(F.sequence(F.floor(b["left"] / cell_degrees),
-                                                        F.floor(b["right"] / cell_degrees)))))
-    inside = lat.between(b["bottom"], b["top"]) & lon.between(b["left"], b["right"])
-    return keyed.join(covered, ["_row", "_col"]).where(inside).drop("_row", "_col")
+               .withColumn("_col", F.explode(F.sequence(F.floor(part["l"] / cell_degrees),
+                                                        F.floor(part["r"] / cell_degrees)))))
+    inside = lat.between(b["bottom"], b["top"]) & lon.between(part["l"], part["r"])
+    return keyed.join(covered, ["_row", "_col"]).where(inside).drop("_row", "_col", "_part")
 
 
 def count_overlaps(left: DataFrame, right: DataFrame, *, left_range: tuple[str, str],
-                   right_range: tuple[str, str], left_id: str) -> DataFrame:
+                   right_range: tuple[str, str], left_id: str,
+                   left_open: bool = False, right_open: bool = False) -> DataFrame:
     """``(left_id, overlaps)``: how many ranges of ``right`` touch each range of ``left``.
 
-    Closed ranges of numbers. ``right`` ranges that start at or before the end, less those
-    that end before the start: two rank lookups in sorted bounds and no pair is built. The
-    ranks come from one union per side with a running total over value blocks.
+    Ranges of numbers or times; a null side is open to that side. Ranges include both ends, or
+    with ``left_open`` / ``right_open`` only their beginnings. ``right`` ranges that start
+    before the end, less those that end before the start: two rank lookups in sorted bounds and
+    no pair is built. Of a range that ends before it begins nothing is defined.
     """
-    def rank(bounds: DataFrame, probes: DataFrame, strict: bool) -> DataFrame:
+    lo, hi = left_range
+    probes = left.select(F.col(left_id), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"))
+    n = right.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(right_range[0]).isNull()).alias("unstarted"))
+
+    def rank(bounds: DataFrame, of: DataFrame, strict: bool) -> DataFrame:
         # bounds <= probe, or < probe if strict
-        side = (bounds.groupBy("x").agg(F.count(F.lit(1)).alias("_n"))
-                .unionByName(probes.select("x").distinct().withColumn("_n", F.lit(0).cast("long"))))
+        side = (bounds.where("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("_n"))
+                .unionByName(of.select("x").where("x is not null").distinct().withColumn("_n", F.lit(0).cast("long"))))
         merged = side.groupBy("x").agg(F.sum("_n").alias("_n"))
-        total = running_total(merged, "x", "_n", name="_upto", blocks=1024, per_block=KEYS_PER_BLOCK)
+        total = running_total(merged, "x", "_n", name="_upto")
         value = F.col("_upto") - F.col("_n") if strict else F.col("_upto")
         return total.select("x", value.alias("_r"))
 
-    lo, hi = left_range
-    started = rank(right.select(F.col(right_range[0]).alias("x")), left.select(F.col(hi).alias("x")), False)
-    ended = rank(right.select(F.col(right_range[1]).alias("x")), left.select(F.col(lo).alias("x")), True)
-    out = left.join(started.select(F.col("x").alias(hi), F.col("_r").alias("_s")), hi)
-    out = out.join(ended.select(F.col("x").alias(lo), F.col("_r").alias("_e")), lo)
-    return out.select(left_id, (F.col("_s") - F.col("_e")).alias("overlaps"))
+    # started: begins at or before the end (before it, where the end does not belong to left);
+    # ended: ends before the start (at it, where the end does not belong to right)
+    started = rank(right.select(F.col(right_range[0]).alias("x")), probes.select(F.col("_hi").alias("x")), left_open)
+    ended = rank(right.select(F.col(right_range[1]).alias("x")), probes.select(F.col("_lo").alias("x")), not right_open)
+    out = probes.join(started.select(F.col("x").alias("_hi"), F.col("_r").alias("_s")), "_hi", "left")
+    out = out.join(ended.select(F.col("x").alias("_lo"), F.col("_r").alias("_e")), "_lo", "left")
+    every = n.select(F.struct("n", "unstarted").alias("s")).scalar()
+    begun = F.when(F.col("_hi").isNull(), every["n"]).otherwise(F.coalesce("_s", F.lit(0)) + every["unstarted"])
+    return out.select(left_id, (begun - F.coalesce("_e", F.lit(0))).alias("overlaps"))

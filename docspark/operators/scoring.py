@@ -9,10 +9,11 @@ aggregate that every task pre-aggregates. That aggregate is a one-row scalar sub
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import analysis as A
 from ..plans.criteria import Context, Criteria, Node
@@ -33,20 +34,26 @@ def tf_norm(tf: Column, length: Column, avg_length: Column, k1: float = K1, b: f
 class _Scoring:
     """The scoring side of a Context: per text field a length, per term a frequency column."""
 
-    def __init__(self, schema: DocSchema, wanted: dict[str, list[str]], similarity: str):
-        self.schema, self.wanted, self.similarity = schema, wanted, similarity
+    def __init__(self, schema: DocSchema, wanted: dict[str, list[str]], similarity: str, struct: T.StructType):
+        self.schema, self.wanted, self.similarity, self.struct = schema, wanted, similarity, struct
         self.number = {f: i for i, f in enumerate(wanted)}
 
     def _name(self, kind: str, field: str, term: str | None = None) -> str:
         base = f"__{kind}{self.number[field]}"
         return base if term is None else f"{base}_{self.wanted[field].index(term)}"
 
+    def _text(self, field: str) -> Column:
+        """The text of a field; several values are read one after the other."""
+        name = self.schema.field(field).stored
+        kind = self.struct[name].dataType if name in self.struct.fieldNames() else None
+        return F.array_join(name, " \n ") if isinstance(kind, T.ArrayType) else F.col(name)
+
     def statistics(self, docs: DataFrame) -> Column:
         """One struct of corpus numbers as a scalar subquery."""
         counts, aggs = [], []
         for f, terms in self.wanted.items():
             spec = self.schema.field(f)
-            length, text = F.col(self._name("len", f)), F.col(spec.stored)
+            length, text = F.col(self._name("len", f)), self._text(f)
             counts.append(F.coalesce(spec.analyzer.length(text), F.lit(0)).alias(self._name("len", f)))
             n = F.count_if(length > 0)
             aggs.append(n.cast("double").alias(self._name("n", f)))
@@ -64,7 +71,7 @@ class _Scoring:
         counts = {}
         for f, terms in self.wanted.items():
             spec = self.schema.field(f)
-            text = F.col(spec.stored) if only is None else F.when(only, F.col(spec.stored))
+            text = self._text(f) if only is None else F.when(only, self._text(f))
             counts[self._name("len", f)] = F.coalesce(spec.analyzer.length(text), F.lit(0)).cast("double")
             for t in terms:
                 counts[self._name("tf", f, t)] = F.coalesce(
@@ -94,7 +101,7 @@ class _Scoring:
         if not terms:
             return F.lit(0.0)
         spec = self.schema.field(field)
-        freq = spec.analyzer.phrase_frequency(F.col(spec.stored), terms).cast("double")
+        freq = spec.analyzer.phrase_frequency(self._text(field), terms).cast("double")
         total = sum((self._idf(field, t) for t in terms), F.lit(0.0))
         return F.when(freq > 0, self._weight(field, freq, total)).otherwise(F.lit(0.0))
 
@@ -111,6 +118,17 @@ class _Scoring:
         return F.filter(F.array(*parts), lambda p: p["tf"] > 0)
 
 
+def _wanted(nodes: Iterable[Node], schema: DocSchema) -> dict[str, list[str]]:
+    """The terms of each text field that weigh in the score of any node."""
+    wanted: dict[str, list[str]] = {}
+    for leaf in (leaf for node in nodes for leaf in node.leaves()):
+        for t in leaf.terms(schema):
+            terms = wanted.setdefault(leaf.field, [])
+            if t not in terms:
+                terms.append(t)
+    return wanted
+
+
 def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
                corpus: DataFrame | None = None, similarity: str = "bm25",
                explain: bool = False, column: str = "_score") -> DataFrame:
@@ -123,13 +141,8 @@ def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
         raise ValueError(f"unknown similarity {similarity!r}")
     if isinstance(node, Criteria):
         node = node.build()
-    wanted: dict[str, list[str]] = {}
-    for leaf in node.leaves():
-        for t in leaf.terms(schema):
-            terms = wanted.setdefault(leaf.field, [])
-            if t not in terms:
-                terms.append(t)
-    scoring = _Scoring(schema, wanted, similarity)
+    wanted = _wanted([node], schema)
+    scoring = _Scoring(schema, wanted, similarity, docs.schema)
     ctx = Context(docs.schema, schema, scoring)
     hits = docs.where(node.match(ctx))
     hits = scoring.prepare(hits, corpus if corpus is not None else docs)
@@ -164,14 +177,18 @@ def index_boost(hits: DataFrame, factors: dict[str, float], index_column: str =
     return hits.withColumn("_score", F.col("_score") * factor)
 
 
-def matched_queries(docs: DataFrame, schema: DocSchema, clauses: dict[str, Node]) -> DataFrame:
-    """``matched_queries``: the named clauses that hold for a row, with their scores."""
-    ctx = Context(docs.schema, schema)
+def matched_queries(docs: DataFrame, schema: DocSchema, clauses: dict[str, Node],
+                    corpus: DataFrame | None = None) -> DataFrame:
+    """``matched_queries``: the named clauses that hold for a row, with their scores. Text clauses
+    score their relevance in ``corpus`` (default: ``docs``)."""
+    scoring = _Scoring(schema, _wanted(clauses.values(), schema), "bm25", docs.schema)
+    ctx = Context(docs.schema, schema, scoring)
+    prepared = scoring.prepare(docs, corpus if corpus is not None else docs)
     entries = F.array(*[F.struct(F.lit(n).alias("key"), c.score(ctx).alias("value"),
                                  c.match(ctx).alias("hit")) for n, c in clauses.items()])
     kept = F.transform(F.filter(entries, lambda e: e["hit"]),
                        lambda e: F.struct(e["key"], e["value"]))
-    return docs.withColumn("matched_queries", F.map_from_entries(kept))
+    return prepared.withColumn("matched_queries", F.map_from_entries(kept)).select(*docs.columns, "matched_queries")
 
 
 # --- re-ranking ---------------------------------------------------------------------------------
@@ -202,13 +219,7 @@ def rescore(hits: DataFrame, schema: DocSchema, node: Node, *, tie_break: str, w
             .agg(F.max(F.struct(-F.col("_score"), F.col(tie_break))).alias("k")).scalar())
     key = F.struct(-F.col("_score"), F.col(tie_break))
     base = hits.withColumn("_rescored", (key > last).cast("int"))
-    wanted: dict[str, list[str]] = {}
-    for leaf in node.leaves():
-        for t in leaf.terms(schema):
-            wanted.setdefault(leaf.field, [])
-            if t not in wanted[leaf.field]:
-                wanted[leaf.field].append(t)
-    scoring = _Scoring(schema, wanted, "bm25")
+    scoring = _Scoring(schema, _wanted([node], schema), "bm25", hits.schema)
     ctx = Context(hits.schema, schema, scoring)
     prepared = scoring.prepare(base, corpus if corpus is not None else hits,
                                only=F.col("_rescored") == 0)

@@ -173,19 +173,23 @@ def suggest_completion(rows: DataFrame, prefix: str, id: str, *, size: int = 5,
 
 
 def suggest_completion_batch(rows: DataFrame, prefixes: DataFrame, prefix: str, id: str, *,
-                             size: int = 5, max_prefix: int = 20) -> DataFrame:
-    """Many prefixes at once: every input is keyed by its own leading substrings and meets the
-    prefixes in an equi-join. ``max_prefix`` bounds the keys of an input, not the prefixes: a
-    longer one joins by its beginning and is then compared as a whole.
+                             size: int = 5) -> DataFrame:
+    """Many prefixes at once: an input is keyed by its beginnings of the lengths that are asked
+    for, at most one number per length on the driver, and meets the prefixes in an equi-join.
+
+    A beginning keeps its ``size`` best inputs, the least text and id first, before the join,
+    inside every task before the shuffle. So a short prefix that very many inputs share is one
+    row per task and rank.
     """
     asked = prefixes.select(F.col(prefix).alias("prefix"),
                             normalize_input(F.col(prefix)).alias("_p")).distinct()
-    asked = asked.withColumn("_lead", F.substring("_p", 1, max_prefix))
-    lead = F.transform(F.sequence(F.lit(0), F.least(F.length("key"), F.lit(max_prefix))),
-                       lambda n: F.substring(F.col("key"), F.lit(1), n))
-    keyed = rows.withColumn("_lead", F.explode(lead))
-    joined = keyed.join(asked, "_lead").where(F.startswith("key", F.col("_p"))).drop("_p", "_lead")
-    return top_per_key(joined, "prefix", (F.desc("weight"), F.asc("input"), F.asc(id)), size, rank="rank")
+    lengths = sorted(r[0] for r in asked.select(F.length("_p").alias("n")).distinct().collect())
+    if not lengths:
+        lengths = [0]
+    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("key"))
+    keyed = rows.withColumn("_p", F.explode(F.transform(fitting, lambda n: F.substring(F.col("key"), F.lit(1), n))))
+    best = top_per_key(keyed, "_p", (F.desc("weight"), F.asc("input"), F.asc(id)), size, rank="rank")
+    return asked.join(best, "_p").select(*rows.columns, "prefix", "rank")
 
 
 def suggest_hits(suggestions: DataFrame, docs: DataFrame, id: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -13,21 +14,21 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .collapse import top_per_key
 
 SIMILARITIES = ("cosine", "dot_product", "l2_norm", "max_inner_product")
-# widest query vector that is written out as one arithmetic expression
-UNROLL = 256
 # query vectors sent to the tasks at a time (8 MB at 1024 dimensions)
 QUERY_BLOCK = 1024
 
 
+def _pairs(a: Column, b: Column | Sequence[float], combine) -> Column:
+    """Sum over the places of two vectors; null if their lengths differ."""
+    other = b if isinstance(b, Column) else F.array(*[F.lit(float(x)) for x in b]).cast("array<double>")
+    total = F.aggregate(F.zip_with(a, other, lambda x, y: combine(x.cast("double"), y.cast("double"))),
+                        F.lit(0.0), lambda s, x: s + x)
+    return F.when(F.size(a) == F.size(other), total)
+
+
 def dot(a: Column, b: Column | Sequence[float]) -> Column:
-    """Inner product. A short literal vector is unrolled: plain arithmetic that stays in
-    generated code."""
-    if isinstance(b, Column):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                           F.lit(0.0), lambda s, x: s + x)
-    if len(b) > UNROLL:
-        return dot(a, F.array(*[F.lit(float(x)) for x in b]))
-    return _tree([F.get(a, i).cast("double") * float(x) for i, x in enumerate(b)])
+    """Inner product; null for vectors of different lengths, as in every measure here."""
+    return _pairs(a, b, lambda x, y: x * y)
 
 
 def _tree(parts: list[Column]) -> Column:
@@ -43,12 +44,7 @@ def norm(a: Column) -> Column:
 
 
 def squared_distance(a: Column, b: Column | Sequence[float]) -> Column:
-    if isinstance(b, Column):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
-                                      * (x.cast("double") - y.cast("double"))),
-                           F.lit(0.0), lambda s, x: s + x)
-    parts = [F.get(a, i).cast("double") - float(x) for i, x in enumerate(b)]
-    return _tree([p * p for p in parts])
+    return _pairs(a, b, lambda x, y: (x - y) * (x - y))
 
 
 def raw_similarity(a: Column, b: Column | Sequence[float], metric: str = "cosine") -> Column:
@@ -143,6 +139,7 @@ def knn_batch(docs: DataFrame, queries: DataFrame, vector: str, k: int, *, id: s
     """
     spark = docs.sparkSession
     rows = docs.select(id, vector).where(F.col(vector).isNotNull())
+    # only vectors of one length compare; others are no neighbours
     q_type, id_type = (to_arrow_type(d.schema[c].dataType) for d, c in ((queries, query_id), (docs, id)))
     schema = f"query_id {queries.schema[query_id].dataType.simpleString()}, " \
              f"{id} {docs.schema[id].dataType.simpleString()}, _score double"
@@ -156,6 +153,10 @@ def knn_batch(docs: DataFrame, queries: DataFrame, vector: str, k: int, *, id: s
             q_keys = np.asarray(q_ids)
             best = None
             for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                fits = pc.equal(pc.list_value_length(batch.column(1)), q.shape[1])
+                batch = batch.filter(fits)
                 if batch.num_rows == 0:
                     continue
                 ids = np.asarray(batch.column(0).to_pylist())
@@ -177,15 +178,16 @@ def knn_batch(docs: DataFrame, queries: DataFrame, vector: str, k: int, *, id: s
 
 
 def _blocks(source: DataFrame):
-    """Query vectors in bounded blocks, read one partition at a time."""
-    ids, vectors = [], []
+    """Query vectors of one length in bounded blocks, read one partition at a time."""
+    held: dict[int, tuple[list, list]] = {}
     for row in source.toLocalIterator(prefetchPartitions=True):
+        ids, vectors = held.setdefault(len(row["v"]), ([], []))
         ids.append(row["q"])
         vectors.append(row["v"])
         if len(ids) == QUERY_BLOCK:
             yield ids, np.asarray(vectors, dtype=np.float64)
-            ids, vectors = [], []
-    if ids:
+            del held[len(row["v"])]
+    for ids, vectors in held.values():
         yield ids, np.asarray(vectors, dtype=np.float64)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.search import source_filter
@@ -27,12 +27,22 @@ class WriteResult:
     rejected: DataFrame | None = None
 
 
+def _place(df: DataFrame, order: str | None) -> Column:
+    """The place of a write within its bulk. Without ``order`` rows have none; the same one of
+    those that repeat an id always wins, so that ids stay unique."""
+    return F.col(order) if order else F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def _last_per_id(incoming: DataFrame, id: str, order: str | None) -> DataFrame:
-    """Within one bulk the last write of an id stands; ``order`` may be left out only where
-    ids do not repeat."""
-    if order is None:
-        return incoming
-    return top_per_key(incoming, id, (F.desc(order),), 1).drop("_rank")
+    """Within one bulk the last write of an id stands."""
+    return top_per_key(incoming, id, (F.desc(_place(incoming, order)),), 1).drop("_rank")
+
+
+def _first_per_id(incoming: DataFrame, id: str, order: str | None) -> tuple[DataFrame, DataFrame]:
+    """The first write of every id, and the others."""
+    place = Window.partitionBy(id).orderBy(_place(incoming, order))
+    ranked = incoming.withColumn("_place", F.row_number().over(place))
+    return ranked.where("_place = 1").drop("_place"), ranked.where("_place > 1").drop("_place")
 
 
 def bulk_index(current: DataFrame, incoming: DataFrame, id: str, order: str | None = None) -> WriteResult:
@@ -43,13 +53,13 @@ def bulk_index(current: DataFrame, incoming: DataFrame, id: str, order: str | No
 
 
 def bulk_create(current: DataFrame, incoming: DataFrame, id: str, order: str | None = None) -> WriteResult:
-    """Insert only; an id that exists is refused and listed."""
+    """Insert only; an id that exists, also one that an earlier row of the bulk made, is
+    refused and listed."""
     held = current.select(id)
-    fresh = incoming.join(held, id, "left_anti")
-    if order is not None:
-        fresh = top_per_key(fresh, id, (F.asc(order),), 1).drop("_rank")
-    accepted = fresh.select(*current.columns)
-    rejected = incoming.join(held, id, "left_semi").withColumn("_reason", F.lit("document already exists"))
+    first, later = _first_per_id(incoming.join(held, id, "left_anti"), id, order)
+    accepted = first.select(*current.columns)
+    rejected = (incoming.join(held, id, "left_semi").unionByName(later.select(*incoming.columns))
+                .withColumn("_reason", F.lit("document already exists")))
     return WriteResult(current.unionByName(accepted), accepted, rejected)
 
 
@@ -64,33 +74,38 @@ def version_upsert(current: DataFrame, incoming: DataFrame, id: str, version: st
     both = (current.withColumns({"_new": F.lit(0), "_seq": F.lit(0).cast("long")})
             .unionByName(incoming.withColumns({"_new": F.lit(1), "_seq": seq})
                          .select(*current.columns, "_new", "_seq")))
-    tie = (F.desc("_new"), F.desc("_seq")) if or_equal else (F.asc("_new"), F.asc("_seq"))
+    same = F.xxhash64(*current.columns)
+    tie = (F.desc("_new"), F.desc("_seq"), same) if or_equal else (F.asc("_new"), F.asc("_seq"), same)
     best = top_per_key(both, id, (F.desc(version), *tie), 1)
     accepted = best.where(F.col("_new") == 1).select(*current.columns)
     return WriteResult(best.select(*current.columns), accepted,
-                       version_conflicts(current, incoming, id, version, or_equal))
+                       version_conflicts(current, incoming, id, version, or_equal, order))
 
 
 def version_conflicts(current: DataFrame, incoming: DataFrame, id: str, version: str,
-                      or_equal: bool = False) -> DataFrame:
-    """Incoming rows that lose against the stored version."""
+                      or_equal: bool = False, order: str | None = None) -> DataFrame:
+    """Incoming rows that lose against the stored version or an earlier row of the batch."""
     stored = current.select(id, F.col(version).alias("_stored"))
-    lost = F.col(version) < F.col("_stored") if or_equal else F.col(version) <= F.col("_stored")
-    return (incoming.join(stored, id).where(lost)
-            .withColumn("_reason", F.lit("version conflict")))
+    earlier = Window.partitionBy(id).orderBy(_place(incoming, order)).rowsBetween(Window.unboundedPreceding, -1)
+    best = incoming.withColumn("_best", F.max(version).over(earlier)).join(stored, id, "left")
+    against = F.greatest("_stored", "_best")  # nulls are passed over
+    lost = F.col(version) < against if or_equal else F.col(version) <= against
+    return best.where(lost).drop("_best").withColumn("_reason", F.lit("version conflict"))
 
 
 def seqno_conflict(current: DataFrame, incoming: DataFrame, id: str, seq_no: str,
-                   primary_term: str | None = None, version: str | None = None) -> WriteResult:
+                   primary_term: str | None = None, version: str | None = None,
+                   order: str | None = None) -> WriteResult:
     """Optimistic lock: the change must carry the sequence number that is stored. Accepted
-    rows get the next one."""
+    rows get the next one; so of several changes with the stored number the first wins and the
+    others are refused."""
     if version is not None:
         raise ValueError("a sequence number and a version cannot be used together")
     lock = [id, seq_no] + ([primary_term] if primary_term else [])
     held = current.select(*lock)
-    accepted = incoming.join(held, lock, "left_semi").select(*current.columns)
-    accepted = accepted.withColumn(seq_no, F.col(seq_no) + 1)
-    rejected = (incoming.join(held, lock, "left_anti")
+    first, later = _first_per_id(incoming.join(held, lock, "left_semi"), id, order)
+    accepted = first.select(*current.columns).withColumn(seq_no, F.col(seq_no) + 1)
+    rejected = (incoming.join(held, lock, "left_anti").unionByName(later.select(*incoming.columns))
                 .withColumn("_reason", F.lit("sequence number conflict")))
     kept = current.join(accepted.select(id), id, "left_anti").select(*current.columns)
     return WriteResult(kept.unionByName(accepted), accepted, rejected)
@@ -98,10 +113,9 @@ def seqno_conflict(current: DataFrame, incoming: DataFrame, id: str, seq_no: str
 
 def _merged_patch(patch: DataFrame, id: str, fields: Sequence[str], order: str | None) -> DataFrame:
     """Several patches of one id become one: the last given value of every field."""
-    if order is None:
-        return patch.select(id, *fields)
+    place = _place(patch, order)
     return patch.groupBy(id).agg(*[
-        F.max_by(f, F.when(F.col(f).isNotNull(), F.col(order))).alias(f) for f in fields])
+        F.max_by(f, F.when(F.col(f).isNotNull(), place)).alias(f) for f in fields])
 
 
 def partial_update(current: DataFrame, patch: DataFrame, id: str, fields: Sequence[str],
@@ -230,7 +244,15 @@ class Reindex:
         return bulk_index(target, docs, id)
 
     def counts(self, source: DataFrame, target: DataFrame, id: str) -> DataFrame:
-        """``total``, ``created`` and ``updated`` (or ``version_conflicts`` for create)."""
+        """``total``, ``created`` and ``updated`` (or ``version_conflicts`` for create); with a
+        version all of them, since a copy may lose against what is there."""
+        if self.version is not None:
+            done = self.into(source, target, id)
+            n = done.accepted.join(target.select(id, F.lit(1).alias("_held")), id, "left").agg(
+                F.count_if(F.col("_held").isNull()).alias("created"), F.count("_held").alias("updated"))
+            total = self.documents(source, id).agg(F.count(F.lit(1)).alias("total")).scalar()
+            return n.select(total.alias("total"), "created", "updated").withColumn(
+                "version_conflicts", F.col("total") - F.col("created") - F.col("updated"))
         held = target.select(id, F.lit(1).alias("_held"))
         found = self.documents(source, id).join(held, id, "left")
         second = "version_conflicts" if self.op_type == "create" else "updated"

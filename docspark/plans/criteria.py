@@ -198,19 +198,28 @@ class Leaf(Node):
         spec = ctx.schema.field(self.field)
         nested = ctx.schema.nested_path(self.field)
         if nested is not None:
-            inner = self.field[len(nested) + 1:]
-            array = F.col(ctx.schema.field(nested).stored)
-            dtype = ctx.type_of(spec.stored)
-            return F.exists(array, lambda x: self.on(_path(x, inner), spec, dtype))
+            return self._inside(F.col(ctx.schema.field(nested).stored), ctx.type_of(nested),
+                                self.field[len(nested) + 1:].split("."), spec)
         dtype = ctx.type_of(spec.stored)
         return self.on(ctx.column(self.field), spec, dtype)
 
+    def _inside(self, column: Column, dtype: T.DataType, path: Sequence[str], spec: FieldSpec) -> Column:
+        """The condition below an array of objects, which may hold arrays of objects in turn."""
+        if not path:
+            return self.on(column, spec, dtype)
+        if isinstance(dtype, T.ArrayType):
+            return F.exists(column, lambda x: self._inside(x, dtype.elementType, path, spec))
+        inner = dtype[path[0]].dataType if isinstance(dtype, T.StructType) else None
+        return self._inside(column.getField(path[0]), inner, path[1:], spec)
+
     def on(self, column: Column, spec: FieldSpec, dtype: T.DataType | None) -> Column:
         """The condition on a given column, which may be an element of a nested array."""
         column = stored_value(spec, column)
         value = spec.value(self.value)
         is_array = isinstance(dtype, T.ArrayType) and spec.role not in ("vector", "nested")
         if self.op in _WHOLE:
+            if spec.role == "text" and self.op in ("empty", "not_empty"):
+                return _termless(column, spec, is_array, self.op == "empty")
             return _WHOLE[self.op](column, is_array)
         fn = _TEXT.get(self.op) if spec.role == "text" else None
         fn = fn or _EXACT.get(self.op)
@@ -313,7 +322,7 @@ _EXACT = {
     "gte": lambda c, v, s, t: c >= literal(v, t),
     "between": _between,
     "in": _isin,
-    "matches": lambda c, v, s, t: _isin(c, v.split() if isinstance(v, str) else [v], s, t),
+    "matches": lambda c, v, s, t: c == literal(v, t),
     "matches_all": lambda c, v, s, t: c == literal(v, t),
     "phrase": lambda c, v, s, t: c == literal(v, t),
     "fuzzy": lambda c, v, s, t: A.within_edits(c, *_fuzzy_edits(v)),
@@ -432,6 +441,14 @@ def _exists(c: Column, is_array: bool) -> Column:
     return c.isNotNull() & (F.size(c) > 0) if is_array else c.isNotNull()
 
 
+def _termless(c: Column, spec: FieldSpec, is_array: bool, empty: bool) -> Column:
+    """A text is empty if it has no term, whatever characters it has."""
+    an = spec.analyzer
+    has = (lambda x: F.lower(x).rlike(an.word)) if an.word is not None else (lambda x: F.size(an.column(x)) > 0)
+    some = F.exists(c, has) if is_array else has(c)
+    return c.isNotNull() & ~_false_if_null(some) if empty else some
+
+
 _WHOLE = {
     "exists": _exists,
     "is_null": lambda c, arr: ~_exists(c, arr),
@@ -519,6 +536,20 @@ class _Link:
     groups: list[Criteria] = dc_field(default_factory=list)
 
 
+_REQUIRED, _ALTERNATIVE, _EXCLUDED = "required", "alternative", "excluded"
+
+
+@dataclass
+class _Clause:
+    """One part of a chain and the role it plays in the whole."""
+
+    node: Node
+    role: str
+    negated: bool = False
+    filter: bool = False
+    group: bool = False
+
+
 class Criteria:
     """``Criteria.where(..).is_(..).and_(..).gt(..).or_(..).contains(..)``.
 
@@ -562,42 +593,37 @@ class Criteria:
         return self
 
     def build(self, compat: bool = False) -> Node:
-        """The chain as a :class:`Bool`.
-
-        The first condition joins ``should`` if all others are alternatives, otherwise
-        ``must`` (or ``must_not``). So ``a AND b OR c`` requires a and b, and c only adds to
-        the score. Geo conditions become filters. With ``compat`` a negated first
-        condition among alternatives loses its negation, as the chain rule strictly
-        says; by default it stays negated.
+        """The chain as a :class:`Bool`: every clause goes where its role says.
+
+        ``and_`` makes a required clause, ``or_`` an alternative, ``not_`` after ``and_`` an
+        excluded one. The head of the chain has no word before it, so the others decide: it is one
+        more alternative if there are alternatives and nothing else. So ``a AND b OR c``
+        requires a and b, and c only adds to the score. Geo conditions become filters. With
+        ``compat`` a negated head among alternatives loses its negation, as the chain rule
+        strictly says; by default it stays negated.
         """
-        should, must, must_not, filters = [], [], [], []
-        first: Node | None = None
-        first_negated = False
-        for link in self.links:
-            for leaf in link.leaves:
-                if leaf.op in _GEO_OPS:
-                    filters.append(~leaf if link.negated else leaf)
-            fragment = self._fragment(link)
-            if fragment is None:
-                continue
-            if first is None:
-                first, first_negated = fragment, link.negated
-            elif link.or_:
-                should.append(~fragment if link.negated else fragment)
-            else:
-                (must_not if link.negated else must).append(fragment)
-        for link in self.links:
-            for group in link.groups:
-                target = should if link.or_ else must_not if link.negated else must
-                target.append(group.build(compat))
-        if first is not None:
-            if should and not must and not must_not:
-                should.insert(0, ~first if first_negated and not compat else first)
-            else:
-                (must_not if first_negated else must).insert(0, first)
-        if not (should or must or must_not):
-            must.append(MatchAll())
-        return Bool(tuple(must), tuple(should), tuple(must_not), tuple(filters))
+        clauses = [clause for link in self.links for clause in self._clauses(link, compat)]
+        head = next((c for c in clauses if not c.group and not c.filter), None)
+        others = {c.role for c in clauses if c is not head and not c.filter}
+        if head is not None:
+            head.role = _ALTERNATIVE if others == {_ALTERNATIVE} else _EXCLUDED if head.negated else _REQUIRED
+            if head.role == _ALTERNATIVE and compat:
+                head.negated = False
+
+        def having(role: str) -> tuple[Node, ...]:
+            return tuple(~c.node if c.negated and role == _ALTERNATIVE and not c.group else c.node
+                         for c in clauses if c.role == role and not c.filter)
+
+        filters = tuple(~c.node if c.negated else c.node for c in clauses if c.filter)
+        required = having(_REQUIRED) if head is not None or others else (MatchAll(),)
+        return Bool(required, having(_ALTERNATIVE), having(_EXCLUDED), filters)
+
+    def _clauses(self, link: _Link, compat: bool) -> list[_Clause]:
+        role = _ALTERNATIVE if link.or_ else _EXCLUDED if link.negated else _REQUIRED
+        places = [_Clause(leaf, role, link.negated, filter=True) for leaf in link.leaves if leaf.op in _GEO_OPS]
+        condition = self._fragment(link)
+        own = [] if condition is None else [_Clause(condition, role, link.negated)]
+        return places + own + [_Clause(g.build(compat), role, link.negated, group=True) for g in link.groups]
 
     @staticmethod
     def _fragment(link: _Link) -> Node | None:

@@ -13,14 +13,13 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators import scoring
-from ..operators.aggs import KEYS_PER_BLOCK, running_total
+from ..operators.aggs import running_total
 from ..operators.collapse import best_per_key
 from ..schema import DocSchema
 from .criteria import Bool, Context, Criteria, MatchAll, Node, literal
 
-# Rows of a page, rows of an unpaged request.
+# Fixed value: rows of a page.
 DEFAULT_PAGE = 10
-UNPAGED = 10_000
 
 
 @dataclass(frozen=True)
@@ -212,8 +211,8 @@ class Search:
         return replace(self, size=size if self.size is None else min(self.size, size)
                        if self.offset else size)
 
-    def unpaged(self, window: int | None = UNPAGED) -> Search:
-        """All hits up to the result window; ``None`` lifts the window."""
+    def unpaged(self, window: int | None = None) -> Search:
+        """All hits, or those up to a result window."""
         return replace(self, offset=0, size=window)
 
     def search_after(self, *values: Any) -> Search:
@@ -347,12 +346,11 @@ class Search:
 
     def batches(self, size: int = 500, max_results: int | None = None) -> DataFrame:
         """All hits with the number of the batch they fall in when read in the order of the
-        (numeric or time) id: the distributed form of reading page after page."""
+        id, of any type: the distributed form of reading page after page."""
         key = self.schema.id
         hits = self._filtered()
         one = hits.select(key, F.lit(1).alias("_one"))
-        ranked = running_total(one, key, "_one", name="_nr", blocks=1024,
-                               per_block=KEYS_PER_BLOCK).select(key, "_nr")
+        ranked = running_total(one, key, "_one", name="_nr").select(key, "_nr")
         if max_results is not None:
             ranked = ranked.where(F.col("_nr") <= max_results)
         batch = F.floor((F.col("_nr") - 1) / size).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,3 +43,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return os.path.join(tempfile.gettempdir(), "docspark-checkpoints")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared folder: what follows reads those files, so
+    its cuts and ranges stay the same when an executor is lost."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    return df.checkpoint()

@@ -22,11 +22,20 @@ BUCKET = "_bucket"
 
 class Collection:
     def __init__(self, spark: SparkSession, path: str, *, id: str, routing: str | None = None,
-                 buckets: int = 16, sort_by: Sequence[str] = ()):
+                 buckets: int | None = None, sort_by: Sequence[str] = ()):
+        """Opens a collection, or names a new one. The number of ``buckets`` (16 if nothing is said)
+        and the routing column are kept in the manifest: choose them by the size that a
+        collection will have, since a change rewrites the buckets that it touches."""
         self.spark, self.path, self.id = spark, path.rstrip("/"), id
-        self.routing, self.buckets, self.sort_by = routing or id, buckets, tuple(sort_by)
+        self.sort_by = tuple(sort_by)
         self._jpath = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._jpath(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        numbers = self._versions()
+        stored = self._manifest(numbers[-1]).get("layout") if numbers else None
+        if stored and (buckets not in (None, stored["buckets"]) or routing not in (None, stored["routing"])):
+            raise ValueError(f"{path} is laid out by {stored['routing']!r} in {stored['buckets']} buckets")
+        self.buckets = stored["buckets"] if stored else buckets or 16
+        self.routing = stored["routing"] if stored else routing or id
 
     # --- lifecycle -----------------------------------------------------------------------
 
@@ -84,6 +93,8 @@ class Collection:
         changes nothing.
         """
         version = self.version()
+        if version is None:
+            raise ValueError(f"no such collection: {self.path}")
         manifest = self._manifest(version)
         if batch is not None and manifest.get("batch", -1) >= batch:
             return version
@@ -109,6 +120,7 @@ class Collection:
         held.update({b: number for b in self._buckets_in(number)})
         last = batch if batch is not None else old.get("batch", -1)
         self._write_manifest(number, {"buckets": held, "batch": last,
+                                      "layout": {"buckets": self.buckets, "routing": self.routing},
                                       "schema": rows.schema.jsonValue()})
         return number
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +20,6 @@ def read_index(spark: SparkSession, path: str, format: str = "parquet",
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of an input that has fewer splits than the cluster has cores, over all cores by key.
-
-    A small file is one split however much work its texts are. Large inputs come in
-    many splits and are left alone: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def multi_index(indices: Mapping[str, DataFrame]) -> DataFrame:
     """Several collections as one; missing columns are null, ``_index`` tells the origin."""
     out = None
@@ -59,7 +50,7 @@ class Catalog:
                 schema: T.StructType | None = None) -> DataFrame:
         """The union of the named collections. A missing plain name is an error unless
         ignored; wildcards that match nothing are fine unless ``allow_no_indices`` is off."""
-        found: dict[str, DataFrame] = {}
+        views: dict[str, list[Column | None]] = {}
         for name in names:
             if "*" in name and expand_wildcards:
                 hits = [n for n in (*self.indices, *self.aliases) if fnmatch.fnmatchcase(n, name)]
@@ -68,19 +59,31 @@ class Catalog:
                 if not hits and not ignore_unavailable:
                     raise MissingIndex(name)
             for h in hits:
-                found.update(self._rows(h))
-        if found:
-            return multi_index(found)
+                for index, condition in self._views(h):
+                    views.setdefault(index, []).append(condition)
+        if views:
+            return multi_index({index: self._seen(index, conditions) for index, conditions in views.items()})
         if not allow_no_indices:
             raise MissingIndex(", ".join(names))
         empty = schema or (next(iter(self.indices.values())).schema if self.indices else T.StructType())
         return self.spark.createDataFrame([], empty).withColumn(INDEX, F.lit(None).cast("string"))
 
+    def _views(self, name: str) -> list[tuple[str, Column | None]]:
+        """The collections behind a name, each with the condition of the way to it."""
+        return [(name, None)] if name in self.indices else self.aliases[name]
+
+    def _seen(self, index: str, conditions: Sequence[Column | None]) -> DataFrame:
+        """Rows of a collection that any of several ways shows: all, if one has no condition."""
+        rows = self.indices[index]
+        if any(c is None for c in conditions):
+            return rows
+        return rows.where(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions]))
+
     def _rows(self, name: str) -> dict[str, DataFrame]:
-        if name in self.indices:
-            return {name: self.indices[name]}
-        return {index: self.indices[index] if cond is None else self.indices[index].where(cond)
-                for index, cond in self.aliases[name]}
+        views: dict[str, list[Column | None]] = {}
+        for index, condition in self._views(name):
+            views.setdefault(index, []).append(condition)
+        return {index: self._seen(index, conditions) for index, conditions in views.items()}
 
     def add_alias(self, alias: str, index: str, filter: Column | None = None) -> DataFrame:
         """A named, perhaps filtered, view; also registered for SQL."""

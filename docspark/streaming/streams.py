@@ -79,8 +79,9 @@ def stream_version_upsert(stream: DataFrame, target: Collection, checkpoint: str
 
 
 def windowed(stream: DataFrame, time: str, window: str, keys: Sequence[str], metrics: Sequence[Column], *,
-             slide: str | None = None, late: str = "10 minutes") -> DataFrame:
-    """Running aggregation by time window and keys; state older than ``late`` is dropped."""
+             late: str, slide: str | None = None) -> DataFrame:
+    """Running aggregation by time window and keys. ``late`` says how long a window stays open
+    behind the newest time seen; a row later than that is dropped, so it has to be chosen."""
     return (stream.withWatermark(time, late)
             .groupBy(F.window(time, window, slide), *keys).agg(*metrics)
             .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
@@ -88,8 +89,8 @@ def windowed(stream: DataFrame, time: str, window: str, keys: Sequence[str], met
 
 
 def stream_aggregate(stream: DataFrame, target: Collection, checkpoint: str, time: str, window: str,
-                     keys: Sequence[str], metrics: Sequence[Column], *, slide: str | None = None,
-                     late: str = "10 minutes", available_now: bool = True,
+                     keys: Sequence[str], metrics: Sequence[Column], *, late: str,
+                     slide: str | None = None, available_now: bool = True,
                      interval: str | None = None) -> StreamingQuery:
     """Windows that changed in a batch replace their older figures in the target, whose id is
     ``bucket_id`` (window start and keys)."""

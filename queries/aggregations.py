@@ -15,7 +15,7 @@ from .registry import lat_sql, located, lon_sql, query, tok
 @query("terms_agg", """SELECT l_partkey AS key, count(*) AS doc_count FROM lineitem GROUP BY 1
     ORDER BY doc_count DESC, key LIMIT 10""")
 def _(t):
-    return aggs.terms_agg(t.lineitem, "l_partkey")
+    return aggs.terms_agg(t.lineitem, "l_partkey", 10)
 
 
 @query("terms_agg_multi", f"""SELECT key, count(*) AS doc_count FROM

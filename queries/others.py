@@ -67,9 +67,9 @@ def _(t):
 
 
 @query("bigrams", f"""SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM
-    (SELECT {tok('text')} AS w FROM documents)) GROUP BY 1, 2 HAVING count(*) > 20""")
+    (SELECT {tok('text')} AS w FROM documents)) GROUP BY 1, 2""")
 def _(t):
-    return suggest.bigrams(t.documents, "text").where("n > 20")
+    return suggest.bigrams(t.documents, "text")
 
 
 def _inputs(t):
@@ -280,7 +280,7 @@ def _(t):
     target.create("event_type string, n long, total double, window_start timestamp, window_end timestamp, bucket_id string")
     stream = _stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
     _finish(streams.stream_aggregate(stream, target, os.path.join(folder, "checkpoint"), "ts", "6 hours", ["event_type"],
-                                     [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")]))
+                                     [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")], late="400 days"))
     return target.read().select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
 
 

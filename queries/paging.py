@@ -210,7 +210,7 @@ def _(t):
 
 @query("page_unpaged", "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 10000")
 def _(t):
-    return orders(t).unpaged().hits().select("o_orderkey")
+    return orders(t).unpaged(10_000).hits().select("o_orderkey")
 
 
 @query("top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")

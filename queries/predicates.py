@@ -241,13 +241,14 @@ def _(t):
     sc AS (SELECT x, sum(n) OVER (ORDER BY x) AS c FROM s),
     ec AS (SELECT x, sum(n) OVER (ORDER BY x) AS c FROM e)
     SELECT o.o_orderkey, CAST(st.c - coalesce(en.c, 0) AS BIGINT) AS overlaps
-    FROM o ASOF JOIN sc st ON o.hi >= st.x ASOF LEFT JOIN ec en ON o.lo > en.x""")
+    FROM o ASOF JOIN sc st ON o.hi > st.x ASOF LEFT JOIN ec en ON o.lo >= en.x""")
 def _(t):
     df = _open_orders(t).select(
         "o_orderkey", F.unix_micros(F.col("open.lo").cast("timestamp")).alias("lo"),
         F.unix_micros(F.col("open.hi").cast("timestamp")).alias("hi"))
     return proximity.count_overlaps(df, df.select(F.col("lo").alias("a"), F.col("hi").alias("b")),
-                                    left_range=("lo", "hi"), right_range=("a", "b"), left_id="o_orderkey")
+                                    left_range=("lo", "hi"), right_range=("a", "b"), left_id="o_orderkey",
+                                    left_open=True, right_open=True)
 
 
 # --- lists -----------------------------------------------------------------------------------------

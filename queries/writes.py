@@ -157,7 +157,9 @@ def _(t):
     return writes.version_upsert(cur, inc, "id", "ver", order="seq", or_equal=True).result
 
 
-@query("version_conflicts", f"WITH {VER} SELECT inc.seq FROM inc JOIN cur USING (id) WHERE inc.ver <= cur.ver")
+@query("version_conflicts", f"""WITH {VER} SELECT seq FROM (SELECT inc.seq, inc.ver, cur.ver AS stored, max(inc.ver)
+    OVER (PARTITION BY id ORDER BY inc.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM inc LEFT JOIN cur USING (id))
+    WHERE ver <= greatest(stored, best)""")
 def _(t):
     cur, inc = versioned(t)
     return writes.version_upsert(cur, inc, "id", "ver", order="seq").rejected.select("seq")

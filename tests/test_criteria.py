@@ -188,7 +188,7 @@ def test_sort_missing_and_modes(docs, schema):
 
 def test_paging_rules(docs, schema):
     s = Search(docs, schema)
-    assert s.size == 10 and s.unpaged().size == 10_000
+    assert s.size == 10 and s.unpaged().size is None and s.unpaged(10_000).size == 10_000
     assert s.page(1, 4).limit(2).size == 2 and s.page(1, 4).offset == 4
     assert [r["id"] for r in s.page(1, 4).hits().collect()] == [5, 6]
     assert s.query(C.gt("n", 1)).total(up_to=2).first() == (2, "GREATER_THAN_OR_EQUAL_TO")
