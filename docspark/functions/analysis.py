@@ -101,6 +101,28 @@ def _split(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.lower(text), separators), "")
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
+
+
+def term_counts(toks: Column) -> Column:
+    """``array<struct<term, tf, doc_len>>`` of the distinct terms of one document, in order.
+
+    Equal terms are neighbours in the sorted array; a run of them starts where the term differs
+    from the one before.
+    """
+    def counted(t: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (
+            t[i] != F.get(t, F.greatest(i - 1, F.lit(0)))))
+        return once(starts, lambda s: F.transform(s, lambda i, n: F.struct(
+            t[i].alias("term"), (F.coalesce(F.get(s, n + 1), F.size(t)) - i).cast("long").alias("tf"),
+            F.size(t).alias("doc_len"))))
+
+    kind = "array<struct<term: string, tf: bigint, doc_len: int>>"
+    return once(F.sort_array(toks), lambda t: F.when(F.size(t) > 0, counted(t)).otherwise(F.array().cast(kind)))
+
+
 STANDARD = Analyzer(
     "standard",
     lambda c: _split(c, SEPARATORS),

@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import analysis as A
-from ..plans.criteria import Context, Criteria, Node
+from ..plans.criteria import Bool, Context, Criteria, Node
 from ..schema import DocSchema
+from ..sources.textindex import TextIndex
 
 # Fixed values of the ranking function.
 K1, B = 1.2, 0.75
@@ -42,6 +44,10 @@ class _Scoring:
         base = f"__{kind}{self.number[field]}"
         return base if term is None else f"{base}_{self.wanted[field].index(term)}"
 
+    def answers(self, leaf) -> bool:
+        """Whether a condition is known without looking at the row's text."""
+        return False
+
     def _text(self, field: str) -> Column:
         """The text of a field; several values are read one after the other."""
         name = self.schema.field(field).stored
@@ -129,11 +135,63 @@ def _wanted(nodes: Iterable[Node], schema: DocSchema) -> dict[str, list[str]]:
     return wanted
 
 
+class _IndexScoring(_Scoring):
+    """Lengths, frequencies and corpus numbers from a stored index: no text is read for them.
+
+    Conditions on terms are answered by the frequencies, too.
+    """
+
+    def __init__(self, schema, wanted, similarity, struct, index: TextIndex):
+        super().__init__(schema, wanted, similarity, struct)
+        self.index = index
+
+    def answers(self, leaf) -> bool:
+        return (leaf.field == self.index.field and leaf.op in ("is", "matches", "matches_all", "term")
+                and set(leaf.terms(self.schema)) <= set(self.wanted[leaf.field]))
+
+    def match(self, leaf) -> Column:
+        terms = list(dict.fromkeys(leaf.terms(self.schema)))
+        found = [F.col(self._name("tf", leaf.field, t)) > 0 for t in terms]
+        if not found:
+            return F.lit(False)
+        return reduce(lambda a, b: a | b if leaf.op == "matches" else a & b, found)
+
+    def attach(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with the numbers of the terms; no frequency where a document has none."""
+        (field, terms), = self.wanted.items()
+        found = self.index.frequencies(terms).select(
+            F.col("id").alias("__id"), F.col("doc_len").cast("double").alias(self._name("len", field)),
+            *[F.col(f"tf{i}").cast("double").alias(self._name("tf", field, t)) for i, t in enumerate(terms)])
+        numbers = self.index.numbers()
+        dfs = self.index.terms(*terms).agg(F.struct(*[
+            F.coalesce(F.max(F.when(F.col("term") == t, F.col("df"))), F.lit(0)).cast("double").alias(self._name("df", field, t))
+            for t in terms])).scalar()
+        stats = F.struct(
+            numbers["n"].cast("double").alias(self._name("n", field)),
+            F.try_divide(numbers["total"], numbers["n"]).cast("double").alias(self._name("avg", field)),
+            *[dfs[self._name("df", field, t)].alias(self._name("df", field, t)) for t in terms])
+        return docs.join(found, F.col(self.index.id) == F.col("__id"), "left").withColumn("__stats", stats)
+
+
+def _deciding(node: Node) -> Iterable[Node]:
+    """Clauses that are required or excluded without a score."""
+    if isinstance(node, Bool):
+        for inner in (*node.must_not, *node.filter):
+            yield inner
+            yield from _deciding(inner)
+        for inner in (*node.must, *node.should):
+            yield from _deciding(inner)
+
+
 def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
                corpus: DataFrame | None = None, similarity: str = "bm25",
-               explain: bool = False, column: str = "_score") -> DataFrame:
+               explain: bool = False, column: str = "_score", index: TextIndex | None = None) -> DataFrame:
     """Rows that match ``node`` with their score.
 
+    With a stored ``index`` of the text field, frequencies, lengths and corpus numbers come from the
+    postings of the query's terms; the texts are read only if they are asked for. An index of
+    more than ``docs`` gives the numbers of all that it holds.
+
     Statistics are global: they describe ``corpus`` (default: all of ``docs``), never the
     part that one task or partition happens to see.
     """
@@ -142,10 +200,17 @@ def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
     if isinstance(node, Criteria):
         node = node.build()
     wanted = _wanted([node], schema)
-    scoring = _Scoring(schema, wanted, similarity, docs.schema)
-    ctx = Context(docs.schema, schema, scoring)
-    hits = docs.where(node.match(ctx))
-    hits = scoring.prepare(hits, corpus if corpus is not None else docs)
+    if index is not None and list(wanted) == [index.field]:
+        # terms that only decide are looked up as well
+        wanted = {f: t for f, t in _wanted([node, *_deciding(node)], schema).items() if f == index.field}
+        scoring = _IndexScoring(schema, wanted, similarity, docs.schema, index)
+        ctx = Context(docs.schema, schema, scoring)
+        hits = scoring.attach(docs).where(node.match(ctx))
+    else:
+        scoring = _Scoring(schema, wanted, similarity, docs.schema)
+        ctx = Context(docs.schema, schema, scoring)
+        hits = docs.where(node.match(ctx))
+        hits = scoring.prepare(hits, corpus if corpus is not None else docs)
     hits = hits.withColumn(column, node.score(ctx))
     keep = [*docs.columns, column]
     if explain:
@@ -289,14 +354,10 @@ def function_score(base: Column, functions: Sequence[tuple[Column | None, Column
 def postings(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
     """``(id, doc_len, term, tf)``: one row per distinct term of a document.
 
-    All terms of a document are in one task, which counts them before the shuffle. The key
-    starts with the document, so a stop word is no hot group; and rows that are already
-    partitioned by document are not shuffled at all.
+    Terms are counted inside the row of their document: nothing is shuffled.
     """
-    toks = docs.select(id, analyzer.column(F.col(text)).alias("t"))
-    # an inner explode would make Catalyst test the size first, by tokenizing twice
-    each = toks.select(id, F.size("t").alias("doc_len"), F.explode_outer("t").alias("term"))
-    return each.where(F.col("term").isNotNull()).groupBy(id, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    each = docs.select(id, F.explode(A.term_counts(analyzer.column(F.col(text)))).alias("t"))
+    return each.select(id, "t.doc_len", "t.term", "t.tf")
 
 
 def stored_postings(docs: DataFrame, id: str, text: str, path: str,
@@ -332,10 +393,10 @@ def vocabulary(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STA
 
 def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
                    analyzer: A.Analyzer = A.STANDARD, min_term_freq: int = 2,
-                   max_query_terms: int = 25, min_doc_freq: int = 5, max_doc_freq: int | None = None,
+                   max_query_terms: int = 25, min_doc_freq: int = 5, max_doc_share: float = 1.0,
                    min_word_len: int = 0, max_word_len: int = 0, stop_words: Sequence[str] = (),
                    min_should_match: float = 0.3, boost_terms: float | None = None,
-                   size: int = 10, post: DataFrame | None = None) -> DataFrame:
+                   size: int = 10, index: TextIndex | None = None) -> DataFrame:
     """For every row of ``source`` (an ``id`` column) the documents that share its
     characteristic terms: ``(source_id, id, _score, rank)``.
 
@@ -343,14 +404,21 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     meet the postings in one equi-join on the term. AQE splits the partitions of frequent
     terms; scores are summed per (source, document) with map-side combine, so no term's or
     source's matches are ever gathered in one place. A document has to share
-    ``min_should_match`` of the terms. The postings are read three times: for anything big
-    pass a stored table as ``post``, and bound ``max_doc_freq``.
+    ``min_should_match`` of the terms. For anything big pass a stored ``index`` and bound the
+    terms by ``max_doc_share``, the share of the documents that may hold them.
     """
-    post = post if post is not None else postings(docs, id, text, analyzer)
+    if index is not None:
+        post = index.postings().withColumnRenamed("id", id)
+        numbers = index.numbers()
+        n_stats = F.struct(numbers["n"].cast("double").alias("n"), F.try_divide(numbers["total"], numbers["n"]).alias("avg"))
+        frequencies = index.terms()
+    else:
+        post = postings(docs, id, text, analyzer)
+        per_doc = post.groupBy(id).agg(F.first("doc_len").alias("l"))
+        n_stats = per_doc.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
+                                       F.avg("l").alias("avg")).alias("s")).scalar()
+        frequencies = document_frequencies(post)
     own = post.join(source.select(id).distinct(), id, "left_semi")
-    per_doc = post.groupBy(id).agg(F.first("doc_len").alias("l"))
-    n_stats = per_doc.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
-                                   F.avg("l").alias("avg")).alias("s")).scalar()
     usable = F.col("tf") >= min_term_freq
     if min_word_len:
         usable &= F.length("term") >= min_word_len
@@ -359,10 +427,9 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     if stop_words:
         usable &= ~F.col("term").isin(list(stop_words))
     df_ok = F.col("df") >= min_doc_freq
-    if max_doc_freq is not None:
-        df_ok &= F.col("df") <= max_doc_freq
-    frequencies = document_frequencies(post).where(df_ok)
-    weighted = (own.where(usable).join(frequencies, "term")
+    if max_doc_share < 1:
+        df_ok &= F.col("df") <= n_stats["n"] * float(max_doc_share)
+    weighted = (own.where(usable).join(frequencies.where(df_ok).select("term", "df"), "term")
                 .withColumn("_n", n_stats["n"])
                 .withColumn("_w", F.col("tf") * idf(F.col("_n"), F.col("df"))))
     best = Window.partitionBy(id).orderBy(F.desc("_w"), "term")

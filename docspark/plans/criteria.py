@@ -195,6 +195,8 @@ class Leaf(Node):
     boost_: float = 1.0
 
     def match(self, ctx: Context) -> Column:
+        if ctx.scoring is not None and ctx.scoring.answers(self):
+            return ctx.scoring.match(self)
         spec = ctx.schema.field(self.field)
         nested = ctx.schema.nested_path(self.field)
         if nested is not None:

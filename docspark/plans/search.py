@@ -16,6 +16,7 @@ from ..operators import scoring
 from ..operators.aggs import running_total
 from ..operators.collapse import best_per_key
 from ..schema import DocSchema
+from ..sources.textindex import TextIndex
 from .criteria import Bool, Context, Criteria, MatchAll, Node, literal
 
 # Fixed value: rows of a page.
@@ -185,6 +186,7 @@ class Search:
     after: tuple[Any, ...] | None = None
     minimum: float | None = None
     scored: bool = False
+    index: TextIndex | None = None
     collapse_on: str | None = None
     source: tuple[tuple[str, ...], tuple[str, ...]] | None = None
     scripts: tuple[tuple[str, Column], ...] = ()
@@ -223,8 +225,8 @@ class Search:
     def min_score(self, value: float) -> Search:
         return replace(self, minimum=value if value > 0 else None)
 
-    def with_scores(self, similarity: str = "bm25", explain: bool = False) -> Search:
-        return replace(self, scored=True, similarity=similarity, explained=explain)
+    def with_scores(self, similarity: str = "bm25", explain: bool = False, index: TextIndex | None = None) -> Search:
+        return replace(self, scored=True, similarity=similarity, explained=explain, index=index)
 
     def collapse(self, key: str) -> Search:
         return replace(self, collapse_on=key)
@@ -264,7 +266,7 @@ class Search:
         if not needs_score:
             return self.docs.where(node.match(self._context(self.docs)))
         out = scoring.with_score(self.docs, self.schema, node, similarity=self.similarity,
-                                 explain=self.explained)
+                                 explain=self.explained, index=self.index)
         if self.boosts:
             out = scoring.index_boost(out, dict(self.boosts))
         if self.minimum is not None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docspark.functions import geo
 from docspark.session import checkpoint_dir
+from docspark.sources.textindex import TextIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +43,20 @@ def scratch(t: Tables, name: str) -> str:
     return os.path.join(checkpoint_dir(t.spark), "queries", f"{name}-{uuid.uuid4().hex}")
 
 
+_INDEXES: dict[tuple, TextIndex] = {}
+
+
+def text_index(t: Tables) -> TextIndex:
+    """The stored index of the texts: built by the first query of a session that needs it, and
+    again if the files have changed."""
+    files = t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    state = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    key = (t.spark.sparkContext.applicationId, t.folder, *state)
+    if key not in _INDEXES:
+        _INDEXES[key] = TextIndex.build(t.documents, "doc_id", "text", scratch(t, "text-index"))
+    return _INDEXES[key]
+
+
 # --- the same definitions in SQL ---------------------------------------------------------------
 
 

@@ -9,9 +9,10 @@ from docspark.plans import criteria as C
 from docspark.plans.search import Order, Search
 from docspark.schema import DocSchema, FieldSpec
 from docspark.sources.tables import multi_index
+from docspark.sources.textindex import TextIndex
 
 from .predicates import documents, orders
-from .registry import Tables, query, scratch, tok
+from .registry import Tables, query, scratch, text_index, tok
 
 # --- the scoring function in SQL ---------------------------------------------------------------
 
@@ -35,7 +36,22 @@ def rounded(df, *columns, digits=6):
 
 
 def scores(t: Tables, node, **kw):
-    return documents(t).query(node).with_scores(**kw).matches()
+    return documents(t).query(node).with_scores(index=text_index(t), **kw).matches()
+
+
+@query("text_index", f"""SELECT term, count(DISTINCT doc_id) AS df, count(*) AS freq FROM
+    (SELECT doc_id, unnest({tok('text')}) AS term FROM documents) GROUP BY term""")
+def _(t):
+    # built anew on each call: the cost of the index itself
+    return TextIndex.build(t.documents, "doc_id", "text", scratch(t, "built-index")).terms()
+
+
+@query("fuzzy_indexed", f"""SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest({tok('text')}) AS term FROM documents)
+    WHERE levenshtein(term, 'thatin') <= 2""")
+def _(t):
+    # the vocabulary is searched instead of the texts
+    index = text_index(t)
+    return index.with_terms(index.near("thatin", 2))
 
 
 ANY3 = ["rewh", "hehely", "of"]
@@ -50,7 +66,7 @@ def _(t):
 @query("bm25_top", f"""WITH {bm25_sql(ANY3, ANY3_WHERE)} SELECT doc_id, round(_score, 6) AS _score
     FROM scored ORDER BY _score DESC, doc_id LIMIT 20""")
 def _(t):
-    s = documents(t).query(C.matches("text", "rewh hehely of")).with_scores()
+    s = documents(t).query(C.matches("text", "rewh hehely of")).with_scores(index=text_index(t))
     hits = s.sort(Order("_score", descending=True)).limit(20).fields("doc_id").hits()
     return rounded(hits, "doc_id")
 
@@ -95,14 +111,14 @@ def _(t):
 @query("min_score", f"""WITH {bm25_sql(ANY3, ANY3_WHERE)} SELECT doc_id, round(_score, 6) AS _score
     FROM scored WHERE _score >= 2.5""")
 def _(t):
-    s = documents(t).query(C.matches("text", "rewh hehely of")).min_score(2.5)
+    s = documents(t).query(C.matches("text", "rewh hehely of")).with_scores(index=text_index(t)).min_score(2.5)
     return rounded(s.matches(), "doc_id")
 
 
 @query("track_scores", f"""WITH {bm25_sql(['thatin', 'orre'], '(f0 > 0 OR f1 > 0)')}
     SELECT doc_id, n_chars, round(_score, 6) AS _score FROM scored ORDER BY n_chars DESC, doc_id LIMIT 25""")
 def _(t):
-    s = documents(t).query(C.matches("text", "thatin orre")).with_scores()
+    s = documents(t).query(C.matches("text", "thatin orre")).with_scores(index=text_index(t))
     hits = s.sort(Order("n_chars").desc()).limit(25).fields("doc_id", "n_chars").hits()
     return rounded(hits, "doc_id", "n_chars")
 
@@ -119,7 +135,7 @@ def _(t):
     # statistics of the whole collection for a search in a part of it
     docs = t.documents
     schema = DocSchema.of(docs, text=["text"], id="doc_id")
-    hits = scoring.with_score(docs.where("lang = 'de'"), schema, C.matches("text", "rewh hehely of"), corpus=docs)
+    hits = scoring.with_score(docs.where("lang = 'de'"), schema, C.matches("text", "rewh hehely of"), index=text_index(t))
     return rounded(hits, "doc_id")
 
 
@@ -234,7 +250,7 @@ def _(t):
     post AS (SELECT doc_id, term, count(*) AS tf, any_value(l) AS l FROM
       (SELECT doc_id, len(w) AS l, unnest(w) AS term FROM w) GROUP BY doc_id, term),
     st AS (SELECT count(*)::DOUBLE AS n, avg(len(w)) AS avgl FROM w WHERE len(w) > 0),
-    df AS (SELECT term, count(*) AS df FROM post GROUP BY term HAVING count(*) BETWEEN 5 AND 400),
+    df AS (SELECT term, count(*) AS df FROM post GROUP BY term HAVING count(*) BETWEEN 5 AND 0.4 * (SELECT n FROM st)),
     src AS (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 1),
     sel AS (SELECT doc_id, term, df, tf * ln(1 + (n - df + 0.5) / (df + 0.5)) AS wt
       FROM post JOIN src USING (doc_id) JOIN df USING (term), st WHERE tf >= 2 AND length(term) >= 3),
@@ -248,8 +264,7 @@ def _(t):
     SELECT source_id, doc_id, round(s, 6) AS _score FROM top WHERE rank <= 10""")
 def _(t):
     sources = t.labels.where("quality = 1 AND toxic = 1").select("doc_id")
-    post = scoring.stored_postings(t.documents, "doc_id", "text", scratch(t, "postings"))
-    m = scoring.more_like_this(t.documents, sources, "doc_id", "text", max_doc_freq=400, min_word_len=3, post=post)
+    m = scoring.more_like_this(t.documents, sources, "doc_id", "text", max_doc_share=0.4, min_word_len=3, index=text_index(t))
     return rounded(m, "source_id", "doc_id")
 
 

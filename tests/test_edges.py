@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docspark.functions import analysis as A
 from docspark.functions import convert
 from docspark.operators import aggs, byexample, collapse, proximity, scoring, vectors, writes
 from docspark.plans import criteria as C
@@ -10,6 +11,7 @@ from docspark.plans.search import Search
 from docspark.schema import DocSchema
 from docspark.sources.collection import Collection
 from docspark.sources.tables import Catalog
+from docspark.sources.textindex import TextIndex
 
 
 def rows(df, *columns):
@@ -214,3 +216,46 @@ def test_strict_and_unknown_date_formats(spark):
     assert got.startswith("2020-02-03 04:05:06")
     with pytest.raises(ValueError, match="unknown date format"):
         convert.parse_date(F.col("d"), "basic_week_date")
+
+
+# --- the stored text index ------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    data = [(1, "quick quick fox", "en"), (2, "lazy dog", "en"), (3, "", "en"), (4, None, "de"), (5, "the fox, the dog", "de"), (6, "---", "en")]
+    return spark.createDataFrame(data, "id int, t string, lang string")
+
+
+def test_index_scores_like_the_scan(spark, texts, tmp_path):
+    index = TextIndex.build(texts, "id", "t", str(tmp_path / "index"))
+    schema = DocSchema.of(texts, id="id", text=["t"])
+    nodes = [C.matches("t", "fox dog"), C.matches_all("t", "fox dog"), C.matches("t", "unknown"), C.is_("lang", "en") & C.matches("t", "fox"),
+             C.Bool(must=(C.term("t", "fox"),), must_not=(C.term("t", "dog"),)), C.matches("t", "fox") | C.is_("lang", "de")]
+    for node in nodes:
+        for similarity in ("bm25", "classic"):
+            scan = scoring.with_score(texts, schema, node, similarity=similarity)
+            stored = scoring.with_score(texts, schema, node, similarity=similarity, index=index)
+            expected, got = (dict(rows(df, "id", F.round("_score", 9))) for df in (scan, stored))
+            assert got == expected
+    assert rows(index.terms(), "term", "df", "freq") == [("dog", 2, 2), ("fox", 2, 2), ("lazy", 1, 1), ("quick", 1, 2), ("the", 1, 2)]
+    assert rows(index.with_terms(index.near("fix", 1)), "id") == [(1,), (5,)]
+    empty = TextIndex.build(texts.limit(0), "id", "t", str(tmp_path / "none"))
+    assert scoring.with_score(texts.limit(0), schema, nodes[0], index=empty).count() == 0
+
+
+def test_an_index_query_reads_no_text(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(1, "quick fox", "en")], "id int, t string, lang string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    index = TextIndex.build(docs, "id", "t", str(tmp_path / "index"))
+    s = Search(docs, DocSchema.of(docs, id="id", text=["t"])).query(C.matches("t", "fox")).with_scores(index=index)
+    plan = s.matches().select("id", "_score")._jdf.queryExecution().optimizedPlan().toString()
+    read = s.matches().select("id", "_score")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:int>" in read and "EqualTo(term,fox)" in read and "regexp" not in plan
+
+
+def test_term_counts(spark):
+    df = spark.createDataFrame([(["b", "a", "b"],), ([],)], "w array<string>")
+    got = [[tuple(x) for x in r[0]] for r in df.select(A.term_counts(F.col("w"))).collect()]
+    assert got == [[("a", 1, 3), ("b", 2, 3)], []]
