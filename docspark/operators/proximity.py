@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -104,3 +105,46 @@ def count_overlaps(left: DataFrame, right: DataFrame, *, left_range: tuple[str,
     every = n.select(F.struct("n", "unstarted").alias("s")).scalar()
     begun = F.when(F.col("_hi").isNull(), every["n"]).otherwise(F.coalesce("_s", F.lit(0)) + every["unstarted"])
     return out.select(left_id, (begun - F.coalesce("_e", F.lit(0))).alias("overlaps"))
+
+
+RELATIONS = ("intersects", "contains", "within")
+
+
+def range_pairs(left: DataFrame, right: DataFrame, *, left_range: tuple[str, str], right_range: tuple[str, str],
+                width: float, relation: str = "intersects", half_open: bool = False) -> DataFrame:
+    """Pairs of ranges of numbers: those that touch, or where left ``contains`` right or lies
+    ``within`` it. A null side is open to that side; with ``half_open`` ends do not belong.
+
+    The values are cut into blocks of ``width``, best about as wide as the ranges; a range is
+    repeated for the blocks it covers, the two sides meet by block, and the bounds decide. A pair
+    that shares several blocks is made in the first of them only. Open sides end at the
+    outermost bound of both tables.
+    """
+    if relation not in RELATIONS:
+        raise ValueError(f"relation must be one of {RELATIONS}")
+
+    def bounds(df: DataFrame, names: tuple[str, str]) -> Column:
+        lo, hi = F.col(names[0]).cast("double"), F.col(names[1]).cast("double")
+        return df.agg(F.struct(F.least(F.min(lo), F.min(hi)).alias("lo"), F.greatest(F.max(lo), F.max(hi)).alias("hi"))).scalar()
+
+    l_bounds, r_bounds = bounds(left, left_range), bounds(right, right_range)
+    lowest, highest = F.least(l_bounds["lo"], r_bounds["lo"]), F.greatest(l_bounds["hi"], r_bounds["hi"])
+
+    def blocked(df: DataFrame, names: tuple[str, str], side: str) -> DataFrame:
+        first = F.coalesce(F.col(names[0]).cast("double"), lowest)
+        last = F.coalesce(F.col(names[1]).cast("double"), highest)
+        blocks = F.when(first <= last, F.sequence(F.floor(first / width), F.floor(last / width)))
+        return df.withColumn(f"_{side}", F.floor(first / width)).withColumn("_block", F.explode(blocks))
+
+    a, b = (F.col(c).cast("double") for c in left_range)
+    c, d = (F.col(x).cast("double") for x in right_range)
+    before = (lambda x, y: x < y) if half_open else (lambda x, y: x <= y)
+    open_or = lambda test, *sides: reduce(lambda x, s: x | s.isNull(), sides, test)
+    if relation == "intersects":
+        holds = open_or(before(a, d), a, d) & open_or(before(c, b), c, b)
+    elif relation == "contains":
+        holds = (a.isNull() | F.coalesce(a <= c, F.lit(False))) & (b.isNull() | F.coalesce(d <= b, F.lit(False)))
+    else:
+        holds = (c.isNull() | F.coalesce(c <= a, F.lit(False))) & (d.isNull() | F.coalesce(b <= d, F.lit(False)))
+    meet = blocked(left, left_range, "left").join(blocked(right, right_range, "right"), "_block")
+    return meet.where((F.col("_block") == F.greatest("_left", "_right")) & holds).drop("_block", "_left", "_right")

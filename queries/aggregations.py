@@ -76,9 +76,12 @@ def _(t):
     return aggs.cardinality(t.lineitem, "l_partkey")
 
 
-@query("cardinality_approx")
+@query("cardinality_approx", "SELECT count(DISTINCT l_partkey) AS exact, true AS within FROM lineitem")
 def _(t):
-    return aggs.cardinality(t.lineitem, "l_partkey", exact=False)
+    # within five standard errors of the sketch
+    near = aggs.cardinality(t.lineitem, "l_partkey", exact=False, rsd=0.02).scalar()
+    exact = aggs.cardinality(t.lineitem, "l_partkey").withColumnRenamed("value", "exact")
+    return exact.withColumn("within", F.abs(near - F.col("exact")) <= 0.1 * F.col("exact"))
 
 
 @query("percentiles", """SELECT round(quantile_cont(l_extendedprice, 0.01), 4) AS p1,
@@ -96,9 +99,14 @@ def _(t):
     return p.select("l_returnflag", F.round("p50", 4).alias("p50"), F.round("p90", 4).alias("p90"))
 
 
-@query("percentiles_approx")
+@query("percentiles_approx", "SELECT 50.0::DOUBLE AS point, true AS within UNION ALL SELECT 99.0, true")
 def _(t):
-    return aggs.percentiles(t.lineitem, "l_extendedprice")
+    # the share of rows at or below the sketch's value is within its error
+    q = aggs.percentiles(t.lineitem, "l_extendedprice", (50, 99)).select(F.struct("p50", "p99").alias("q")).scalar()
+    price = F.col("l_extendedprice")
+    shares = t.lineitem.agg(F.avg((price <= q["p50"]).cast("double")).alias("s50"), F.avg((price <= q["p99"]).cast("double")).alias("s99"))
+    rows = F.array(*[F.struct(F.lit(float(p)).alias("point"), (F.abs(F.col(f"s{p}") - p / 100) <= 0.001).alias("within")) for p in (50, 99)])
+    return shares.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @query("histogram", """WITH b AS (SELECT floor(o_totalprice / 25000)::BIGINT AS i, count(*) AS c FROM orders GROUP BY 1)

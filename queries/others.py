@@ -230,7 +230,10 @@ def _(t):
 
 
 def _stream(t):
-    return streams.read_stream(t.spark, t.folder, t.events.schema, pattern="events.parquet", files_per_batch=1)
+    # several files by time, so several batches that have to agree with the one table
+    path = scratch(t, "events")
+    t.events.repartitionByRange(5, "ts").write.parquet(path)
+    return streams.read_stream(t.spark, path, t.events.schema, pattern="*.parquet", files_per_batch=1)
 
 
 def _finish(q):

@@ -251,6 +251,25 @@ def _(t):
                                     left_open=True, right_open=True)
 
 
+@query("range_pairs", f"""WITH o AS (SELECT o_orderkey, {_OPEN} FROM orders),
+      c AS (SELECT n_nationkey, TIMESTAMP '1992-01-01' + to_days(CAST(n_nationkey * 100 AS INTEGER)) AS clo,
+        CASE WHEN n_nationkey < 24 THEN TIMESTAMP '1992-01-01' + to_days(CAST(n_nationkey * 100 + 30 AS INTEGER)) END AS chi FROM nation)
+    SELECT n_nationkey, count(*) AS touching, count(*) FILTER (WHERE clo <= lo AND (chi IS NULL OR hi <= chi)) AS inside
+    FROM o JOIN c ON lo < coalesce(chi, TIMESTAMP '9999-01-01') AND clo < hi GROUP BY n_nationkey""")
+def _(t):
+    # orders that are open during campaigns; the last campaign has no end
+    day = F.lit("1992-01-01").cast("date")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    opened = _open_orders(t).select("o_orderkey", micros(F.col("open.lo")).alias("lo"), micros(F.col("open.hi")).alias("hi"))
+    start = F.date_add(day, (F.col("n_nationkey") * 100).cast("int"))
+    campaigns = t.nation.select("n_nationkey", micros(start).alias("clo"), F.when(
+        F.col("n_nationkey") < 24, micros(F.date_add(start, 30))).alias("chi"))
+    pairs = proximity.range_pairs(opened, campaigns, left_range=("lo", "hi"), right_range=("clo", "chi"),
+                                  width=30 * 86400e6, half_open=True)
+    inside = (F.col("clo") <= F.col("lo")) & (F.col("chi").isNull() | (F.col("hi") <= F.col("chi")))
+    return pairs.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("touching"), F.count_if(inside).alias("inside"))
+
+
 # --- lists -----------------------------------------------------------------------------------------
 
 

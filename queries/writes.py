@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docspark.operators import writes
@@ -315,12 +316,17 @@ def _(t):
     return c.read_route(42).select("o_orderkey", "o_totalprice")
 
 
-@query("index_sort", "SELECT l_orderkey, l_shipdate, l_linestatus FROM lineitem")
+@query("index_sort", "SELECT l_linestatus, count(*) AS n, 0::BIGINT AS inversions FROM lineitem GROUP BY 1")
 def _(t):
     path = scratch(t, "sorted")
     tables.write_sorted(t.lineitem.select("l_orderkey", "l_shipdate", "l_linestatus"), path,
                         [F.desc("l_shipdate"), F.asc_nulls_last("l_orderkey")], partition_by=["l_linestatus"])
-    return t.spark.read.parquet(path)
+    # neighbours of a file in the wrong order: none, if the order is stored
+    read = t.spark.read.parquet(path).withColumns({"file": F.input_file_name(), "place": F.monotonically_increasing_id()})
+    of_file = Window.partitionBy("file").orderBy("place")
+    before = read.withColumns({"day": F.lag("l_shipdate").over(of_file), "key": F.lag("l_orderkey").over(of_file)})
+    wrong = (F.col("day") < F.col("l_shipdate")) | ((F.col("day") == F.col("l_shipdate")) & (F.col("key") > F.col("l_orderkey")))
+    return before.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("inversions"))
 
 
 @query("point_in_time", "SELECT 'old' AS view, count(*) AS n FROM orders UNION ALL SELECT 'new', count(*) FROM orders WHERE o_orderstatus <> 'F'")
@@ -371,6 +377,24 @@ def _(t):
     return orders(t).query(C.is_("o_orderstatus", "O")).batches(500, max_results=4000).select("o_orderkey", "_batch")
 
 
+@query("scroll_string_ids", """SELECT id, (row_number() OVER (ORDER BY id) - 1) // 500 AS _batch
+    FROM (SELECT o_orderstatus || '-' || o_orderkey AS id FROM orders)""")
+def _(t):
+    df = t.orders.select(F.concat_ws("-", "o_orderstatus", F.col("o_orderkey").cast("string")).alias("id"))
+    return Search(df, DocSchema.of(df, id="id")).batches(500).select("id", "_batch")
+
+
+@query("alias_and_index", """SELECT 'all' AS named, count(*) AS n FROM orders UNION ALL
+    SELECT 'two', count(*) FROM orders WHERE o_orderstatus = 'F' OR o_totalprice > 200000""")
+def _(t):
+    catalog = tables.Catalog(t.spark).put("orders", t.orders)
+    catalog.add_alias("finished", "orders", F.col("o_orderstatus") == "F")
+    catalog.add_alias("large", "orders", F.col("o_totalprice") > 200000)
+    seen = [("all", ["finished", "orders"]), ("two", ["finished", "large"])]
+    counts = [catalog.resolve(names).agg(F.lit(n).alias("named"), F.count(F.lit(1)).alias("n")) for n, names in seen]
+    return counts[0].unionByName(counts[1])
+
+
 @query("stream_results", """SELECT b AS _batch, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM
     (SELECT o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS b FROM orders WHERE o_totalprice > 100000) GROUP BY 1""")
 def _(t):

@@ -259,3 +259,20 @@ def test_term_counts(spark):
     df = spark.createDataFrame([(["b", "a", "b"],), ([],)], "w array<string>")
     got = [[tuple(x) for x in r[0]] for r in df.select(A.term_counts(F.col("w"))).collect()]
     assert got == [[("a", 1, 3), ("b", 2, 3)], []]
+
+
+@pytest.mark.parametrize("half", [False, True])
+@pytest.mark.parametrize("relation", proximity.RELATIONS)
+def test_range_pairs_match_brute_force(spark, relation, half):
+    left = [(1, 1, 5), (2, None, 2), (3, 4, None), (4, None, None), (5, 5, 9), (6, 60, 80)]
+    right = [(1, 2, 3), (2, 5, 6), (3, None, 1), (4, 9, None), (5, 0, 30)]
+    a = spark.createDataFrame(left, "l int, lo int, hi int")
+    b = spark.createDataFrame(right, "r int, a int, b int")
+    low, high = (lambda x: float("-inf") if x is None else x), (lambda x: float("inf") if x is None else x)
+    under = (lambda x, y: x < y) if half else (lambda x, y: x <= y)
+    holds = {"intersects": lambda p, q, x, y: under(p, y) and under(x, q), "contains": lambda p, q, x, y: p <= x and y <= q,
+             "within": lambda p, q, x, y: x <= p and q <= y}[relation]
+    expected = sorted((i, j) for i, p, q in left for j, x, y in right if holds(low(p), high(q), low(x), high(y)))
+    for width in (0.7, 3, 1000):
+        got = proximity.range_pairs(a, b, left_range=("lo", "hi"), right_range=("a", "b"), width=width, relation=relation, half_open=half)
+        assert rows(got, "l", "r") == expected
