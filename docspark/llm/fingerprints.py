@@ -132,15 +132,17 @@ def edited(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFr
     Texts are moved once, by id: of a neighbour only the head that is taken travels on.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sizes = rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(F.length("text")).alias("n"))
+    named = rows.where(F.col("id").isNotNull())
+    sizes = named.groupBy("id").agg(F.max(F.length("text")).alias("n"))
     order = pinned(successors(sizes, "id"))
     taken = order.select(F.col("next").alias("id"), F.col("id").alias("of"), F.floor(F.col("n") / 4).cast("int").alias("take"))
-    heads = rows.join(taken, "id").groupBy("of").agg(F.min(F.substr("text", F.lit(1), F.col("take"))).alias("head"))
-    joined = rows.join(order.select("id", "next"), "id", "left").join(
-        heads.withColumnRenamed("of", "id"), "id", "left")
+    # both joins deal out the same columns by id, so their exchange of texts is one
+    heads = named.join(taken, "id").groupBy("of").agg(F.min(F.substr("text", F.lit(1), F.col("take"))).alias("head"))
+    joined = named.join(order.select("id", "next"), "id").join(heads.withColumnRenamed("of", "id"), "id", "left")
+    alone = rows.where(F.col("id").isNull()).withColumns({"next": F.lit(None).cast(rows.schema["id"].dataType), "head": F.lit("")})
     n, quarter = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     changed = F.concat(F.substr("text", F.lit(1), n - quarter), F.substr(F.coalesce("head", F.lit("")), F.lit(1), quarter))
-    return joined.select("id", "next", "text", changed.alias("edited"))
+    return joined.unionByName(alone).select("id", "next", "text", changed.alias("edited"))
 
 
 def compared(pairs: DataFrame, *kept: Column) -> DataFrame:
