@@ -30,21 +30,45 @@ class HighlightField:
     rename: str | None = None
 
 
-def query_terms(node: Node, schema: DocSchema, field: str, any_field: bool = False) -> list[str]:
-    """Terms of a query that mark text in a field."""
+WORD_CHAR, GAP = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]+"
+
+
+def query_patterns(node: Node, schema: DocSchema, field: str, any_field: bool = False) -> list[str]:
+    """Patterns of what a query marks in a field: terms with their synonyms, phrases as a whole,
+    and the terms that a beginning, a piece or a wildcard stands for."""
     out: list[str] = []
     for leaf in node.leaves():
         if isinstance(leaf, Leaf) and (any_field or leaf.field == field):
             spec = schema.field(leaf.field)
             if spec.role == "text":
-                out += [t for t in leaf.terms(schema) if t not in out]
+                out += [p for p in _leaf_patterns(leaf, schema, spec) if p not in out]
     return out
 
 
-def term_pattern(terms: Sequence[str]) -> str:
+def _leaf_patterns(leaf: Leaf, schema: DocSchema, spec) -> list[str]:
+    def either(term: str) -> str:
+        words = [re.escape(w) for w in spec.analyzer.members(term)]
+        return words[0] if len(words) == 1 else f"(?:{'|'.join(words)})"
+
+    if leaf.op in ("phrase", "in"):
+        return [GAP.join(map(either, p)) for p in leaf.phrases(schema) if p]
+    value = str(leaf.value).lower()
+    if leaf.op == "starts_with":
+        return [re.escape(value) + WORD_CHAR + "*"]
+    if leaf.op == "ends_with":
+        return [WORD_CHAR + "*" + re.escape(value)]
+    if leaf.op == "contains":
+        return [WORD_CHAR + "*" + re.escape(value) + WORD_CHAR + "*"]
+    if leaf.op == "wildcard":
+        kinds = {"*": WORD_CHAR + "*", "?": WORD_CHAR}
+        return ["".join(kinds.get(c) or re.escape(c) for c in value)]
+    return [either(t) for t in leaf.terms(schema)]
+
+
+def term_pattern(patterns: Sequence[str]) -> str:
     """Whole terms, any case."""
     # longest first, so that no alternative hides a longer one
-    body = "|".join(re.escape(t) for t in sorted(terms, key=lambda t: (-len(t), t)))
+    body = "|".join(sorted(patterns, key=lambda t: (-len(t), t)))
     return rf"(?iu)(?<![\p{{L}}\p{{N}}])({body})(?![\p{{L}}\p{{N}}])"
 
 
@@ -87,7 +111,7 @@ def highlight(hits: DataFrame, schema: DocSchema, node: Node, specs: Sequence[Hi
     hits, after the search has cut it."""
     entries = []
     for s in specs:
-        terms = query_terms(s.query or node, schema, s.name, any_field=not s.require_field_match)
+        terms = query_patterns(s.query or node, schema, s.name, any_field=not s.require_field_match)
         spec = schema.field(s.name)
         entries += [F.lit(s.rename or s.name),
                     highlight_field(F.col(spec.stored), terms, s)]

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from docspark.functions import analysis as A
 from docspark.functions import convert
 from docspark.operators import aggs, byexample, collapse, proximity, scoring, vectors, writes
+from docspark.operators import highlight as H
 from docspark.plans import criteria as C
 from docspark.plans.search import Search
-from docspark.schema import DocSchema
+from docspark.schema import DocSchema, FieldSpec
 from docspark.sources.collection import Collection
 from docspark.sources.tables import Catalog
 from docspark.sources.textindex import TextIndex
@@ -276,3 +277,21 @@ def test_range_pairs_match_brute_force(spark, relation, half):
     for width in (0.7, 3, 1000):
         got = proximity.range_pairs(a, b, left_range=("lo", "hi"), right_range=("a", "b"), width=width, relation=relation, half_open=half)
         assert rows(got, "l", "r") == expected
+
+
+def test_highlight_marks_what_a_clause_means(spark):
+    df = spark.createDataFrame([(1, "The quick, brown fox saw a quack and a brown dog")], "id int, t string")
+    schema = DocSchema.of(df, id="id", text=["t"])
+
+    def marked(node, schema=schema):
+        hit = H.highlight(df, schema, node, [H.HighlightField("t", pre_tag="[", post_tag="]", fragment_size=0)])
+        return hit.first()["highlight"].get("t", [None])[0]
+
+    assert marked(C.phrase("t", "quick brown")) == "The [quick, brown] fox saw a quack and a brown dog"
+    assert marked(C.starts_with("t", "qu")) == "The [quick], brown fox saw a [quack] and a brown dog"
+    assert marked(C.wildcard("t", "qu?ck")) == "The [quick], brown fox saw a [quack] and a brown dog"
+    assert marked(C.matches("t", "fox cat")) == "The quick, brown [fox] saw a quack and a brown dog"
+    assert marked(C.matches("t", "cat")) is None
+    folded = A.synonym_analyzer([["canine", "dog"]])
+    synonyms = DocSchema.of(df, id="id", overrides=[FieldSpec("t", "text", analyzer=folded)])
+    assert marked(C.matches("t", "canine"), synonyms) == "The quick, brown fox saw a quack and a brown [dog]"
