@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -39,6 +39,8 @@ class Order:
     unmapped: str | None = None
     nested_filter: Callable[[Column], Column] | None = None
     max_children: int | None = None
+    # for arrays inside the nested one, by path: their own filter and number of children
+    levels: Mapping[str, tuple[Callable[[Column], Column] | None, int | None]] = field(default_factory=dict)
     origin: geo.Point | None = None
     unit: str = "m"
     distance: str = "arc"
@@ -81,8 +83,16 @@ def sort_key(order: Order, ctx: Context) -> Column:
         inner = order.field[len(nested) + 1:].split(".")
 
         def values(arr: Column, path: list[str]) -> Column:
-            out = F.transform(arr, lambda e: e.getField(path[0]))
-            dtype = ctx.type_of(".".join([nested, *inner[:len(inner) - len(path) + 1]]))
+            at = ".".join([nested, *inner[:len(inner) - len(path) + 1]])
+            keep, most = order.levels.get(at, (None, None))
+
+            def child(e: Column) -> Column:
+                below = e.getField(path[0])
+                below = below if keep is None else F.filter(below, keep)
+                return below if most is None else F.slice(below, 1, most)
+
+            out = F.transform(arr, child)
+            dtype = ctx.type_of(at)
             if isinstance(dtype, T.ArrayType):
                 out = F.flatten(out)
             return values(out, path[1:]) if len(path) > 1 else out

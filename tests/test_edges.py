@@ -8,7 +8,7 @@ from docspark.functions import convert
 from docspark.operators import aggs, byexample, collapse, proximity, scoring, vectors, writes
 from docspark.operators import highlight as H
 from docspark.plans import criteria as C
-from docspark.plans.search import Search
+from docspark.plans.search import Order, Search
 from docspark.schema import DocSchema, FieldSpec
 from docspark.sources.collection import Collection
 from docspark.sources.tables import Catalog
@@ -295,3 +295,15 @@ def test_highlight_marks_what_a_clause_means(spark):
     folded = A.synonym_analyzer([["canine", "dog"]])
     synonyms = DocSchema.of(df, id="id", overrides=[FieldSpec("t", "text", analyzer=folded)])
     assert marked(C.matches("t", "canine"), synonyms) == "The quick, brown fox saw a quack and a brown [dog]"
+
+
+def test_nested_in_nested(spark):
+    df = spark.createDataFrame([(1, [("a", [("x", 5), ("y", 1)]), ("b", [("x", 9)])]), (2, [("a", [("y", 3), ("x", 2)])]), (3, [])],
+                               "id int, o array<struct<n: string, c: array<struct<k: string, v: int>>>>")
+    s = Search(df, DocSchema.of(df, id="id"))
+    assert rows(s.query(C.is_("o.c.k", "x")).matches(), "id") == [(1,), (2,)]
+    assert rows(s.query(C.gt("o.c.v", 8)).matches(), "id") == [(1,)]
+    only_y = Order("o.c.v", levels={"o.c": (lambda e: e["k"] == "y", None)})
+    assert [r["id"] for r in s.sort(only_y.desc()).unpaged().hits().collect()][:2] == [2, 1]
+    first = Order("o.c.v", levels={"o.c": (None, 1)})
+    assert [r["id"] for r in s.sort(first).unpaged().hits().collect()][:2] == [2, 1]
