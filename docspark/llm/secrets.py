@@ -107,42 +107,43 @@ def battery(token: Column) -> Column:
     six degrees of freedom give the p-value in closed form. A short token of any kind cannot
     reach a small p-value, so length is weighed by the tests themselves.
     """
-    def tested(s: Column, alphabet: str, name: str) -> Column:
+    total = lambda values, of: F.aggregate(values, F.lit(0.0), lambda a, x: a + of(x))
+
+    def uniform(c: Column, n: Column, e: Column) -> Column:
+        # pairs of equal characters, a linear form of the chi-squared statistic
+        pairs = (total(F.array_distinct(c), lambda x: F.pow(F.size(F.filter(c, lambda y: y == x)).cast("double"), F.lit(2.0))) - n) / 2
+        spread = F.sqrt(n * (n - 1) / 2 * (e["p2"] - e["p2"] * e["p2"]) + n * (n - 1) * (n - 2) * (e["p3"] - e["p2"] * e["p2"]))
+        return normal_tail((n * (n - 1) / 2 * e["p2"] - pairs) / F.greatest(spread, F.lit(1e-9)))
+
+    def runs(k: Column, n: Column, e: Column) -> Column:
+        changes = total(F.sequence(F.lit(1), F.size(k) - 1), lambda i: (F.element_at(k, i) != F.element_at(k, i + 1)).cast("double"))
+        often = e["changes"]
+        return normal_tail((changes - 0.5 - (n - 1) * often) / F.sqrt((n - 1) * often * (1 - often)))
+
+    def serial(v: Column, n: Column) -> Column:
+        mean = total(v, lambda x: x) / n
+        return let(mean, lambda m: normal_tail((F.coalesce(F.try_divide(
+            total(F.sequence(F.lit(1), F.size(v) - 1), lambda i: (F.element_at(v, i) - m) * (F.element_at(v, i + 1) - m)),
+            total(v, lambda x: (x - m) * (x - m))), F.lit(0.0)) - SERIAL) * F.sqrt(n)))
+
+    def p_value(c: Column, e: Column) -> Column:
+        n = F.size(c).cast("double")
+        kinds = F.transform(c, lambda x: F.translate(x, LOWER + LOWER.upper() + DIGITS, "a" * 26 + "A" * 26 + "0" * 10))
+        places = F.transform(c, lambda x: F.instr(e["alphabet"], x).cast("double"))
+        logs = (F.log(uniform(c, n, e)) + let(kinds, lambda k: F.log(runs(k, n, e)))
+                + let(places, lambda v: F.log(serial(v, n))))
+        return let(-logs, lambda half: F.exp(-half) * (1 + half + half * half / 2))
+
+    kind = "struct<encoding: string, alphabet: string, p2: double, p3: double, changes: double>"
+    model: Column = F.lit(None).cast(kind)
+    for name, pattern, alphabet in reversed(ENCODINGS):
         p2, p3 = text_model(alphabet)
-        total = lambda values, of: F.aggregate(values, F.lit(0.0), lambda a, x: a + of(x))
-
-        def uniform(c: Column, n: Column) -> Column:
-            # pairs of equal characters, a linear form of the chi-squared statistic
-            pairs = (total(F.array_distinct(c), lambda x: F.pow(F.size(F.filter(c, lambda y: y == x)).cast("double"), F.lit(2.0))) - n) / 2
-            spread = F.sqrt(n * (n - 1) / 2 * (p2 - p2 * p2) + n * (n - 1) * (n - 2) * (p3 - p2 * p2))
-            return normal_tail((n * (n - 1) / 2 * p2 - pairs) / F.greatest(spread, F.lit(1e-9)))
-
-        def serial(v: Column, n: Column) -> Column:
-            mean = total(v, lambda x: x) / n
-            return let(mean, lambda m: normal_tail((F.coalesce(F.try_divide(
-                total(F.sequence(F.lit(1), F.size(v) - 1), lambda i: (F.element_at(v, i) - m) * (F.element_at(v, i + 1) - m)),
-                total(v, lambda x: (x - m) * (x - m))), F.lit(0.0)) - SERIAL) * F.sqrt(n)))
-
         often = MIXED_CHANGES if "a" in alphabet and "A" in alphabet else CHANGES
-
-        def changed(k: Column, n: Column) -> Column:
-            changes = total(F.sequence(F.lit(1), F.size(k) - 1), lambda i: (F.element_at(k, i) != F.element_at(k, i + 1)).cast("double"))
-            return normal_tail((changes - 0.5 - (n - 1) * often) / F.sqrt((n - 1) * often * (1 - often)))
-
-        def statistics(c: Column) -> Column:
-            n = F.size(c).cast("double")
-            kinds = F.transform(c, lambda x: F.translate(x, LOWER + LOWER.upper() + DIGITS, "a" * 26 + "A" * 26 + "0" * 10))
-            places = F.transform(c, lambda x: F.instr(F.lit(alphabet), x).cast("double"))
-            logs = (F.log(uniform(c, n)) + let(kinds, lambda k: F.log(changed(k, n)))
-                    + let(places, lambda v: F.log(serial(v, n))))
-            return let(-logs, lambda half: F.exp(-half) * (1 + half + half * half / 2))
-
-        return F.struct(F.lit(name).alias("encoding"), let(F.split(s, "(?!^)"), statistics).alias("p"))
-
-    picked: Column = F.lit(None).cast("struct<encoding: string, p: double>")
-    for name, pattern, alphabet in reversed(ENCODINGS):
-        picked = F.when(F.rlike(token, F.lit(pattern)), tested(token, alphabet, name)).otherwise(picked)
-    return picked
+        known = F.struct(F.lit(name).alias("encoding"), F.lit(alphabet).alias("alphabet"), F.lit(p2).alias("p2"),
+                         F.lit(p3).alias("p3"), F.lit(often).alias("changes"))
+        model = F.when(F.rlike(token, F.lit(pattern)), known).otherwise(model)
+    return let(model, lambda e: F.when(e.isNotNull(), F.struct(
+        e["encoding"].alias("encoding"), let(F.split(token, "(?!^)"), lambda c: p_value(c, e)).alias("p"))))
 
 
 def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float = 0.01) -> DataFrame:
@@ -160,6 +161,7 @@ def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float
     Other columns stay as they are; columns called ``base`` or ``spans`` are replaced.
     """
     columns = [c for c in docs.columns if c not in ("base", "spans")]
+    inner = "_found" + "_" * max(map(len, docs.columns))  # longer than any column's name
     body = F.coalesce(F.col(text), F.lit(""))
 
     def merged(*parts: Column) -> Column:
@@ -182,7 +184,7 @@ def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float
         return F.struct(f["a"].alias("a"), f["k"].alias("k"), f["h"].alias("h"),
                         F.filter(scored, lambda s: s["p"].isNotNull()).alias("t"))
 
-    found = docs.select(*[F.col(c) for c in columns], let(listed, tested).alias("_found"))
+    found = docs.select(*[F.col(c) for c in columns], let(listed, tested).alias(inner))
     # counted over all texts, in steps of a tenth of a digit; a step is taken at its upper end
     step = F.least(F.floor(-10 * F.log10(F.greatest(F.col("t.p"), F.lit(1e-300)))), F.lit(3000))
     steps = (docs.select(let(listed, tested).alias("f")).select(F.explode("f.t").alias("t"))
@@ -192,9 +194,9 @@ def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float
     # p-values of step s are at most 10 ** (-s / 10)
     holds = F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("all") <= F.lit(rate) * F.col("below")
     limit = every.where(holds).agg(F.min("step")).first()[0]
-    sure = F.filter(F.col("_found.t"), lambda s: F.floor(-10 * F.log10(F.greatest(s["p"], F.lit(1e-300)))) >= (
+    sure = F.filter(F.col(inner)["t"], lambda s: F.floor(-10 * F.log10(F.greatest(s["p"], F.lit(1e-300)))) >= (
         limit if limit is not None else 10 ** 6))
-    three = [F.col("_found.a"), F.col("_found.k"), F.col("_found.h")]
+    three = [F.col(inner)[kind] for kind in ("a", "k", "h")]
     return found.select(*columns, merged(*three).alias("base"), merged(*three, sure).alias("spans"))
 
 
