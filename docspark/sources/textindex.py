@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis as A
 
+#: Files at most that the postings of one term lie in.
+SPREAD = 16
+
 
 @dataclass(frozen=True)
 class TextIndex:
     """Three tables under ``path``.
 
-    ``postings`` has ``(term, id, tf, doc_len)`` by ranges of term and id, so that the terms of a
-    query are a few row groups, and a stop word is spread over files; ``terms`` has ``(term, df,
-    freq)`` by ranges of term; ``numbers`` is one row, the documents with a term and all terms.
+    ``postings`` has ``(term, id, tf, doc_len)`` dealt out by term, a stop word over several files,
+    and sorted, so that the terms of a query are a few row groups; ``terms`` has ``(term, df,
+    freq)``, dealt out and sorted likewise; ``numbers`` is one row, the documents with a term and all terms.
     """
 
     spark: SparkSession
@@ -32,9 +35,11 @@ class TextIndex:
         index = cls(docs.sparkSession, path.rstrip("/"), text, id, analyzer)
         counted = docs.select(F.col(id).alias("id"), F.posexplode(A.term_counts(analyzer.column(F.col(text)))).alias("nr", "t"))
         rows = counted.select("t.term", "id", "t.tf", "t.doc_len", (F.col("nr") == 0).alias("first"))
-        index._write("postings", rows.repartitionByRange("term", "id").sortWithinPartitions("term", "id"))
+        # by term, a term over SPREAD files; each file is sorted, so a term is a few row groups of it
+        part = F.pmod(F.xxhash64("id"), F.lit(SPREAD))
+        index._write("postings", rows.repartition("term", part).sortWithinPartitions("term", "id"))
         terms = index.postings().groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))
-        index._write("terms", terms.repartitionByRange("term").sortWithinPartitions("term"))
+        index._write("terms", terms.sortWithinPartitions("term"))
         index._write("numbers", index.postings().agg(
             F.count_if("first").alias("n"), F.coalesce(F.sum("tf"), F.lit(0)).alias("total")))
         return index

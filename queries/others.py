@@ -13,7 +13,7 @@ from docspark.sources import sql as S
 from docspark.sources.collection import Collection
 from docspark.streaming import streams
 
-from .registry import query, scratch, tok
+from .registry import query, scratch, text_index, tok
 
 # --- suggestions ------------------------------------------------------------------------------------
 
@@ -27,7 +27,7 @@ VOCAB = f"vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_i
     r AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY score DESC, df DESC, term) AS rank FROM c)
     SELECT position, token, term, df, round(score, 6) AS score FROM r WHERE rank <= 5""")
 def _(t):
-    s = suggest.suggest_term(t.documents, "doc_id", "text", "thatim helely orreh")
+    s = suggest.suggest_term(t.documents, "doc_id", "text", "thatim helely orreh", vocab=text_index(t).terms())
     return s.select("position", "token", "term", "df", F.round("score", 6).alias("score"))
 
 
@@ -37,7 +37,8 @@ def _(t):
       AND term <> token AND df > coalesce((SELECT df FROM vocab v WHERE v.term = 'thatio'), 0))
     SELECT token, term, df FROM c ORDER BY df DESC, score DESC, term LIMIT 4""")
 def _(t):
-    s = suggest.suggest_term(t.documents, "doc_id", "text", "thatio", mode="popular", sort="frequency", size=4)
+    s = suggest.suggest_term(t.documents, "doc_id", "text", "thatio", mode="popular", sort="frequency", size=4,
+                             vocab=text_index(t).terms())
     return s.select("token", "term", "df")
 
 
@@ -62,7 +63,7 @@ _WORDS = ["thatim", "orreh", "the"]
       LEFT JOIN b b1 ON b1.w1 = x.term AND b1.w2 = y.term LEFT JOIN b b2 ON b2.w1 = y.term AND b2.w2 = z.term WHERE x.position = 0)
     SELECT phrase, round(score, 6) AS score FROM p ORDER BY p.score DESC, phrase LIMIT 3""")
 def _(t):
-    s = suggest.suggest_phrase(t.documents, "doc_id", "text", " ".join(_WORDS), size=3)
+    s = suggest.suggest_phrase(t.documents, "doc_id", "text", " ".join(_WORDS), size=3, vocab=text_index(t).terms())
     return s.withColumn("score", F.round("score", 6))
 
 
