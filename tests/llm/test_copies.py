@@ -1,0 +1,93 @@
+"""Near copies in the pipeline's stage: against all pairs, with planted copies."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from docspark.llm import copies, simhash, stages
+from tests.llm.test_operators import SF, documents, sentence
+
+WIDTH, LEAST = 5, 0.8
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + WIDTH]) for i in range(max(1, len(words) - WIDTH + 1))}
+
+
+def plain_components(docs):
+    sets = [plain_set(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) / len(a | sets[j]) >= LEAST:
+                root[top(i)] = top(j)
+    least = {}
+    for i, (id, _) in enumerate(docs):
+        least[top(i)] = min(least.get(top(i), id), id)
+    return sorted((id, least[top(i)]) for i, (id, _) in enumerate(docs))
+
+
+def edited(text, places, seed):
+    words, r = text.split(), random.Random(seed)
+    for i in r.sample(range(len(words)), places):
+        words[i] = f"edit{seed}x{i}"
+    return " ".join(words)
+
+
+def planted():
+    texts = [sentence(150, s) for s in range(40)]
+    texts += [edited(t, 1 + s % 4, s) for s, t in enumerate(texts)]  # one to four of 150 words: 0.76 to 0.93
+    texts += [edited(texts[0], 2, 100 + s) for s in range(60)]  # a large group, similar to the base, less to each other
+    texts += [texts[3]] * 5 + [texts[4].upper(), None, "", " \n", "a b c", "A  b c", "a b d", "a b c d e f"]
+    return list(enumerate(texts))
+
+
+def test_near_copies_equal_all_pairs(spark):
+    docs = planted()
+    got = copies.near_copies(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == plain_components(docs)
+
+
+def test_stage_drops_planted_copies(spark):
+    base = sentence(300, 7)
+    docs = [(1, base), (2, edited(base, 3, 1)), (3, edited(base, 5, 2)), (4, edited(base, 40, 3)), (5, sentence(300, 8))]
+    # what a radius of two bits does not reach
+    assert min((simhash.fingerprint(base) ^ simhash.fingerprint(t)).bit_count() for _, t in docs[1:3]) > simhash.RADIUS
+    kept = stages.near_duplicates(spark, documents(spark, [(i, t, "a") for i, t in docs]), SF)
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == [1, 4, 5]
+
+
+def test_links_compare_all_members_of_a_bucket(spark):
+    """Two groups and single nodes in one bucket: only pairs beyond the first member link some of them."""
+    sets = {n: range(n % 2 * 1000, n % 2 * 1000 + 50) for n in range(20)} | {n: range(n * 1000, n * 1000 + 50) for n in range(50, 60)}
+    rows = [(n, copies.np.array(s, "uint64").tobytes()) for n, s in sets.items()]
+    members = spark.createDataFrame([(1, n) for n in sets], "bucket long, node long")
+    roots = dict(copies.links(members, spark.createDataFrame(rows, "node long, found binary"), LEAST).collect())
+    assert {n: roots.get(n, n) for n in sets} == {n: n % 2 if n < 20 else n for n in sets}
+
+
+def test_signatures_agree_as_often_as_sets():
+    for share in (0.5, 0.8, 0.9):
+        r, hits = random.Random(5), 0
+        for _ in range(300):
+            common = [r.getrandbits(64) for _ in range(int(100 * share))]
+            a, b = (copies.np.unique(copies.np.array(common + [r.getrandbits(64) for _ in range((100 - len(common)) // 2)], "uint64"))
+                    for _ in range(2))
+            hits += (copies.buckets(a) == copies.buckets(b)).sum()
+        of = copies.similarity(a, b)
+        assert abs(hits / 300 / copies.BANDS - of ** copies.ROWS) < 0.03
+
+
+def test_shingles():
+    assert len(copies.shingles("a b c d e f")) == 2 and len(copies.shingles("a b")) == 1
+    assert (copies.shingles("A b C d e\nF") == copies.shingles("a b c d e f")).all()
+    assert set(copies.shingles("a b c d e")) != set(copies.shingles("e d c b a"))
+    long = " ".join(map(str, range(3 * copies.BLOCK)))
+    assert len(copies.shingles(long)) == 3 * copies.BLOCK - 4
