@@ -15,8 +15,10 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: A run that is long enough is found from its first character on, so the length can stand in the
 #: pattern: nothing shorter would have hidden it.
 ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
-#: Candidates of the battery.
-TOKEN = r"[A-Za-z0-9+/_-]{20,}"
+#: Candidates of the battery: runs with the marks of one encoding. A run that mixes both sets of
+#: marks is split where a part meets a mark of the other set, so every long part is judged.
+TOKEN = (r"[A-Za-z0-9+/]{20,}+(?![_-])|[A-Za-z0-9_-]{20,}+(?![+/])"
+         r"|[A-Za-z0-9+/]{20,}+|[A-Za-z0-9_-]{20,}+")
 
 #: Encodings, the narrowest first: name, pattern of the whole token, its alphabet in order.
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
