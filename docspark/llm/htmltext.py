@@ -13,11 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is never text of the page.
-RAW = "script|style|noscript|template|title|textarea|select|button|iframe|object|svg|canvas|audio|video"
+#: Elements whose content is never text of the page: raw text, which only its end tag or the end of
+#: the page ends, and others, which count only if they are closed before the next of their name.
+RAW = "script|style|title|textarea"
+CLOSED = "noscript|template|select|button|iframe|object|svg|canvas|audio|video"
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
+    rf"|<(?P<closed>{CLOSED})\b[^>]*(?<!/)>(?:(?!<(?P=closed)\b).)*?</(?P=closed)\s*>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<[/!?a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE)
 #: Elements that begin and end blocks of text.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
@@ -28,7 +31,11 @@ SPACES = frozenset(["br", "wbr", "img", "input", "hr"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = frozenset("html head meta link title base script style noscript template".split())
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.IGNORECASE)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.IGNORECASE)
+UNSEEN = re.compile(r"display\s*:\s*none|\baria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)")
+#: Elements whose names speak of the page and not of its text; first parts that turn a name round.
+WHOLE, TURNED = frozenset(["html", "body"]), frozenset("no not has with without is hide".split())
 #: What an element says about the text in it, in log odds of content.
 OF_TAG = {"article": 4.0, "main": 2.5, "nav": -7.0, "aside": -6.0, "footer": -7.0, "form": -6.0, "header": -5.0,
           "menu": -6.0, "dialog": -5.0, "figure": -1.0, "fieldset": -3.0}
@@ -54,11 +61,16 @@ class Block:
 
 
 def names_odds(attributes: str) -> float:
-    odds = -5.0 if HIDDEN.search(attributes) else 0.0
-    for value in NAMED.findall(attributes):
-        for word in re.split(r"[^a-z0-9]+", value.lower()):
-            odds += next((o for pattern, o in OF_NAME if pattern.match(word)), 0.0)
-    return max(odds, -9.0)
+    """Log odds of the names of an element; the last part of a hyphenated name says what it is, and
+    each meaning counts once."""
+    names = [w for v in NAMED.findall(attributes) for w in v.lower().strip("\"'").split()]
+    hidden = HIDDEN.search(VALUE.sub("= ", attributes)) or UNSEEN.search(attributes) or "hidden" in names
+    meanings = set()
+    for name in names:
+        words = re.findall(r"[a-z0-9]+", name)
+        if words and words[0] not in TURNED:
+            meanings |= {next((o for pattern, o in OF_NAME if pattern.match(words[-1])), 0.0)}
+    return max(sum(meanings) - (5.0 if hidden else 0.0), -9.0)
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -85,10 +97,10 @@ def blocks_of(html: str) -> list[Block]:
         if m.start() > at and not in_head:
             pieces.append((html[at:m.start()], links > 0))
         at = m.end()
-        name = (m[3] or "").lower()
+        name = (m["name"] or "").lower()
         if not name:
             continue
-        closing = bool(m[2])
+        closing = bool(m["end"])
         if name == "head":
             in_head = not closing
         elif in_head and not closing and name not in HEAD:
@@ -109,7 +121,7 @@ def blocks_of(html: str) -> list[Block]:
                 if stack and stack[-1][0] == "p":
                     stack.pop()
                 number += 1
-                odds = (stack[-1][2] if stack else 0.0) + OF_TAG.get(name, 0.0) + names_odds(m[4] or "")
+                odds = (stack[-1][2] if stack else 0.0) + OF_TAG.get(name, 0.0) + (names_odds(m["attributes"] or "") if name not in WHOLE else 0.0)
                 stack.append((name, number, odds))
     if at < len(html) and not in_head:
         pieces.append((html[at:], links > 0))
