@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import copies
 from . import decontamination as tests
 from . import mixing as mixer
 from . import secrets as scanner
+from . import simhash
 from . import toxicity as judge
 
 #: Documents with this score or more go.
@@ -24,16 +24,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one that gives it its id.
+    """One document of each component of linked SimHash fingerprints stays: the one with the least id.
 
-    Documents link whose shingles of five words have a Jaccard similarity of 0.8 or more.
-    Of repeated rows of that id one stays. Rows without an id cannot be told apart by it and
-    stay.
+    A document is known by its id and text: different texts of one id are judged each by its own,
+    and of repeated rows the least by all columns stays. Null and empty texts have the
+    fingerprint zero and are one group. A row without an id comes behind all others of its
+    group.
     """
-    keep = (copies.near_copies(docs).where(F.col("doc_id") == F.col("component_id"))
-            .select("doc_id").distinct())
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    known = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("text"))
+    named = docs.withColumn("_document", known)
+    groups = simhash.near_duplicates(named.select("_document", "text"), id="_document")
+    first = groups.where(F.col("_document") == F.col("component_id")).select("_document").distinct()
+    kept = named.join(first, "_document", "left_semi")
+    return kept.groupBy("_document").agg(F.min(F.struct(*docs.columns)).alias("d")).select("d.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
