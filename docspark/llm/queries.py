@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import decontamination, fingerprints, htmltext, mixing, secrets, simhash, substrings, toxicity, urls, warc
+from . import (decontamination, fingerprints, htmltext, merkle, mixing, packing, secrets, simhash, substrings, toxicity,
+               trie, urls, warc)
 from .common import pinned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +137,29 @@ FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
 @query
 def op6_html(spark: SparkSession, folder: str) -> DataFrame:
     return htmltext.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    out = packing.packed(table(spark, folder, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+    length = F.octet_length("ids") / packing.WIDTH
+    return out.select("doc_id", "piece", "start", length.cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+                      "sequence_id", "offset")
+
+
+@query
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    seqs = trie.sequences(table(spark, folder, "conversations"))
+    shares = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return trie.prefix_trie(trie.with_shared_start(seqs, shares, F.col("conv_id") - F.col("conv_id") % 100, 5))
+
+
+@query
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    out = merkle.manifest(table(spark, folder, "documents"), fields, claimed=F.when(chosen, merkle.digest(tampered)))
+    return out.withColumn("proof_sha256", F.sha2(F.array_join("proof", ""), 256)).drop("proof")
