@@ -156,6 +156,34 @@ def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(trie.with_shared_start(seqs, shares, F.col("conv_id") - F.col("conv_id") % 100, 5))
 
 
+ORACLES["op12_trie"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+own AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+shares AS (
+  SELECT conv_id, s, xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h FROM own, crc),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.s[1:h], []), a.s[h + 1:]) AS s
+  FROM shares a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+members AS (SELECT conv_id, u.d AS d, s[1:u.d] AS p, len(s) AS l FROM rebuilt, unnest(range(len(s) + 1)) AS u(d)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(p[d].said), 0) AS own,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE l = d), '')) AS ends_sha256
+  FROM members GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+subtrees AS (
+  SELECT c.p[1:u.k] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM counted c, unnest(range(d + 1)) AS u(k) GROUP BY ALL)
+SELECT c.conv_id, c.d AS depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees USING (p) LEFT JOIN nodes up ON c.d > 0 AND up.p = c.p[1:c.d - 1]
+"""
+
+
 @query
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -163,3 +191,59 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     out = merkle.manifest(table(spark, folder, "documents"), fields, claimed=F.when(chosen, merkle.digest(tampered)))
     return out.withColumn("proof_sha256", F.sha2(F.array_join("proof", ""), 256)).drop("proof")
+
+
+def _written(*values: str) -> str:
+    return " || ".join(f"coalesce(strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR, '-')" for v in values)
+
+
+def _levels(name: str, leaves: str) -> str:
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, nr, h, n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, nr // 2, sha256(string_agg(h, '' ORDER BY nr)), (n + 1) // 2 FROM {name} WHERE n > 1
+  GROUP BY tree, level, nr // 2, n)"""
+
+
+def _steps(leaves: str, levels: str) -> str:
+    """The sibling of each leaf's ancestors: side 0 alone, 1 on the right, 2 on the left."""
+    return f"""SELECT l.tree, l.nr, u.k AS level, CASE WHEN s.h IS NULL THEN 0 WHEN (l.nr >> u.k) & 1 = 0 THEN 1 ELSE 2 END AS side, s.h
+  FROM {leaves} l, unnest(range(ceil(log2(l.n))::BIGINT)) AS u(k)
+  LEFT JOIN {levels} s ON s.tree IS NOT DISTINCT FROM l.tree AND s.level = u.k AND s.nr = xor(l.nr >> u.k, 1)"""
+
+
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+hashed AS (
+  SELECT doc_id, lang AS tree, sha256({_written("doc_id", "source", "lang", "n_chars", "text")}) AS h,
+         sha256({_written("doc_id", "source", "lang", "n_chars + 1", "text")}) AS tampered,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 AS chosen FROM documents, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS nr, count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed),
+{_levels("levels", "leaves")},
+tops AS (SELECT tree AS lang, h FROM levels WHERE n = 1),
+subroots AS (
+  SELECT 0 AS tree, lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS nr, count(*) OVER () AS n FROM tops),
+{_levels("over", "subroots")},
+low AS ({_steps("leaves", "levels")}),
+high AS ({_steps("subroots", "over")}),
+steps AS (
+  SELECT tree, nr, 0 AS part, level, side, h FROM low
+  UNION ALL
+  SELECT l.tree, l.nr, 1, s.level, s.side, s.h FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.tree
+  JOIN high s ON s.nr = r.nr),
+paths AS (
+  SELECT tree, nr, list(struct_pack(side := side, h := h) ORDER BY part, level) AS path,
+         string_agg(h, '' ORDER BY part, level) AS beside FROM steps GROUP BY tree, nr)
+SELECT doc_id, l.h AS leaf, r.h AS subroot, o.h AS root, sha256(coalesce(beside, '')) AS proof_sha256,
+       list_reduce(list_concat([struct_pack(side := 0, h := CASE WHEN chosen = 0 THEN tampered ELSE l.h END)], coalesce(path, [])),
+         lambda a, b: struct_pack(side := 0, h := CASE b.side WHEN 0 THEN sha256(a.h) WHEN 1 THEN sha256(a.h || b.h)
+                                             ELSE sha256(b.h || a.h) END)).h AS folded_root,
+       folded_root = root AS verified
+FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.tree, (SELECT h FROM over WHERE n = 1) o
+LEFT JOIN paths p ON p.tree IS NOT DISTINCT FROM l.tree AND p.nr = l.nr
+"""
