@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,37 +21,94 @@ from .common import pinned
 GROUP_TOKENS = 1 << 24
 #: Groups whose underfull bins meet in one task of the next round.
 FAN_IN = 16
-#: Words whose ids a task keeps, and the bytes of the longest of them.
-KEPT_WORDS, KEPT_BYTES = 1 << 18, 64
+#: Words, and runs of words, whose ids a task keeps, and the length of the longest of them.
+KEPT_WORDS, KEPT_LETTERS = 1 << 18, 64
 #: Bytes of one token id.
 WIDTH = 4
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it can be seen."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in seen]
+    return {b: b for b in seen} | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+def word_splitter(path: str) -> Callable[[str], list[str]] | None:
+    """What the tokenizer file does to a text before its model sees words; None for other kinds of files.
+
+    That is NFC, white space as blanks and lower case, then the words of a pattern.
+    """
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    steps = (said["normalizer"] or {}).get("normalizers", [])
+    before = (said["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in before] != ["Split", "ByteLevel"]:
+        return None
+    split, level = before
+    if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
+        return None
+    words = regex.compile(split["pattern"]["Regex"]).findall
+    # a capital sigma becomes the same letter wherever it stands
+    return lambda text: words(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
+
+
 def encoder(path: str) -> Callable[[str | None], bytes]:
     """A function from texts to their ids, little-endian unsigned 32-bit numbers, without special tokens.
 
-    The pre-tokenizer never joins what ASCII white space parts, and its normalizer never looks
-    across it. So the words between are encoded one by one and the ids of frequent ones are
-    kept, which gives the ids of the whole text in a fraction of the time.
+    The model encodes every word by itself, and no word reaches over ASCII white space. So the ids of
+    words, and of runs between white space, are kept, and a text's ids are those of its runs. A text that spells out an added token or has a letter
+    that is new in Unicode, and any text where the file splits words in another way, goes to the tokenizer
+    as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path)
-    kept: dict[bytes, bytes] = {}
+    whole = Tokenizer.from_file(path)
+    model, split, letters = whole.model, word_splitter(path), byte_letters()
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
+    of_word: dict[str, bytes] = {}
+    of_run: dict[bytes, bytes] = {}
+    assigned: set[str] = set()
+
+    def at_once(text: str) -> bytes:
+        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids_of(word: str) -> bytes:
+        spelled = word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(letters)
+        return array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
+
+    def known(run: str) -> bytes | None:
+        """The ids of what stands between white space; None if it has a letter that is new in Unicode."""
+        if not run.isascii() and not assigned.issuperset(run):
+            if any(unicodedata.category(c) == "Cn" for c in run):
+                return None
+            assigned.update(run)
+        out = []
+        for word in split(run):
+            ids = of_word.get(word)
+            if ids is None:
+                ids = ids_of(word)
+                if len(word) <= KEPT_LETTERS:
+                    of_word[word] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.encode("utf-8").split()
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
-        new = [w for w in set(words) if w not in kept]
-        found = model.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
-        out = b"".join([kept[w] if w in kept else ids[w] for w in words])
-        kept.update((w, i) for w, i in ids.items() if len(w) <= KEPT_BYTES)
-        return out
+        if split is None or any(a in text for a in added):
+            return at_once(text)
+        for kept in (of_word, of_run):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
+        runs, rare = text.encode("utf-8").split(), {}
+        for run in set(runs).difference(of_run):
+            ids = known(run.decode("utf-8"))
+            if ids is None:
+                return at_once(text)
+            (of_run if len(run) <= KEPT_LETTERS else rare)[run] = ids
+        return b"".join([of_run[r] if r in of_run else rare[r] for r in runs] if rare else map(of_run.__getitem__, runs))
 
     return encode
 
