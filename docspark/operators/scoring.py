@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import analysis as A
-from ..plans.criteria import Bool, Context, Criteria, Node
+from ..plans.criteria import Bool, ConstantScore, Context, Criteria, Leaf, Node, term_test
 from ..schema import DocSchema
 from ..sources.textindex import TextIndex
 
@@ -136,45 +136,93 @@ def _wanted(nodes: Iterable[Node], schema: DocSchema) -> dict[str, list[str]]:
 
 
 class _IndexScoring(_Scoring):
-    """Lengths, frequencies and corpus numbers from a stored index: no text is read for them.
+    """Lengths, frequencies, phrases and corpus numbers from a stored index: no text is read for them.
 
-    Conditions on terms are answered by the frequencies, too.
+    Conditions on terms and phrases are answered by the frequencies; pieces, patterns and
+    fuzzy terms by the documents of the terms of the vocabulary that they stand for.
     """
 
-    def __init__(self, schema, wanted, similarity, struct, index: TextIndex):
+    def __init__(self, schema, nodes: Sequence[Node], similarity, struct, index: TextIndex):
+        leaves = [leaf for node in nodes for leaf in node.leaves() if leaf.field == index.field]
+        wanted = {f: t for f, t in _wanted(nodes, schema).items() if f == index.field}
         super().__init__(schema, wanted, similarity, struct)
-        self.index = index
+        self.index, spec = index, schema.field(index.field)
+        spoken = [p for leaf in leaves if leaf.op in ("phrase", "in") for p in leaf.phrases(schema)] if spec.role == "text" else []
+        self.phrases = list(dict.fromkeys(p for p in spoken if len(p) > 1))
+        # conditions as keys: a leaf may hold a value that has no hash
+        self.tests = {id(leaf): (leaf, test) for leaf in leaves if (test := term_test(leaf, spec)) is not None}
 
     def answers(self, leaf) -> bool:
-        return (leaf.field == self.index.field and leaf.op in ("is", "matches", "matches_all", "term")
-                and set(leaf.terms(self.schema)) <= set(self.wanted[leaf.field]))
+        if id(leaf) in self.tests:
+            return True
+        return (leaf.field == self.index.field and leaf.op in ("is", "matches", "matches_all", "term", "phrase", "in")
+                and set(leaf.terms(self.schema)) <= set(self.wanted.get(leaf.field, ()))
+                and (leaf.op not in ("phrase", "in") or all(len(p) < 2 or p in self.phrases for p in leaf.phrases(self.schema))))
+
+    def _times(self, field: str, phrase: Sequence[str]) -> Column:
+        """How often a phrase stands in a document."""
+        if len(phrase) == 1:
+            return F.col(self._name("tf", field, phrase[0]))
+        return F.col(f"__pf{self.phrases.index(tuple(phrase))}")
 
     def match(self, leaf) -> Column:
+        if id(leaf) in self.tests:
+            return F.coalesce(F.col(self._test_name(leaf)), F.lit(False))
+        if leaf.op in ("phrase", "in"):
+            found = [self._times(leaf.field, p) > 0 for p in leaf.phrases(self.schema) if p]
+            return reduce(lambda a, b: a | b, found) if found else F.lit(False)
         terms = list(dict.fromkeys(leaf.terms(self.schema)))
         found = [F.col(self._name("tf", leaf.field, t)) > 0 for t in terms]
         if not found:
             return F.lit(False)
         return reduce(lambda a, b: a | b if leaf.op == "matches" else a & b, found)
 
+    def phrase(self, field: str, terms: Sequence[str]) -> Column:
+        if not terms:
+            return F.lit(0.0)
+        freq = self._times(field, terms).cast("double")
+        total = sum((self._idf(field, t) for t in terms), F.lit(0.0))
+        return F.when(freq > 0, self._weight(field, freq, total)).otherwise(F.lit(0.0))
+
+    def _test_name(self, leaf) -> str:
+        return f"__test{list(self.tests).index(id(leaf))}"
+
     def attach(self, docs: DataFrame) -> DataFrame:
         """``docs`` with the numbers of the terms; no frequency where a document has none."""
+        out, key = docs, F.col(self.index.id)
+        for leaf, test in self.tests.values():
+            hits = self.index.with_terms(self.index.terms().where(test(F.col("term"))))
+            out = out.join(hits.select(F.col(self.index.id).alias("__hit"), F.lit(True).alias(self._test_name(leaf))),
+                           key == F.col("__hit"), "left").drop("__hit")
+        if not self.wanted:
+            return out
         (field, terms), = self.wanted.items()
-        found = self.index.frequencies(terms).select(
+        found = self.index.frequencies(terms, self.phrases).select(
             F.col("id").alias("__id"), F.col("doc_len").cast("double").alias(self._name("len", field)),
-            *[F.col(f"tf{i}").cast("double").alias(self._name("tf", field, t)) for i, t in enumerate(terms)])
+            *[F.col(f"tf{i}").cast("double").alias(self._name("tf", field, t)) for i, t in enumerate(terms)],
+            *[F.col(f"pf{j}").alias(f"__pf{j}") for j in range(len(self.phrases))])
+        return out.join(found, key == F.col("__id"), "left")
+
+    def with_statistics(self, hits: DataFrame) -> DataFrame:
+        """``hits`` with the corpus numbers that scores need."""
+        if not self.wanted:
+            return hits
+        (field, terms), = self.wanted.items()
         numbers = self.index.numbers()
         dfs = self.index.terms(*terms).agg(F.struct(*[
             F.coalesce(F.max(F.when(F.col("term") == t, F.col("df"))), F.lit(0)).cast("double").alias(self._name("df", field, t))
             for t in terms])).scalar()
-        stats = F.struct(
+        return hits.withColumn("__stats", F.struct(
             numbers["n"].cast("double").alias(self._name("n", field)),
             F.try_divide(numbers["total"], numbers["n"]).cast("double").alias(self._name("avg", field)),
-            *[dfs[self._name("df", field, t)].alias(self._name("df", field, t)) for t in terms])
-        return docs.join(found, F.col(self.index.id) == F.col("__id"), "left").withColumn("__stats", stats)
+            *[dfs[self._name("df", field, t)].alias(self._name("df", field, t)) for t in terms]))
 
 
 def _deciding(node: Node) -> Iterable[Node]:
     """Clauses that are required or excluded without a score."""
+    if isinstance(node, ConstantScore):
+        yield node.inner
+        yield from _deciding(node.inner)
     if isinstance(node, Bool):
         for inner in (*node.must_not, *node.filter):
             yield inner
@@ -183,6 +231,17 @@ def _deciding(node: Node) -> Iterable[Node]:
             yield from _deciding(inner)
 
 
+def matching(docs: DataFrame, schema: DocSchema, node: Node | Criteria, index: TextIndex) -> DataFrame:
+    """Rows that match ``node``; the conditions on the indexed text are answered by the index.
+
+    Terms, phrases, pieces, patterns and fuzzy terms read postings; the text is only read for
+    what they can't answer, or if it is asked for.
+    """
+    node = node.build() if isinstance(node, Criteria) else node
+    scoring = _IndexScoring(schema, [node, *_deciding(node)], "bm25", docs.schema, index)
+    return scoring.attach(docs).where(node.match(Context(docs.schema, schema, scoring))).select(*docs.columns)
+
+
 def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
                corpus: DataFrame | None = None, similarity: str = "bm25",
                explain: bool = False, column: str = "_score", index: TextIndex | None = None) -> DataFrame:
@@ -202,10 +261,9 @@ def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
     wanted = _wanted([node], schema)
     if index is not None and list(wanted) == [index.field]:
         # terms that only decide are looked up as well
-        wanted = {f: t for f, t in _wanted([node, *_deciding(node)], schema).items() if f == index.field}
-        scoring = _IndexScoring(schema, wanted, similarity, docs.schema, index)
-        ctx = Context(docs.schema, schema, scoring)
-        hits = scoring.attach(docs).where(node.match(ctx))
+        scoring = _IndexScoring(schema, [node, *_deciding(node)], similarity, docs.schema, index)
+        wanted, ctx = scoring.wanted, Context(docs.schema, schema, scoring)
+        hits = scoring.with_statistics(scoring.attach(docs).where(node.match(ctx)))
     else:
         scoring = _Scoring(schema, wanted, similarity, docs.schema)
         ctx = Context(docs.schema, schema, scoring)
@@ -220,6 +278,96 @@ def with_score(docs: DataFrame, schema: DocSchema, node: Node | Criteria, *,
     return hits.select(*[c for c in dict.fromkeys(keep)])
 
 
+# --- the best hits ------------------------------------------------------------------------------
+
+#: Blocks of the first wave, how much larger each wave is, and the longest list of blocks in a filter.
+FIRST_BLOCKS, GROWTH, LISTED = 256, 16, 4096
+
+
+def any_terms(node: Node | Criteria, schema: DocSchema, field: str) -> dict[str, float] | None:
+    """The terms and weights of a query that wants any of some terms of a text; None for others."""
+    node = node.build() if isinstance(node, Criteria) else node
+    clauses = [node]
+    if isinstance(node, Bool):
+        if node.must or node.must_not or node.filter or (node.min_should or 1) != 1 or node.boost_ != 1.0:
+            return None
+        clauses = list(node.should)
+    out: dict[str, float] = {}
+    for leaf in clauses:
+        if not isinstance(leaf, Leaf) or leaf.field != field or leaf.boost_ <= 0:
+            return None
+        terms = leaf.terms(schema)
+        if not (leaf.op == "matches" or leaf.op in ("is", "term", "matches_all") and len(terms) == 1):
+            return None
+        if len(set(terms)) != len(terms) or set(terms) & set(out):
+            return None
+        out.update((t, leaf.boost_) for t in terms)
+    return out or None
+
+
+def best_hits(index: TextIndex, query: dict[str, float], k: int) -> DataFrame:
+    """The ``k`` documents with the highest scores for any of the query's terms: ``(id, _score)``.
+
+    A block of documents has a bound for each term, so a sum of bounds says what its best document
+    can score at most. Blocks are read in waves, the highest bounds first: ``FIRST_BLOCKS``, then ``GROWTH`` times as
+    many, and so on. After each wave the score of the k-th hit so far is the threshold, and when no block
+    is left that reaches it, the hits are final; ties are broken by the id. Beyond ``LISTED`` blocks
+    the rest is read in one wave, by a semi-join with those that still reach the threshold.
+
+    Runs a job for each wave when it is called; what reaches the driver is ``k`` rows and a wave's numbers of
+    blocks. The scores are those of ``with_score``.
+    """
+    terms, spark = list(query), index.spark
+    frequencies = [F.max(F.when(F.col("term") == t, F.col("df"))) for t in terms]
+    stats = spark.range(1).select(index.numbers().alias("s"), index.terms(*terms).agg(F.array(*[
+        F.coalesce(f, F.lit(0)) for f in frequencies])).scalar().alias("df")).first()
+    numbers, dfs = stats["s"], stats["df"]
+    kind = index.blocks()[0].schema["entries"].dataType.elementType["id"].dataType
+    found = spark.createDataFrame([], T.StructType([T.StructField(index.id, kind), T.StructField("_score", T.DoubleType())]))
+    if not numbers["n"] or k < 1:
+        return found
+    n, avg = F.lit(float(numbers["n"])), F.lit(numbers["total"] / numbers["n"])
+
+    def worth(term: str, df: int):
+        weight = idf(n, F.lit(float(df)))
+        return lambda tf, length: weight * tf_norm(tf.cast("double"), length.cast("double"), avg) * F.lit(query[term])
+
+    worths = {t: worth(t, d) for t, d in zip(terms, dfs) if d}
+    if not worths:
+        return found
+    # a sum in another order may differ in its last digits
+    bounds = index.bounds(worths).withColumn("bound", F.col("bound") * (1 + 1e-9))
+    order = (F.desc("bound"), F.asc("segment"), F.asc("block"))
+    best: list = []
+    beyond, least, wave = F.lit(True), float("-inf"), FIRST_BLOCKS
+
+    def scored(tables: list[DataFrame]) -> DataFrame:
+        rows = index.frequencies(terms, tables=tables)
+        value = sum((F.when(F.col(f"tf{i}") > 0, worths[t](F.col(f"tf{i}"), F.col("doc_len"))).otherwise(0.0)
+                     for i, t in enumerate(terms) if t in worths), F.lit(0.0))
+        return rows.select("id", value.alias("_score")).orderBy(F.desc("_score"), F.asc("id")).limit(k)
+
+    while True:
+        rest = bounds.where(beyond & (F.col("bound") >= least))
+        if wave > LISTED:
+            best = best + scored(index.blocks_of(terms, rest)).collect()
+            break
+        chosen = rest.orderBy(*order).limit(wave).collect()
+        if chosen:
+            best += scored(index.some_blocks(terms, [(r["segment"], r["block"]) for r in chosen])).collect()
+            best = sorted(sorted(best, key=lambda r: r["id"]), key=lambda r: -r["_score"])[:k]
+        if len(chosen) < wave:
+            break
+        last = chosen[-1]
+        beyond = F.struct((-F.col("bound")).alias("b"), "segment", "block") > F.struct(
+            F.lit(-last["bound"]).alias("b"), F.lit(last["segment"]).alias("segment"), F.lit(last["block"]).cast("long").alias("block"))
+        least, wave = best[k - 1]["_score"] if len(best) == k else float("-inf"), wave * GROWTH
+        if least > last["bound"]:
+            break
+    best = sorted(sorted(best, key=lambda r: r["id"]), key=lambda r: -r["_score"])[:k]
+    return spark.createDataFrame([tuple(r) for r in best], found.schema)
+
+
 def settled(df: DataFrame, column: str) -> DataFrame:
     """The frame with a dear column that later filters use as a value.
 
@@ -272,9 +420,11 @@ def combine_scores(first: Column, second: Column, mode: str, query_weight: float
 
 def rescore(hits: DataFrame, schema: DocSchema, node: Node, *, tie_break: str, window: int = 10,
             mode: str = "total", query_weight: float = 1.0, rescore_weight: float = 1.0,
-            corpus: DataFrame | None = None, matching_only: bool = True) -> DataFrame:
+            corpus: DataFrame | None = None, matching_only: bool = True, index: TextIndex | None = None) -> DataFrame:
     """Re-rank the best ``window`` hits by a second query; the others keep their places below.
 
+    With an ``index`` of the text that the second query asks for, its terms are read from postings.
+
     The top of the list is a bounded ``orderBy.limit``. A hit is in it if it ranks at
     or above the last one, which is one scalar comparison for the rest: no rank over all hits.
     Adds ``_rescored`` (0 = in the window) to sort by before ``_score``.
@@ -284,10 +434,14 @@ def rescore(hits: DataFrame, schema: DocSchema, node: Node, *, tie_break: str, w
             .agg(F.max(F.struct(-F.col("_score"), F.col(tie_break))).alias("k")).scalar())
     key = F.struct(-F.col("_score"), F.col(tie_break))
     base = hits.withColumn("_rescored", (key > last).cast("int"))
-    scoring = _Scoring(schema, _wanted([node], schema), "bm25", hits.schema)
+    wanted = _wanted([node], schema)
+    if index is not None and list(wanted) == [index.field]:
+        scoring = _IndexScoring(schema, [node, *_deciding(node)], "bm25", hits.schema, index)
+        prepared = scoring.with_statistics(scoring.attach(base))
+    else:
+        scoring = _Scoring(schema, wanted, "bm25", hits.schema)
+        prepared = scoring.prepare(base, corpus if corpus is not None else hits, only=F.col("_rescored") == 0)
     ctx = Context(hits.schema, schema, scoring)
-    prepared = scoring.prepare(base, corpus if corpus is not None else hits,
-                               only=F.col("_rescored") == 0)
     second = node.score(ctx)
     combined = combine_scores(F.col("_score"), second, mode, query_weight, rescore_weight)
     weighted = F.col("_score") * float(query_weight)
@@ -383,9 +537,15 @@ def document_frequencies(post: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, id: str, text: str, analyzer: A.Analyzer = A.STANDARD) -> DataFrame:
-    """``(term, df, freq)`` of a text column, pre-aggregated in every task."""
-    return postings(docs, id, text, analyzer).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq"))
+    """``(term, df, freq)`` of a text column, pre-aggregated in every task.
+
+    Terms and distinct terms of a text are two streams into one sum, so that no terms are
+    counted in the row and no (term, document) is shuffled.
+    """
+    toks = analyzer.column(F.col(text))
+    each = docs.select(F.explode(toks).alias("term"), F.lit(0).alias("df"), F.lit(1).alias("freq"))
+    distinct = docs.select(F.explode(F.array_distinct(toks)).alias("term"), F.lit(1).alias("df"), F.lit(0).alias("freq"))
+    return each.union(distinct).groupBy("term").agg(F.sum("df").alias("df"), F.sum("freq").alias("freq"))
 
 
 # --- more like this -----------------------------------------------------------------------------------

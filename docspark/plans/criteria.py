@@ -416,6 +416,30 @@ _TEXT = {
 }
 
 
+#: Conditions on a text that hold if they hold for one of its terms.
+_ANY_TERM = {
+    "contains": lambda v, an: (lambda t: F.contains(t, F.lit(v))) if an.word is None or an.is_term(v) else None,
+    "starts_with": lambda v, an: (lambda t: F.startswith(t, F.lit(v))) if an.word is None or an.is_term(v) else None,
+    "ends_with": lambda v, an: (lambda t: F.endswith(t, F.lit(v))) if an.word is None or an.is_term(v) else None,
+    "wildcard": lambda v, an: lambda t: t.rlike(A.wildcard_regex(v.lower())),
+    "regexp": lambda v, an: lambda t: t.rlike(f"^(?:{v})$"),
+    "fuzzy": lambda v, an: lambda t: A.within_edits(t, *_fuzzy_edits(v)),
+}
+
+
+def term_test(leaf: Leaf, spec: FieldSpec):
+    """The test of a single term that a condition on a text comes down to, None if it doesn't.
+
+    With it the vocabulary is searched, each distinct term once, instead of the texts.
+    """
+    if spec.role != "text" or leaf.op not in _ANY_TERM:
+        return None
+    value = spec.value(leaf.value)
+    if leaf.op in ("contains", "starts_with", "ends_with"):
+        value = _no_blanks(value).lower()
+    return _ANY_TERM[leaf.op](value, spec.analyzer) or (lambda t: F.lit(False))
+
+
 def _text_wildcard(c, v, spec):
     an = spec.analyzer
     if an.word is None:

@@ -238,6 +238,10 @@ class Search:
     def with_scores(self, similarity: str = "bm25", explain: bool = False, index: TextIndex | None = None) -> Search:
         return replace(self, scored=True, similarity=similarity, explained=explain, index=index)
 
+    def using(self, index: TextIndex) -> Search:
+        """Conditions on the indexed text are answered by the index, also without scores."""
+        return replace(self, index=index)
+
     def collapse(self, key: str) -> Search:
         return replace(self, collapse_on=key)
 
@@ -272,7 +276,9 @@ class Search:
                     if isinstance(node, Bool) and (node.must or not node.should)
                     else Bool(must=(node,), filter=self.filters))
         needs_score = (self.scored or self.minimum is not None
-                       or any(o.field == "_score" for o in self.orders))
+                       or any(o.field == "_score" for o in self.orders) and "_score" not in self.docs.columns)
+        if not needs_score and self.index is not None:
+            return scoring.matching(self.docs, self.schema, node, self.index)
         if not needs_score:
             return self.docs.where(node.match(self._context(self.docs)))
         out = scoring.with_score(self.docs, self.schema, node, similarity=self.similarity,
@@ -321,6 +327,24 @@ class Search:
             out = source_filter(out, (*includes, *always) if includes else (), excludes)
         return out
 
+    def best(self) -> DataFrame:
+        """The page of ``hits()`` by score.
+
+        With an index and a query for any of some terms only the blocks of postings are read
+        that can hold a hit of the page, and jobs run when this is called. Any other search
+        is that of ``hits()``.
+        """
+        plain = (self.index is not None and self.size is not None and self.scored and self.similarity in ("bm25", "default")
+                 and not (self.filters or self.post or self.boosts or self.after or self.collapse_on or self.explained)
+                 and self.minimum is None and self.schema.id == self.index.id
+                 and (not self.orders or self.orders == (Order("_score", descending=True),)))
+        terms = scoring.any_terms(self.node, self.schema, self.index.field) if plain else None
+        if terms is None:
+            return self.hits()
+        top = scoring.best_hits(self.index, terms, self.offset + self.size)
+        found = replace(self, docs=self.docs.join(F.broadcast(top), self.schema.id), node=MatchAll(), index=None, scored=False)
+        return found.sort(Order("_score", descending=True)).hits()  # a page at most is broadcast
+
     def sort_values(self) -> DataFrame:
         """Hits with their sort keys, as ``_sort_0``, ``_sort_1``, ..."""
         out = self._filtered()

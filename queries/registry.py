@@ -46,12 +46,20 @@ def scratch(t: Tables, name: str) -> str:
 _INDEXES: dict[tuple, TextIndex] = {}
 
 
+def state(df: DataFrame) -> tuple:
+    """The files of a table with their sizes and times, from the file system alone."""
+    spark, out = df.sparkSession, []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, found.getLen(), found.getModificationTime()))
+    return tuple(out)
+
+
 def text_index(t: Tables) -> TextIndex:
     """The stored index of the texts: built by the first query of a session that needs it, and
     again if the files have changed."""
-    files = t.documents.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    state = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
-    key = (t.spark.sparkContext.applicationId, t.folder, *state)
+    key = (t.spark.sparkContext.applicationId, t.folder, state(t.documents))
     if key not in _INDEXES:
         _INDEXES[key] = TextIndex.build(t.documents, "doc_id", "text", scratch(t, "text-index"))
     return _INDEXES[key]

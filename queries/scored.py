@@ -12,7 +12,7 @@ from docspark.sources.tables import multi_index
 from docspark.sources.textindex import TextIndex
 
 from .predicates import documents, orders
-from .registry import Tables, query, scratch, text_index, tok
+from .registry import Tables, padded, query, scratch, text_index, tok
 
 # --- the scoring function in SQL ---------------------------------------------------------------
 
@@ -54,6 +54,44 @@ def _(t):
     return index.with_terms(index.near("thatin", 2))
 
 
+@query("phrase_indexed", f"""SELECT doc_id, len(list_filter(range(1, len(w) - 1), lambda i: w[i] = 'the' AND w[i + 1] = 'of' AND w[i + 2] = 'and')) AS freq
+    FROM (SELECT doc_id, {tok('text')} AS w FROM documents) WHERE freq > 0""")
+def _(t):
+    # positions of the terms, intersected: no text is read
+    phrase = ("the", "of", "and")
+    hits = text_index(t).frequencies(phrase, [phrase]).where("pf0 > 0")
+    return hits.select(F.col("id").alias("doc_id"), F.col("pf0").alias("freq"))
+
+
+@query("boolean_indexed", f"""SELECT doc_id, lang FROM (SELECT *, {tok('text')} AS w FROM documents)
+    WHERE (contains({padded('text')}, ' of the ') OR len(list_filter(w, lambda x: x LIKE 'hehe%y')) > 0)
+      AND NOT (list_contains(w, 'der') OR len(list_filter(w, lambda x: starts_with(x, 'zu'))) > 0) AND lang <> 'fr'""")
+def _(t):
+    node = C.Bool(should=(C.phrase("text", "of the"), C.wildcard("text", "hehe*y")), min_should=1,
+                  must_not=(C.matches("text", "der"), C.starts_with("text", "zu"), C.is_("lang", "fr")))
+    return documents(t).using(text_index(t)).query(node).matches().select("doc_id", "lang")
+
+
+@query("patterns_indexed", f"""SELECT doc_id FROM (SELECT doc_id, {tok('text')} AS w FROM documents)
+    WHERE len(list_filter(w, lambda x: regexp_full_match(x, 're[a-d]+.*'))) > 0 AND len(list_filter(w, lambda x: contains(x, 'hatin'))) > 0""")
+def _(t):
+    node = C.Bool(must=(C.regexp("text", "re[a-d]+.*"), C.contains("text", "hatin")))
+    return documents(t).using(text_index(t)).query(node).matches().select("doc_id")
+
+
+@query("index_updates", f"""WITH d AS (SELECT CASE WHEN doc_id % 5 = 2 THEN 'again ' || text ELSE text END AS text FROM documents WHERE doc_id % 7 <> 3)
+    SELECT term, count(DISTINCT i) AS df, count(*) AS freq FROM
+      (SELECT i, unnest({tok('text')}) AS term FROM (SELECT row_number() OVER () AS i, text FROM d)) GROUP BY term""")
+def _(t):
+    # a part at first, the rest in three pieces, some replaced, some deleted: as many terms as in a fresh index
+    docs, key = t.documents.select("doc_id", "text"), F.col("doc_id")
+    index = TextIndex.build(docs.where(key % 4 == 0), "doc_id", "text", scratch(t, "updated-index"))
+    for part in (1, 2, 3):
+        index = index.add(docs.where(key % 4 == part))
+    index = index.upsert(docs.where(key % 5 == 2).withColumn("text", F.concat(F.lit("again "), "text")))
+    return index.delete(docs.where(key % 7 == 3)).merge().terms()
+
+
 ANY3 = ["rewh", "hehely", "of"]
 ANY3_WHERE = "(f0 > 0 OR f1 > 0 OR f2 > 0)"
 
@@ -66,11 +104,20 @@ def _(t):
 @query("bm25_top", f"""WITH {bm25_sql(ANY3, ANY3_WHERE)} SELECT doc_id, round(_score, 6) AS _score
     FROM scored ORDER BY _score DESC, doc_id LIMIT 20""")
 def _(t):
+    # the blocks of postings that can hold one of the best
     s = documents(t).query(C.matches("text", "rewh hehely of")).with_scores(index=text_index(t))
-    hits = s.sort(Order("_score", descending=True)).limit(20).fields("doc_id").hits()
+    hits = s.sort(Order("_score", descending=True)).limit(20).fields("doc_id").best()
     return rounded(hits, "doc_id")
 
 
+@query("bm25_page", f"""WITH {bm25_sql(['thatin', 'the'], '(f0 > 0 OR f1 > 0)', weights=[3.0, 1.0])}
+    SELECT doc_id, lang, round(_score, 6) AS _score FROM scored ORDER BY _score DESC, doc_id LIMIT 10 OFFSET 20""")
+def _(t):
+    node = C.Bool(should=(C.term("text", "thatin").boost(3.0), C.matches("text", "the")))
+    hits = documents(t).query(node).with_scores(index=text_index(t)).page(2).fields("doc_id", "lang").best()
+    return rounded(hits, "doc_id", "lang")
+
+
 @query("bm25_classic", f"""WITH {bm25_sql(['rewh', 'of'], '(f0 > 0 OR f1 > 0)')}
     SELECT doc_id, round(CASE WHEN f0 > 0 THEN sqrt(f0) * pow(1 + ln((n + 1) / (d0 + 1)), 2) / sqrt(l) ELSE 0 END
       + CASE WHEN f1 > 0 THEN sqrt(f1) * pow(1 + ln((n + 1) / (d1 + 1)), 2) / sqrt(l) ELSE 0 END, 6) AS _score
@@ -171,9 +218,10 @@ def _rescore_sql(combine):
 
 def _rescored(t, mode):
     docs = documents(t)
-    hits = docs.query(C.term("text", "of")).with_scores().matches()
+    index = text_index(t)
+    hits = docs.query(C.term("text", "of")).with_scores(index=index).matches()
     out = scoring.rescore(hits, docs.schema, C.matches("text", "thatin the"), tie_break="doc_id", window=50,
-                          mode=mode, query_weight=0.7, rescore_weight=1.2, corpus=docs.docs)
+                          mode=mode, query_weight=0.7, rescore_weight=1.2, index=index)
     return rounded(out, "doc_id", "_rescored")
 
 
@@ -246,6 +294,13 @@ def _(t):
     return p.select("doc_id", F.col("pos").cast("long").alias("pos"))
 
 
+@query("term_positions_indexed", f"""SELECT doc_id, w[i] AS term, i - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i
+    FROM (SELECT doc_id, {tok('text')} AS w FROM documents)) WHERE w[i] IN ('hehely', 'rewh')""")
+def _(t):
+    p = text_index(t).positions("hehely", "rewh").select(F.col("id").alias("doc_id"), "term", F.explode("positions").alias("pos"))
+    return p.withColumn("pos", F.col("pos").cast("long"))
+
+
 @query("more_like_this", f"""WITH w AS (SELECT doc_id, {tok('text')} AS w FROM documents),
     post AS (SELECT doc_id, term, count(*) AS tf, any_value(l) AS l FROM
       (SELECT doc_id, len(w) AS l, unnest(w) AS term FROM w) GROUP BY doc_id, term),
