@@ -11,6 +11,7 @@ from docspark.schema import DocSchema, FieldSpec
 from docspark.sources.tables import multi_index
 from docspark.sources.textindex import TextIndex
 from docspark.sources.vectorindex import VectorIndex
+from docspark.sources.vocabulary import Vocabulary
 
 from .predicates import documents, orders
 from .registry import Tables, padded, query, scratch, text_index, tok
@@ -93,6 +94,43 @@ def _(t):
     return index.delete(docs.where(key % 7 == 3)).merge().terms()
 
 
+_VOCABULARIES: dict[str, Vocabulary] = {}
+
+
+def vocabulary(t: Tables) -> Vocabulary:
+    """The vocabulary of the stored index, built by the first query that needs it."""
+    index = text_index(t)
+    if index.path not in _VOCABULARIES:
+        _VOCABULARIES[index.path] = Vocabulary.build(index.terms(), scratch(t, "vocabulary"))
+    return _VOCABULARIES[index.path]
+
+
+_TERMS = f"""SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({tok('text')}) AS term FROM documents) GROUP BY term"""
+
+
+@query("terms_like", f"""WITH v AS ({_TERMS}) SELECT term, df, 'wildcard' AS found FROM v WHERE term LIKE 'the%ing'
+    UNION ALL SELECT term, df, 'contains' FROM v WHERE contains(term, 'hatin')
+    UNION ALL SELECT term, df, 'regexp' FROM v WHERE regexp_full_match(term, 'sch[a-m]+ung')""")
+def _(t):
+    # candidates by their grams: a small share of the vocabulary is compared
+    v, out = vocabulary(t), None
+    for op, value in (("wildcard", "the*ing"), ("contains", "hatin"), ("regexp", "sch[a-m]+ung")):
+        hits = v.like(op, value).select("term", "df", F.lit(op).alias("found"))
+        out = hits if out is None else out.unionAll(hits)
+    return out
+
+
+@query("fuzzy_batch", f"""WITH v AS ({_TERMS}), w AS (SELECT DISTINCT unnest({tok('text')}) AS word FROM benchmark),
+    e AS (SELECT word, CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 6 THEN 1 ELSE 2 END AS edits FROM w)
+    SELECT word, term, df FROM e JOIN v ON length(term) BETWEEN length(word) - edits AND length(word) + edits
+    WHERE levenshtein(translate(word, 'èéßêçíöóüäñ', 'ABCDEFGHIJK'), translate(term, 'èéßêçíöóüäñ', 'ABCDEFGHIJK')) <= edits""")
+def _(t):
+    # the SQL function counts bytes, so it is given one for each letter of the texts;
+    # every word of the benchmark asks for its near terms: one equi-join on what is left without some letters
+    asked = t.benchmark.select(F.explode(A.tokens("text")).alias("word"))
+    return vocabulary(t).near_all(asked, swaps=False).select("word", "term", "df")
+
+
 ANY3 = ["rewh", "hehely", "of"]
 ANY3_WHERE = "(f0 > 0 OR f1 > 0 OR f2 > 0)"
 
