@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html import unescape
@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 #: Elements whose content is never text of the page: raw text, which only its end tag or the end of
 #: the page ends, and others, which count only if they are closed before the next of their name.
-RAW = "script|style|title|textarea"
-CLOSED = "noscript|template|select|button|iframe|object|svg|canvas|audio|video"
-TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    rf"|<(?P<closed>{CLOSED})\b[^>]*(?<!/)>(?:(?!<(?P=closed)\b).)*?</(?P=closed)\s*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<[/!?a-zA-Z][^>]*>", re.DOTALL | re.IGNORECASE)
+RAW = frozenset("script style title textarea".split())
+CLOSED = frozenset("noscript template select button iframe object svg canvas audio video".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
+NEXT = {name: re.compile(rf"<{name}\b|</{name}\s*>", re.IGNORECASE) for name in CLOSED}
+TAG = re.compile(r"<(?:(?P<comment>!--)|(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)|[/!?])")
+ATTRIBUTES = re.compile(r"[^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>")
 #: Elements that begin and end blocks of text.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary
@@ -51,11 +50,59 @@ OF_NAME = [
 ADJACENT, SIBLING = 0.6, 0.5
 
 
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``(start, end, name, closing, attributes)`` of the tags of a page; no name for what is passed over.
+
+    Every search goes on where the last one ended, or is not made again once it has reached the end of
+    the page in vain. So the time grows with the page, however broken it is.
+    """
+    at, last, quoted, none_left = 0, html.rfind(">"), True, set()
+    while (m := TAG.search(html, at)) is not None:
+        name, start = (m["name"] or "").lower(), m.start()
+        if m["comment"]:
+            at = html.find("-->", m.end())
+            at = len(html) if at < 0 else at + 3
+            yield start, at, "", False, ""
+            continue
+        if start > last:  # no tag ends any more
+            at = m.end()
+            continue
+        end = html.find(">", m.end()) + 1
+        if not name:
+            at = end
+            yield start, at, "", False, ""
+            continue
+        if name in RAW and not m["end"]:
+            found = RAW_END[name].search(html, end)
+            at = found.end() if found else len(html)
+            yield start, at, "", False, ""
+            continue
+        if name in CLOSED and not m["end"] and html[end - 2] != "/" and name not in none_left:
+            found = NEXT[name].search(html, end)
+            if found and html[found.start() + 1] == "/":
+                at = found.end()
+                yield start, at, "", False, ""
+                continue
+            if not found:
+                none_left.add(name)
+        if quoted:
+            found = ATTRIBUTES.match(html, m.end())
+            # a quote that nothing closes: from here on a tag ends with the next bracket
+            quoted, end = found is not None, found.end() if found else end
+        at = end
+        yield start, at, name, bool(m["end"]), html[m.end():at - 1]
+
+
 @dataclass
 class Block:
+    """A block of text, the number of the element around its own, the depth of its own, and how deep
+    the elements are that it shares with the block before."""
+
     text: str
     tag: str
-    path: tuple[int, ...]
+    parent: int
+    depth: int
+    shared: int
     odds: float
     linked: float
 
@@ -82,25 +129,27 @@ def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, float]] = []  # name, number, log odds so far
     pieces: list[tuple[str, bool]] = []
-    number, links, at, in_head = 0, 0, 0, False
+    number, links, at, in_head, shared = 0, 0, 0, False, 0
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
+        nonlocal shared
         if pieces:
             text = " ".join(unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = sum(len(p) for p, l in pieces if l) / max(1, sum(len(p) for p, _ in pieces))
                 tag = stack[-1][0] if stack else ""
-                out.append(Block(text, tag, tuple(n for _, n, _ in stack), stack[-1][2] if stack else 0.0, linked))
+                parent = stack[-2][1] if len(stack) > 1 else 0
+                out.append(Block(text, tag, parent, len(stack), shared, stack[-1][2] if stack else 0.0, linked))
+                shared = len(stack)
             pieces.clear()
 
-    for m in TAG.finditer(html):
-        if m.start() > at and not in_head:
-            pieces.append((html[at:m.start()], links > 0))
-        at = m.end()
-        name = (m["name"] or "").lower()
+    for start, end, name, closing, attributes in tags(html):
+        if start > at and not in_head:
+            pieces.append((html[at:start], links > 0))
+        at = end
         if not name:
             continue
-        closing = bool(m["end"])
         if name == "head":
             in_head = not closing
         elif in_head and not closing and name not in HEAD:
@@ -113,16 +162,21 @@ def blocks_of(html: str) -> list[Block]:
             flush()
             links = 0
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
+                while opened[name]:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
                         break
             elif name not in VOID:
                 if stack and stack[-1][0] == "p":
                     stack.pop()
+                    opened["p"] -= 1
+                shared = min(shared, len(stack))
                 number += 1
-                odds = (stack[-1][2] if stack else 0.0) + OF_TAG.get(name, 0.0) + (names_odds(m["attributes"] or "") if name not in WHOLE else 0.0)
+                odds = (stack[-1][2] if stack else 0.0) + OF_TAG.get(name, 0.0) + (names_odds(attributes) if name not in WHOLE else 0.0)
                 stack.append((name, number, odds))
+                opened[name] += 1
+            shared = min(shared, len(stack))
     if at < len(html) and not in_head:
         pieces.append((html[at:], links > 0))
     flush()
@@ -151,13 +205,10 @@ def bonds(blocks: Sequence[Block]) -> list[tuple[int, int, float]]:
     out, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            other = blocks[i - 1].path
-            common = next((k for k, (x, y) in enumerate(zip(b.path, other)) if x != y), min(len(b.path), len(other)))
-            out.append((i - 1, i, ADJACENT / max(1, len(b.path) + len(other) - 2 * common - 1)))
-        parent = b.path[:-1]
-        if parent in last:
-            out.append((last[parent], i, SIBLING))
-        last[parent] = i
+            out.append((i - 1, i, ADJACENT / max(1, b.depth + blocks[i - 1].depth - 2 * b.shared - 1)))
+        if b.parent in last:
+            out.append((last[b.parent], i, SIBLING))
+        last[b.parent] = i
     return out
 
 

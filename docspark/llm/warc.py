@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -17,7 +18,9 @@ MAGIC = b"\x1f\x8b\x08"
 #: Bytes read at a time, and the largest header block that a member may start with.
 CHUNK, HEADERS = 1 << 20, 1 << 16
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-FIELDS = ("id", "uri", "type", "digest", "length", "refers_to", "payload")
+FIELDS = ("id", "uri", "type", "digest", "length", "refers_to", "payload", "record_id")
+#: Tasks that scan ranges, at most.
+TASKS = 100_000
 
 
 def name_of(id: int | None) -> str:
@@ -25,8 +28,9 @@ def name_of(id: int | None) -> str:
 
 
 def id_of(name: str | None) -> int | None:
-    digits = (name or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+    """The page id that a record's name holds; None for names of other writers."""
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", name or "")
+    return int(found[1]) if found else None
 
 
 def record(id: int | None, uri: str | None, kind: str, digest: str, payload: bytes | None, length: int,
@@ -50,21 +54,41 @@ def gzipped(data: bytes, level: int = 4) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def headers(head: bytes) -> dict[str, str] | None:
+    """The named fields of a header block, by names in lower case; None if it is not that of a WARC record."""
+    first, *lines = head.decode("utf-8", "surrogatepass" if b"\xed" in head else "replace").split("\r\n")
+    if not re.fullmatch(r"WARC/\d+\.\d+", first):
+        return None
+    fields: dict[str, str] = {}
+    for line in lines:
+        key, colon, value = line.partition(":")
+        if not colon or not key.strip():
+            return None
+        fields[key.strip().lower()] = value.strip()
+    if not fields.get("content-length", "").isdigit() or not {"warc-type", "warc-record-id"} <= set(fields):
+        return None
+    return fields
+
+
 def parsed(data: bytes) -> dict:
-    """The fields of a record; its payload is None for a revisit."""
+    """The fields of a record of any type.
+
+    The payload is the body of an HTTP message, or the whole block of a record without one; it is
+    None for a revisit, whose length is what its HTTP header says of the body.
+    """
     head, _, rest = data.partition(b"\r\n\r\n")
-    fields = {}
-    for line in head.decode("utf-8", "surrogatepass").split("\r\n")[1:]:
-        key, _, value = line.partition(": ")
-        fields[key.lower()] = value
-    block = rest[:int(fields["content-length"])]
-    http, _, body = block.partition(b"\r\n\r\n")
-    length = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    return {"id": id_of(fields["warc-record-id"]), "type": fields["warc-type"], "length": length,
-            "uri": fields.get("warc-target-uri"),
-            "digest": fields["warc-payload-digest"].removeprefix("sha1:"),
-            "refers_to": id_of(fields.get("warc-refers-to")),
-            "payload": body if fields["warc-type"] == "response" else None}
+    fields = headers(head)
+    kind, payload = fields["warc-type"], rest[:int(fields["content-length"])]
+    length = None
+    if fields.get("content-type", "").startswith("application/http"):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+        said = [x.split(b":")[1].strip() for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+        length = int(said[0]) if said and said[0].isdigit() else None
+    digest = fields.get("warc-payload-digest") or fields.get("warc-block-digest")
+    return {"id": id_of(fields["warc-record-id"]), "type": kind, "length": length if kind == "revisit" else len(payload),
+            "uri": fields.get("warc-target-uri"), "digest": digest.removeprefix("sha1:") if digest else None,
+            "refers_to": id_of(fields.get("warc-refers-to")), "payload": None if kind == "revisit" else payload,
+            "record_id": fields["warc-record-id"]}
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -79,10 +103,10 @@ def archived(pages: DataFrame, folder: str, *, url: str = "url", html: str = "ht
     The payload is the html in UTF-8. Of rows with equal payloads of ``least`` or more bytes the
     one with the largest id is a response and the others revisit it; rows that repeat that
     id are responses as well, and a row without an id revisits it unless none has one. The
-    payload of a revisit is not moved or written.
+    payload of a revisit is not written.
 
     Each task writes archives of its own; a task that runs again writes new ones, and only
-    those of the attempt that counts are returned.
+    those of the attempt that counts are returned. An empty table writes nothing; other columns are not looked at.
     """
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id).cast("long").alias("id"), F.col(url).alias("uri"), body.alias("body"))
@@ -120,9 +144,10 @@ def members(read, start: int, end: int, size: int) -> Iterator[bytes]:
     """The records that begin in ``[start, end)`` of an archive of ``size`` bytes.
 
     ``read(at, n)`` gives n bytes. A candidate is gzip's magic number; it is a member if it decodes
-    to the first line of a WARC record. A member is decoded to its end, which may lie beyond
-    the split, and the next one is looked for from there. A magic number that does not decode, or
-    not to such a line, is part of something else and skipped.
+    to the header block of a WARC record, with a type, a name and a length. A member is decoded
+    to its end, which may lie beyond the split, and the next one is looked for from there. A magic
+    number that does not decode, or not to such a block, is part of something else and skipped.
+    A record that the archive's end cuts off raises ``EOFError``.
     """
     at, buffer, base = start, b"", start
     while at < end:
@@ -149,7 +174,10 @@ def members(read, start: int, end: int, size: int) -> Iterator[bytes]:
 
 
 def decoded(read, at: int, size: int, first: bytes) -> tuple[bytes | None, int]:
-    """The whole member at ``at`` and the byte after it; None if it is no WARC record."""
+    """The whole member at ``at`` and the byte after it; None if it is no WARC record.
+
+    What decodes is a record as soon as its header block is there, within ``HEADERS`` bytes.
+    """
     unpacker, out, done, chunk = zlib.decompressobj(31), [], 0, first
     checked = False
     try:
@@ -157,15 +185,19 @@ def decoded(read, at: int, size: int, first: bytes) -> tuple[bytes | None, int]:
             out.append(unpacker.decompress(chunk))
             done += len(chunk)
             if not checked:
-                head = b"".join(out)[:8]
-                if len(head) >= 5 or unpacker.eof:
-                    if not head.startswith(b"WARC/"):
-                        return None, at
-                    checked = True
+                data = b"".join(out)
+                if not data[:5] == b"WARC/"[:len(data)]:
+                    return None, at
+                head, blank, _ = data[:HEADERS].partition(b"\r\n\r\n")
+                if blank and headers(head) is None or not blank and (unpacker.eof or len(data) >= HEADERS):
+                    return None, at
+                checked = bool(blank)
             if unpacker.eof:
                 return b"".join(out), at + done - len(unpacker.unused_data)
             if at + done >= size:
-                return None, at  # cut off
+                if checked:
+                    raise EOFError(f"the archive ends inside the record at byte {at}")
+                return None, at
             chunk = read(at + done, min(CHUNK, size - at - done))
     except zlib.error:
         return None, at
@@ -173,16 +205,21 @@ def decoded(read, at: int, size: int, first: bytes) -> tuple[bytes | None, int]:
 
 def records(archives: DataFrame, *, split: int = 8 << 20) -> DataFrame:
     """All records of ``archives``, rows ``(path, size)``: ``id, uri, type, digest, length,
-    refers_to, payload``.
-
-    Archives are cut into byte ranges of ``split``, dealt over the tasks; a range owns the records
-    that begin in it. ``digest`` is the SHA-1 and ``length`` the size of the full payload: of a
-    response they are computed from what is read, of a revisit taken from its headers. An
-    empty archive has no record, a cut-off last record is left out.
+    refers_to, payload, record_id``.
+
+    Archives are cut into byte ranges of ``split``, each scanned by a task of its own (beyond
+    ``TASKS`` ranges by as many tasks); a range owns the records that begin in it. ``digest`` is
+    the SHA-1 and ``length`` the size of the full payload: of a revisit they are taken from its
+    headers, of others computed from what is read. Records of other writers have any type and
+    name; ``id`` and ``refers_to`` are null where the name is no page's. An empty archive, or an
+    empty table, has no record; an archive that repeats in the table is read again. A cut-off last record
+    fails the job: nothing is left out silently.
     """
     ranges = archives.select("path", "size", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start"))
-    dealt = ranges.repartition(F.col("path"), F.col("start"))
+    # a stated number: adaptive execution would put ranges, which are tiny rows, into one task
+    n = archives.select(F.sum(F.greatest(F.ceil(F.col("size") / split), F.lit(1)))).first()[0] or 1
+    dealt = ranges.repartition(min(int(n), TASKS), F.col("path"), F.col("start"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,11 +240,11 @@ def records(archives: DataFrame, *, split: int = 8 << 20) -> DataFrame:
                     if held:
                         yield table_of(held)
 
-    return dealt.mapInArrow(scan, "id long, uri string, type string, digest string, length long, refers_to long, payload binary")
+    return dealt.mapInArrow(scan, "id long, uri string, type string, digest string, length long, refers_to long, payload binary, record_id string")
 
 
 def table_of(rows: list[dict]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
     return pa.RecordBatch.from_arrays([pa.array([r[f] for r in rows], k) for f, k in zip(FIELDS, kinds)], list(FIELDS))
 
 
