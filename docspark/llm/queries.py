@@ -100,7 +100,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"])
     kinds = F.transform("base", lambda s: s["kind"])
     number = [F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return found.select("doc_id", *number,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, pinned
 
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -34,6 +35,8 @@ ENCODINGS = [
 #: Letter shares of running English in percent, a to z (fixed values).
 ENGLISH = [8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1,
            2.8, 0.98, 2.4, 0.15, 2.0, 0.074]
+#: Where the classes of lengths begin that the control tells apart, after the first.
+LENGTHS = (24, 32, 48, 96)
 #: What a token of text is taken to be: the share of digits and marks, and how often the class
 #: of a character (upper case, lower case, digit, mark) changes to the next, in one case and in
 #: two, where names in camel case change often.
@@ -106,8 +109,7 @@ def battery(token: Column) -> Column:
     one-sided with mean and spread for its length: the chi-squared statistic against a uniform
     alphabet (too small for text, whose letters repeat), runs of character classes (too many),
     and the serial correlation of neighbours (not negative enough). Fisher's sum joins them; its
-    six degrees of freedom give the p-value in closed form. A short token of any kind cannot
-    reach a small p-value, so length is weighed by the tests themselves.
+    six degrees of freedom give the p-value in closed form.
     """
     total = lambda values, of: F.aggregate(values, F.lit(0.0), lambda a, x: a + of(x))
 
@@ -148,21 +150,52 @@ def battery(token: Column) -> Column:
         e["encoding"].alias("encoding"), let(F.split(token, "(?!^)"), lambda c: p_value(c, e)).alias("p"))))
 
 
-def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float = 0.01) -> DataFrame:
+def length_class(n: Column) -> Column:
+    out = F.lit(len(LENGTHS))
+    for i in range(len(LENGTHS) - 1, -1, -1):
+        out = F.when(n < LENGTHS[i], i).otherwise(out)
+    return out
+
+
+def step_of(p: Column) -> Column:
+    """A p-value in steps of a tenth of a decimal digit: those of step s are at most ``10 ** (-s / 10)``."""
+    return F.least(F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))), F.lit(3000)).cast("int")
+
+
+def thresholds(steps: DataFrame, rate: float) -> dict[str, int]:
+    """The least step that is sure in each class of ``(kind, step, n)``, by Benjamini-Hochberg in the class.
+
+    A class is an encoding and a range of lengths, so there are a few dozen, each with at most
+    3001 steps. Classes without a sure step are left out.
+    """
+    of = Window.partitionBy("kind")
+    every = steps.select("kind", "step", F.sum("n").over(of.orderBy(F.col("step").desc()).rowsBetween(
+        Window.unboundedPreceding, 0)).alias("below"), F.sum("n").over(of).alias("all"))
+    holds = F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("all") <= F.lit(rate) * F.col("below")
+    return dict(every.where(holds).groupBy("kind").agg(F.min("step")).collect())
+
+
+def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float = 0.01,
+         keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with ``base``, the spans of the listed patterns, and ``spans``, all of them:
     arrays of ``(start, kind, end)`` by start and kind, in code points, end exclusive.
 
     Assignments are listed with values of 6 or more characters, access keys with 20 or more,
     hexadecimal runs with 24 or more. Other tokens of 20 or more characters are put to the
-    battery, and Benjamini-Hochberg over all tokens of all texts keeps the expected share of false
-    ones at ``rate``: the p-values are counted in steps of a tenth of a decimal digit, one small
-    table, and the largest step whose bound holds is the threshold for every text. Tokens
-    within a listed span are neither tested nor counted.
-
-    Null and empty texts have no spans; repeated rows are scanned, and counted, one by one.
-    Other columns stay as they are; columns called ``base`` or ``spans`` are replaced.
+    battery. The false-discovery control knows lengths: how small a p-value random tokens reach
+    hangs on how long they are and on their alphabet, so tokens are classed by encoding
+    and length (``LENGTHS``), and Benjamini-Hochberg within a class, over all tokens of all texts, keeps
+    the expected share of false ones at ``rate`` there. Long names and paths don't raise the bar for
+    short keys. P-values are counted in steps, one small table. Tokens within a listed span are
+    neither tested nor counted.
+
+    Texts are scanned once: what is found, without the tokens, is stored with the columns to ``keep``
+    (all if nothing is said) in the shared folder, and thresholds are applied to that.
+
+    Null and empty texts have no spans; repeated rows are scanned, and counted, one by one. An empty
+    table gives none. Other columns stay as they are; columns called ``base`` or ``spans`` are replaced.
     """
-    columns = [c for c in docs.columns if c not in ("base", "spans")]
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in ("base", "spans")]
     inner = "_found" + "_" * max(map(len, docs.columns))  # longer than any column's name
     body = F.coalesce(F.col(text), F.lit(""))
 
@@ -178,26 +211,26 @@ def scan(docs: DataFrame, *, text: str = "text", id: str = "doc_id", rate: float
     listed = F.struct(spans(body, ASSIGN, "assign", 2, 6).alias("a"), spans(body, ACCESS, "access").alias("k"),
                       spans(body, HEX, "hex").alias("h"), spans(body, TOKEN, "random").alias("t"))
 
+    def places(part: Column) -> Column:
+        return F.transform(part, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+
+    def judged(s: Column) -> Column:
+        kind = lambda b: F.concat_ws(":", b["encoding"], length_class(F.length(s["token"])).cast("string"))
+        return let(battery(s["token"]), lambda b: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), F.when(b.isNotNull(), kind(b)).alias("kind"), step_of(b["p"]).alias("step")))
+
     def tested(f: Column) -> Column:
         every = F.concat(f["a"], f["k"], f["h"])
         other = F.filter(f["t"], lambda s: ~F.exists(every, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-        scored = F.transform(other, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                       battery(s["token"])["p"].alias("p")))
-        return F.struct(f["a"].alias("a"), f["k"].alias("k"), f["h"].alias("h"),
-                        F.filter(scored, lambda s: s["p"].isNotNull()).alias("t"))
-
-    found = docs.select(*[F.col(c) for c in columns], let(listed, tested).alias(inner))
-    # counted over all texts, in steps of a tenth of a digit; a step is taken at its upper end
-    step = F.least(F.floor(-10 * F.log10(F.greatest(F.col("t.p"), F.lit(1e-300)))), F.lit(3000))
-    steps = (docs.select(let(listed, tested).alias("f")).select(F.explode("f.t").alias("t"))
-             .select(step.alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("n")))
-    higher = Window.orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    every = steps.select("step", F.sum("n").over(higher).alias("below"), F.sum("n").over(Window.partitionBy()).alias("all"))
-    # p-values of step s are at most 10 ** (-s / 10)
-    holds = F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("all") <= F.lit(rate) * F.col("below")
-    limit = every.where(holds).agg(F.min("step")).first()[0]
-    sure = F.filter(F.col(inner)["t"], lambda s: F.floor(-10 * F.log10(F.greatest(s["p"], F.lit(1e-300)))) >= (
-        limit if limit is not None else 10 ** 6))
+        return F.struct(places(f["a"]).alias("a"), places(f["k"]).alias("k"), places(f["h"]).alias("h"),
+                        F.filter(F.transform(other, judged), lambda s: s["kind"].isNotNull()).alias("t"))
+
+    found = pinned(docs.select(*[F.col(c) for c in columns], let(listed, tested).alias(inner)))
+    steps = (found.select(F.explode(F.col(inner)["t"]).alias("t")).groupBy(F.col("t.kind").alias("kind"), F.col("t.step").alias("step"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    limits = thresholds(steps, rate)
+    limit = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair]) if limits else F.create_map().cast("map<string,int>")
+    sure = F.filter(F.col(inner)["t"], lambda s: F.coalesce(s["step"] >= F.try_element_at(limit, s["kind"]), F.lit(False)))
     three = [F.col(inner)[kind] for kind in ("a", "k", "h")]
     return found.select(*columns, merged(*three).alias("base"), merged(*three, sure).alias("spans"))
 
