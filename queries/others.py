@@ -11,9 +11,10 @@ from docspark.plans.search import Search
 from docspark.schema import DocSchema
 from docspark.sources import sql as S
 from docspark.sources.collection import Collection
+from docspark.sources.completion import CompletionIndex
 from docspark.streaming import streams
 
-from .registry import query, scratch, text_index, tok
+from .registry import query, scratch, state, text_index, tok
 
 # --- suggestions ------------------------------------------------------------------------------------
 
@@ -111,6 +112,40 @@ def _(t):
     return suggest.suggest_hits(s, t.part, "p_partkey").select("p_partkey", "input", "p_name", "p_brand")
 
 
+_COMPLETIONS: dict[tuple, CompletionIndex] = {}
+
+
+def completions(t) -> CompletionIndex:
+    """The stored completions of the parts, built by the first query of a session that needs them."""
+    key = (t.spark.sparkContext.applicationId, t.folder, state(t.part))
+    if key not in _COMPLETIONS:
+        _COMPLETIONS[key] = CompletionIndex.build(_inputs(t), "p_partkey", scratch(t, "completions"), contexts=["p_type"])
+    return _COMPLETIONS[key]
+
+
+@query("completion_indexed", f"""WITH {INPUTS}, b AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY weight DESC, input) AS r
+    FROM rows_ WHERE input LIKE 'gi%') SELECT p_partkey, input, weight FROM b WHERE r = 1 ORDER BY weight DESC, input, p_partkey LIMIT 8""")
+def _(t):
+    return completions(t).suggest("Gi", size=8)
+
+
+@query("completion_context_indexed", f"""WITH {INPUTS}, b AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY weight DESC, input) AS r
+    FROM rows_ WHERE input LIKE 'red b%' AND p_type = 'ECONOMY') SELECT p_partkey, input, weight FROM b WHERE r = 1
+    ORDER BY weight DESC, input, p_partkey LIMIT 5""")
+def _(t):
+    return completions(t).suggest("red b", context=("p_type", "ECONOMY"))
+
+
+@query("completion_all_indexed", f"""WITH {INPUTS}, p AS (SELECT DISTINCT left(p_name, 3) AS prefix FROM part),
+    o AS (SELECT prefix, p_partkey, input, weight, row_number() OVER (PARTITION BY prefix, p_partkey ORDER BY weight DESC, input) AS n
+      FROM p JOIN rows_ ON starts_with(input, trim(prefix))),
+    r AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY weight DESC, input, p_partkey) AS rank FROM o WHERE n = 1)
+    SELECT prefix, p_partkey, input, weight, rank FROM r WHERE rank <= 4""")
+def _(t):
+    out = completions(t).suggest_all(t.part.select(F.substring("p_name", 1, 3).alias("p")), "p", size=4)
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
 # --- conversions ----------------------------------------------------------------------------------------
 
 
