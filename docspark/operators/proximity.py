@@ -115,10 +115,12 @@ def range_pairs(left: DataFrame, right: DataFrame, *, left_range: tuple[str, str
     """Pairs of ranges of numbers: those that touch, or where left ``contains`` right or lies
     ``within`` it. A null side is open to that side; with ``half_open`` ends do not belong.
 
-    The values are cut into blocks of ``width``, best about as wide as the ranges; a range is
-    repeated for the blocks it covers, the two sides meet by block, and the bounds decide. A pair
-    that shares several blocks is made in the first of them only. Open sides end at the
-    outermost bound of both tables.
+    The values are cut into blocks of ``width``, best about as wide as most ranges, and into blocks of
+    twice, four times that width, and so on. A range has the level at which it is no longer than
+    a block, so it lies in one or two blocks there, however long it is. Two ranges meet at
+    the higher one of their levels, to which the other one goes up; only levels that occur are
+    used, and one number for each reaches the driver. A pair that shares two blocks is made in the first of
+    them only. Open sides end at the outermost bound of both tables.
     """
     if relation not in RELATIONS:
         raise ValueError(f"relation must be one of {RELATIONS}")
@@ -130,11 +132,24 @@ def range_pairs(left: DataFrame, right: DataFrame, *, left_range: tuple[str, str
     l_bounds, r_bounds = bounds(left, left_range), bounds(right, right_range)
     lowest, highest = F.least(l_bounds["lo"], r_bounds["lo"]), F.greatest(l_bounds["hi"], r_bounds["hi"])
 
-    def blocked(df: DataFrame, names: tuple[str, str], side: str) -> DataFrame:
+    def levelled(df: DataFrame, names: tuple[str, str], side: str) -> tuple[DataFrame, list[int]]:
         first = F.coalesce(F.col(names[0]).cast("double"), lowest)
         last = F.coalesce(F.col(names[1]).cast("double"), highest)
-        blocks = F.when(first <= last, F.sequence(F.floor(first / width), F.floor(last / width)))
-        return df.withColumn(f"_{side}", F.floor(first / width)).withColumn("_block", F.explode(blocks))
+        level = F.greatest(F.ceil(F.log2(F.greatest(last - first, F.lit(0.0)) / width)), F.lit(0)).cast("int")
+        out = df.withColumns({f"_{side}_lo": first, f"_{side}_hi": last}).where(first <= last)
+        out = out.withColumn(f"_{side}_level", F.coalesce(level, F.lit(0)))
+        return out, sorted(r[0] for r in out.select(f"_{side}_level").distinct().collect())
+
+    def at(df: DataFrame, side: str, levels: Column) -> DataFrame:
+        """The rows in the blocks that they have at each of the levels."""
+        size = F.pow(F.lit(2.0), F.col("_level")) * width
+        lo, hi = F.floor(F.col(f"_{side}_lo") / size), F.floor(F.col(f"_{side}_hi") / size)
+        up = df.withColumn("_level", F.explode(levels)).withColumn(f"_{side}", lo)
+        return up.withColumn("_block", F.explode(F.sequence(lo, hi)))
+
+    def above(side: str, levels: list[int], strictly: bool) -> Column:
+        own = F.col(f"_{side}_level")
+        return F.filter(F.array(*[F.lit(n) for n in levels]).cast("array<int>"), lambda n: n > own if strictly else n >= own)
 
     a, b = (F.col(c).cast("double") for c in left_range)
     c, d = (F.col(x).cast("double") for x in right_range)
@@ -146,5 +161,11 @@ def range_pairs(left: DataFrame, right: DataFrame, *, left_range: tuple[str, str
         holds = (a.isNull() | F.coalesce(a <= c, F.lit(False))) & (b.isNull() | F.coalesce(d <= b, F.lit(False)))
     else:
         holds = (c.isNull() | F.coalesce(c <= a, F.lit(False))) & (d.isNull() | F.coalesce(b <= d, F.lit(False)))
-    meet = blocked(left, left_range, "left").join(blocked(right, right_range, "right"), "_block")
-    return meet.where((F.col("_block") == F.greatest("_left", "_right")) & holds).drop("_block", "_left", "_right")
+    lefts, left_levels = levelled(left, left_range, "left")
+    rights, right_levels = levelled(right, right_range, "right")
+    own = lambda side: F.array(f"_{side}_level")
+    # left goes up to the level of right, or right to a higher one of left
+    up = at(lefts, "left", above("left", right_levels, False)).join(at(rights, "right", own("right")), ["_level", "_block"])
+    down = at(lefts, "left", own("left")).join(at(rights, "right", above("right", left_levels, True)), ["_level", "_block"])
+    meet = up.unionByName(down).where((F.col("_block") == F.greatest("_left", "_right")) & holds)
+    return meet.drop("_level", "_block", *[f"_{side}{x}" for side in ("left", "right") for x in ("", "_lo", "_hi", "_level")])

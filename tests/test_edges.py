@@ -279,6 +279,15 @@ def test_range_pairs_match_brute_force(spark, relation, half):
         assert rows(got, "l", "r") == expected
 
 
+def test_a_long_range_lies_in_few_blocks(spark):
+    a = spark.createDataFrame([(1, None, None), (2, 0.0, 1e12), (3, 5.0, 5.5)], "l int, lo double, hi double")
+    b = spark.createDataFrame([(i, float(i) * 1e9, float(i) * 1e9 + 1) for i in range(50)], "r int, a double, b double")
+    got = proximity.range_pairs(a, b, left_range=("lo", "hi"), right_range=("a", "b"), width=1)
+    assert rows(got, "l", "r") == sorted([(k, i) for k in (1, 2) for i in range(50)], key=repr)
+    contained = proximity.range_pairs(a, b, left_range=("lo", "hi"), right_range=("a", "b"), width=1, relation="contains")
+    assert contained.count() == 100
+
+
 def test_highlight_marks_what_a_clause_means(spark):
     df = spark.createDataFrame([(1, "The quick, brown fox saw a quack and a brown dog")], "id int, t string")
     schema = DocSchema.of(df, id="id", text=["t"])
