@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import criteria as C
 from ..schema import DocSchema
+from ..session import pinned
 
+#: Probes by pattern alone that are checked in one scan.
+PROBES = 256
 MATCHERS = ("default", "exact", "starting", "ending", "containing", "regex")
 
 
@@ -56,9 +60,10 @@ def match_examples(docs: DataFrame, probes: DataFrame, fields: Sequence[str], *,
     A probe constrains the fields it fills. Probes with the same filled fields share one
     equi-join on exactly those that compare by equality; other matchers refine the pairs.
     Which fields are filled together is looked up first: one number per combination that occurs.
-    Probes that fill no field that compares by equality match by pattern alone; they are a
-    request of their own and become one condition each, checked in one scan of the documents
-    (a probe without any field matches all of them).
+    Probes that fill no field that compares by equality match by pattern alone (one without any
+    field matches all documents). They are read ``PROBES`` at a time and become one condition each, checked in
+    one scan of the documents; where there are more than one such block, its pairs are stored before the
+    next one is read, so neither the driver nor a plan holds more than a block.
     """
     matchers = matchers or {}
     _check(matchers, False)
@@ -71,11 +76,16 @@ def match_examples(docs: DataFrame, probes: DataFrame, fields: Sequence[str], *,
     masks = sorted(r[0] for r in renamed.select(filled.alias("m")).distinct().collect())
     out = None
     if masks[:1] == [0]:
-        # the probes of a request, as literal conditions
-        asked = renamed.where(filled == 0).distinct().collect()
-        found = F.array(*[F.when(_by_pattern(row, equal, other, matchers, include_nulls), F.lit(row[probe_id]))
-                          for row in asked])
-        out = docs.withColumn(probe_id, F.explode(F.array_compact(found)))
+        rows = renamed.where(filled == 0).distinct().toLocalIterator()
+        block = list(islice(rows, PROBES))
+        while block:
+            found = F.array(*[F.when(_by_pattern(row, equal, other, matchers, include_nulls), F.lit(row[probe_id]))
+                              for row in block])
+            part = docs.withColumn(probe_id, F.explode(F.array_compact(found)))
+            block = list(islice(rows, PROBES))
+            if block or out is not None:
+                part = pinned(part)
+            out = part if out is None else out.unionByName(part)
     for mask in masks:
         if mask == 0:
             continue

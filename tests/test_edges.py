@@ -279,6 +279,15 @@ def test_range_pairs_match_brute_force(spark, relation, half):
         assert rows(got, "l", "r") == expected
 
 
+def test_pattern_probes_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(byexample, "PROBES", 3)
+    docs = spark.createDataFrame([(i, f"{i:03d}") for i in range(60)], "id int, s string")
+    probes = spark.createDataFrame([(f"p{i}", f"0{i}") for i in range(8)] + [("all", None), ("p1", "01")], "probe string, s string")
+    got = byexample.match_examples(docs, probes, ["s"], probe_id="probe", matchers={"s": "starting"})
+    expected = [(i, f"p{i // 10}") for i in range(60)] + [(i, "all") for i in range(60)]
+    assert rows(got, "id", "probe") == sorted(expected, key=repr)
+
+
 def test_a_long_range_lies_in_few_blocks(spark):
     a = spark.createDataFrame([(1, None, None), (2, 0.0, 1e12), (3, 5.0, 5.5)], "l int, lo double, hi double")
     b = spark.createDataFrame([(i, float(i) * 1e9, float(i) * 1e9 + 1) for i in range(50)], "r int, a double, b double")
