@@ -6,10 +6,11 @@ from docspark.functions import geo
 from docspark.operators import aggs
 from docspark.plans import criteria as C
 from docspark.plans.search import Order
+from docspark.sources.rollup import RANK_ERROR, Rollup
 from docspark.sources.sql import sql
 
 from .predicates import documents, orders
-from .registry import lat_sql, located, lon_sql, query, tok
+from .registry import lat_sql, located, lon_sql, query, scratch, tok
 
 
 @query("terms_agg", """SELECT l_partkey AS key, count(*) AS doc_count FROM lineitem GROUP BY 1
@@ -109,6 +110,29 @@ def _(t):
     return shares.select(F.explode(rows).alias("r")).select("r.*")
 
 
+_ROLLED = """SELECT l_returnflag, l_shipdate, l_partkey, l_quantity, l_extendedprice, date_trunc('month', l_shipdate) AS month FROM lineitem"""
+
+
+@query("rollup", f"""SELECT l_returnflag, count(*) AS doc_count, sum(l_quantity) AS quantity_sum, max(l_quantity) AS quantity_max,
+      true AS distinct_within, true AS p90_within FROM ({_ROLLED}) WHERE year(month) IN (1994, 1995, 1996) GROUP BY 1""")
+def _(t):
+    # stored by flag and month, in two parts; three years of it are read without the table
+    rows = t.lineitem.withColumn("month", F.date_trunc("month", "l_shipdate"))
+    early = F.col("l_orderkey") % 2 == 0
+    rollup = Rollup.build(rows.where(early), scratch(t, "rollup"), keys=["l_returnflag", "month"], distinct=["l_partkey"],
+                          quantiles=["l_extendedprice"], metrics=["l_quantity"]).add(rows.where(~early))
+    years = F.year("month").isin(1994, 1995, 1996)
+    got = rollup.aggregate(["l_returnflag"], where=years, points=(90,))
+    # the exact numbers, to hold the sketches against
+    joined = rows.where(years).join(got, "l_returnflag")
+    price = F.col("l_extendedprice")
+    exact = joined.groupBy("l_returnflag").agg(
+        F.max("doc_count").alias("doc_count"), F.max("l_quantity_sum").alias("quantity_sum"), F.max("l_quantity_max").alias("quantity_max"),
+        (F.abs(F.max("l_partkey_distinct") - F.countDistinct("l_partkey")) <= 5 * 0.0082 * F.countDistinct("l_partkey")).alias("distinct_within"),
+        (F.abs(F.avg((price <= F.col("l_extendedprice_p90")).cast("double")) - 0.9) <= 2 * RANK_ERROR).alias("p90_within"))
+    return exact
+
+
 @query("histogram", """WITH b AS (SELECT floor(o_totalprice / 25000)::BIGINT AS i, count(*) AS c FROM orders GROUP BY 1)
     SELECT i * 25000.0::DOUBLE AS key, coalesce(c, 0) AS doc_count
     FROM (SELECT unnest(range((SELECT min(i) FROM b), (SELECT max(i) FROM b) + 1)) AS i) LEFT JOIN b USING (i)""")
