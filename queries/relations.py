@@ -6,8 +6,9 @@ from docspark.operators import nested, relations
 from docspark.plans import criteria as C
 from docspark.plans.search import Order, Search
 from docspark.schema import DocSchema
+from docspark.sources.related import RelatedTables
 
-from .registry import Tables, query
+from .registry import Tables, query, scratch
 
 # --- nested: the lines of a text and their words, which the text itself holds ------------------------
 
@@ -122,6 +123,15 @@ def _(t):
     return _child_scores(t, "sum")
 
 
+@query("has_child_colocated", _children("sum"))
+def _(t):
+    # both sides in buckets by the order: no row of either is shuffled
+    stored = RelatedTables.build(t.orders, t.lineitem, scratch(t, "related"), parent_key="o_orderkey", child_key="l_orderkey", buckets=8)
+    out = relations.has_child(stored.parents(), stored.children(), "o_orderkey", "l_orderkey", F.col("l_discount") >= 0.05,
+                              min_children=2, max_children=4, score_mode="sum", child_score=F.col("l_extendedprice"))
+    return out.select("o_orderkey", F.round("_score", 2).alias("_score"))
+
+
 @query("has_child_max_score", _children("max"))
 def _(t):
     return _child_scores(t, "max")
