@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from .aggs import running_total
 
+#: Parts of the side of a cell into which points and boxes are dealt.
+FINER = 4
+
 
 def proximity_join(points: DataFrame, sites: DataFrame, metres: float, *, point_location: str,
                    site_location: str) -> DataFrame:
@@ -54,10 +57,14 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell_degrees: float, *,
                     box: str) -> DataFrame:
     """Pairs of points and the boxes (``struct<top,left,bottom,right>``) they lie in.
 
-    Boxes are repeated for the grid cells they cover; choose the cell near their size.
+    Choose the cell near the boxes' size. Boxes are repeated for the grid cells they cover, a quarter as
+    high and wide, so that fewer points beside a box are compared. Points are dealt evenly first: a small
+    file of points that is read by one task may be in many boxes.
     """
     lat, lon = F.col(location)["lat"], F.col(location)["lon"]
-    keyed = points.withColumns({"_row": F.floor(lat / cell_degrees), "_col": F.floor(lon / cell_degrees)})
+    spark, step = points.sparkSession, cell_degrees / FINER
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keyed = points.repartition(tasks).withColumns({"_row": F.floor(lat / step), "_col": F.floor(lon / step)})
     # a box over the antimeridian is two boxes for the grid
     whole = F.col(box)
     halves = F.when(whole["left"] <= whole["right"], F.array(F.struct(whole["left"].alias("l"), whole["right"].alias("r")))).otherwise(
@@ -65,10 +72,10 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell_degrees: float, *,
                 F.struct(F.lit(-180.0).alias("l"), whole["right"].alias("r"))))
     b, part = whole, F.col("_part")
     covered = (areas.withColumn("_part", F.explode(halves))
-               .withColumn("_row", F.explode(F.sequence(F.floor(b["bottom"] / cell_degrees),
-                                                        F.floor(b["top"] / cell_degrees))))
-               .withColumn("_col", F.explode(F.sequence(F.floor(part["l"] / cell_degrees),
-                                                        F.floor(part["r"] / cell_degrees)))))
+               .withColumn("_row", F.explode(F.sequence(F.floor(b["bottom"] / step),
+                                                        F.floor(b["top"] / step))))
+               .withColumn("_col", F.explode(F.sequence(F.floor(part["l"] / step),
+                                                        F.floor(part["r"] / step)))))
     inside = lat.between(b["bottom"], b["top"]) & lon.between(part["l"], part["r"])
     return keyed.join(covered, ["_row", "_col"]).where(inside).drop("_row", "_col", "_part")
 
