@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import analysis as A
+from . import postings
 from .manifest import Manifests
 
 #: Documents of a block, the unit that a search for the best hits reads or leaves out.
 BLOCK_BITS = 6
 #: Rows of a Parquet page of the postings, the least that a filter can leave out.
 PAGE_ROWS = 256
+#: Terms of all texts for which there is a file of postings at least, so that a task sorts its share in memory.
+PART_TERMS = 1 << 22
 #: Ranges of blocks that a filter on the files names at most.
 RANGES = 16
 #: Segments of about one size that are merged into one, and how a tier grows.
@@ -29,7 +32,7 @@ class TextIndex:
 
     Its segments never change. One has, under ``path``:
 
-    ``docs``: ``(block, id, doc_len, terms)``, the analyzed documents, which a merge starts from;
+    ``docs``: ``(id, doc_len, terms)``, the analyzed documents, which a merge starts from;
     ``blocks``: ``(term, block, n, freq, max_tf, min_len, entries, positions)``, a row for each term and
     block with the ``(id, tf, doc_len)`` of its documents and the positions of the term in each;
     ``terms``: ``(term, df, freq)``; ``numbers``: one row, documents and terms in all.
@@ -130,34 +133,31 @@ class TextIndex:
     def _segment(self, analyzed: DataFrame) -> tuple[str, int, tuple[str, ...]]:
         """Writes ``(id, terms)`` as a segment.
 
-        Documents are sorted by length inside the tasks that read them and numbered there: a block
-        is so many neighbours, and no text moves. Postings are dealt by sampled ranges of (term, block).
-        So a rare term is in one file, and one that is in a third of all blocks is in a third of the
-        files.
+        Documents are sorted by length inside the tasks that read them and numbered as they are read
+        back: a block is so many neighbours, and no text moves. A task gathers the places of a term in the
+        documents of a batch, so they move as one row, dealt by sampled ranges of (term, block). So a rare
+        term is in one file, and one that is in a third of all blocks is in a third of the files.
         """
         name = f"segment-{uuid.uuid4().hex}"
-        rows = analyzed.where(F.size("terms") > 0).withColumn("doc_len", F.size("terms").cast("long"))
-        nr = F.monotonically_increasing_id()
-        self._write(f"{name}/docs", rows.sortWithinPartitions("doc_len", "id").select(
-            F.shiftright(nr, BLOCK_BITS).alias("block"), "id", "doc_len", "terms"))
+        # numbered before the empty ones go: else the optimizer splits texts twice, once for their lengths
+        rows = analyzed.select("id", "terms", F.size("terms").cast("long").alias("doc_len"),
+                               F.monotonically_increasing_id().alias("_nr")).where("doc_len > 0").drop("_nr")
+        self._write(f"{name}/docs", rows.sortWithinPartitions("doc_len", "id"))
         docs = self._read(f"{name}/docs")
-        each = docs.select("block", "id", "doc_len", F.posexplode("terms").alias("pos", "term"))
-        entry = F.struct("id", "tf", "doc_len", "places")
-        blocks = (each.repartitionByRange("term", "block")
-                  .groupBy("term", "block", "id", "doc_len")
-                  .agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("places"))
-                  .groupBy("term", "block")
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("freq"), F.max("tf").alias("max_tf"),
-                       F.min("doc_len").alias("min_len"), F.collect_list(entry).alias("e"))
-                  .select("term", "block", "n", "freq", "max_tf", "min_len",
-                          F.transform("e", lambda x: F.struct(x["id"], x["tf"], x["doc_len"])).alias("entries"),
-                          F.col("e.places").alias("positions")))
-        self._write(f"{name}/blocks", blocks.sortWithinPartitions("term", "block"), **{"parquet.page.row.count.limit": PAGE_ROWS})
-        terms = self._read(f"{name}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("freq").alias("freq"))
-        self._write(f"{name}/terms", terms.repartitionByRange("term").sortWithinPartitions("term"))
         numbers = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total"))
         self._write(f"{name}/numbers", numbers)
-        return name, self._read(f"{name}/numbers").first()["n"], ()
+        held = self._read(f"{name}/numbers").first()
+        packed = postings.packed(docs, BLOCK_BITS)
+        parts = -(-held["total"] // PART_TERMS)
+        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            dealt = packed.repartitionByRange(parts, "term", "block")
+        else:
+            dealt = packed.repartitionByRange("term", "block")
+        self._write(f"{name}/blocks", postings.unpacked(dealt.sortWithinPartitions("term", "block")),
+                    **{"parquet.page.row.count.limit": PAGE_ROWS})
+        terms = self._read(f"{name}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("freq").alias("freq"))
+        self._write(f"{name}/terms", terms.repartitionByRange("term").sortWithinPartitions("term"))
+        return name, held["n"], ()
 
     def _write(self, name: str, rows: DataFrame, **options) -> None:
         rows.write.mode("errorifexists").options(**options).parquet(f"{self.path}/{name}")
@@ -197,6 +197,11 @@ class TextIndex:
         """``(term, id, tf, doc_len)`` of all postings or of those of some terms."""
         return self._entries(self.blocks(*terms))
 
+    def postings_of(self, terms: DataFrame) -> DataFrame:
+        """Postings of the terms of a table, which blocks are left out by before they are opened."""
+        wanted = terms.select("term").distinct()
+        return self._entries([b.join(wanted, "term", "left_semi") for b in self.blocks()])
+
     def positions(self, *terms: str) -> DataFrame:
         """``(term, id, tf, doc_len, positions)``, the places of a term counted from 0."""
         return self._entries(self.blocks(*terms), positions=True)
