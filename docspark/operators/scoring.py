@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from ..functions import analysis as A
 from ..plans.criteria import Bool, ConstantScore, Context, Criteria, Leaf, Node, term_test
 from ..schema import DocSchema
+from ..session import pinned
 from ..sources.textindex import TextIndex
+from . import similar
 
 # Fixed values of the ranking function.
 K1, B = 1.2, 0.75
@@ -560,10 +562,9 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     """For every row of ``source`` (an ``id`` column) the documents that share its
     characteristic terms: ``(source_id, id, _score, rank)``.
 
-    Batch form: the characteristic terms of all sources (at most ``max_query_terms`` each)
-    meet the postings in one equi-join on the term. AQE splits the partitions of frequent
-    terms; scores are summed per (source, document) with map-side combine, so no term's or
-    source's matches are ever gathered in one place. A document has to share
+    Batch form: the characteristic terms of all sources (at most ``max_query_terms`` each) are sent to
+    every shard of the documents, and a task sums up the scores of one source after the other. Each shard gives
+    ``size`` documents of a source at most: pairs are neither shuffled nor stored. A document has to share
     ``min_should_match`` of the terms. For anything big pass a stored ``index`` and bound the
     terms by ``max_doc_share``, the share of the documents that may hold them.
     """
@@ -601,13 +602,15 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
         F.col(id).alias("source_id"), "term", "df", "_n", "_w",
         F.count(F.lit(1)).over(whole).alias("_terms"), F.max("_w").over(whole).alias("_top"))
     boost = F.lit(1.0) if boost_terms is None else F.col("_w") / F.col("_top") * float(boost_terms)
-    shared = (post.join(terms, "term").where(F.col(id) != F.col("source_id"))
-              .withColumn("_s", boost * idf(F.col("_n"), F.col("df")) * tf_norm(
-                  F.col("tf").cast("double"), F.col("doc_len").cast("double"), n_stats["avg"])))
     need = F.greatest(F.lit(1), F.floor(F.max("_terms") * float(min_should_match)).cast("int"))
-    scored = (shared.groupBy("source_id", id)
-              .agg(F.sum("_s").alias("_score"), F.count(F.lit(1)).alias("_shared"), need.alias("_need"))
-              .where("_shared >= _need"))
+    each = pinned(terms.select("source_id", "term", "_terms", (boost * idf(F.col("_n"), F.col("df"))).alias("weight")))
+    asked = (each.groupBy("source_id").agg(F.collect_list(F.struct("term", "weight")).alias("t"), need.alias("need"))
+             .select("source_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"), "need"))
+    candidates = (index.postings_of(each).withColumnRenamed("id", id) if index is not None
+                  else post.join(each.select("term").distinct(), "term", "left_semi"))
+    worth = tf_norm(F.col("tf").cast("double"), F.col("doc_len").cast("double"), n_stats["avg"])
+    n_sources = each.agg(F.count_distinct("source_id")).scalar()
+    scored = similar.best_shared(candidates.select(id, "term", worth.alias("worth")), asked, id, n_stats["n"], n_sources, size)
     # a distributed sum varies in its last digits; copies must still tie and fall back to the id
     rank = Window.partitionBy("source_id").orderBy(F.desc(F.round("_score", 9)), F.asc(id))
     return (scored.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= size)
