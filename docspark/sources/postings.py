@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +15,41 @@ from pyspark.sql import types as T
 BATCH = 1 << 14
 
 
-def packed(docs: DataFrame, block_bits: int) -> DataFrame:
-    """``(term, block, ids, rest)`` of ``(id, doc_len, terms)``: a row for each term of the documents of a batch.
+def cuts(docs: DataFrame, block_bits: int, total: int, parts: int, sampled: int) -> list[tuple[str, int]]:
+    """The (term, block) where each range but the first begins, ranges having about as many places of terms each.
+
+    Of ``total`` places of terms one in so many is looked at, from a start that hangs on the document; nothing is packed for it.
+    About ``parts * sampled`` (term, block) reach the driver.
+    """
+    if parts < 2:
+        return []
+    step = max(1, total // (parts * sampled))
+    nr = F.monotonically_increasing_id()
+    rows = docs.select(F.shiftright(nr, block_bits).alias("block"), "terms", "doc_len", F.pmod(F.xxhash64(nr), F.lit(step)).alias("at"))
+    places = F.sequence("at", F.col("doc_len") - 1, F.lit(step).cast("long"))
+    some = rows.where("at < doc_len").select(F.explode(F.transform(places, lambda i: F.get("terms", i.cast("int")))).alias("term"), "block")
+    held = [tuple(r) for r in some.orderBy("term", "block").collect()]
+    return [held[i * len(held) // parts] for i in range(1, parts)] if held else []
+
+
+def range_of(terms: list[str], blocks: np.ndarray, cut: Sequence[tuple[str, int]]) -> np.ndarray:
+    """The number of the range of each (term, block)."""
+    names = [t for t, _ in cut]
+    first, last = (np.array([f(names, t) for t in terms], np.int32) for f in (bisect_left, bisect_right))
+    for i in np.flatnonzero(first < last):  # terms that a range begins within
+        first[i] = bisect_right(cut, (terms[i], int(blocks[i])), first[i], last[i])
+    return first
+
+
+def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()) -> DataFrame:
+    """``(part, term, block, ids, rest)`` of ``(id, doc_len, terms)``: a row for each term of the documents of a batch.
 
     Documents are numbered as they are read; those that follow each other are a block. A row has the
     documents of a term in some blocks, ``block`` being the first. ``rest`` has for each document how many
     blocks later it is, then for each how often it has the term, then their lengths, then the
-    places of the term in all of them.
+    places of the term in all of them. ``part`` is the range that (term, block) is in.
     """
-    schema = (T.StructType().add("term", T.StringType()).add("block", T.LongType())
+    schema = (T.StructType().add("part", T.IntegerType()).add("term", T.StringType()).add("block", T.LongType())
               .add("ids", T.ArrayType(docs.schema["id"].dataType)).add("rest", T.ArrayType(T.IntegerType())))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,10 +62,10 @@ def packed(docs: DataFrame, block_bits: int) -> DataFrame:
             numbers = table["block"].to_numpy()
             whole = int(np.searchsorted(numbers, numbers[-1]))  # the last block may go on in the next batch
             if whole:
-                yield from pack(table.slice(0, whole)).to_batches(BATCH)
+                yield from pack(table.slice(0, whole), cut).to_batches(BATCH)
             held = table.slice(whole)
         if held is not None:
-            yield from pack(held).to_batches(BATCH)
+            yield from pack(held, cut).to_batches(BATCH)
 
     nr = F.shiftright(F.monotonically_increasing_id(), block_bits)
     return docs.select(nr.alias("block"), "id", "doc_len", "terms").mapInArrow(each, schema)
@@ -75,7 +102,7 @@ def within(sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
 
 
-def pack(docs: pa.Table) -> pa.Table:
+def pack(docs: pa.Table, cut: Sequence[tuple[str, int]] = ()) -> pa.Table:
     """All places of terms sorted by term, document and place, cut where the term changes."""
     block, length = docs["block"].to_numpy(), docs["doc_len"].to_numpy()
     ids = docs["id"].combine_chunks()
@@ -100,8 +127,9 @@ def pack(docs: pa.Table) -> pa.Table:
     rest[within(n, at + n)] = tf
     rest[within(n, at + 2 * n)] = length[doc]
     rest[within(freq, at + 3 * n)] = place
-    return pa.table([terms.dictionary.take(pa.array(code[row])), pa.array(first), lists(row, ids.take(pa.array(doc))),
-                     lists(at, pa.array(rest))], ["term", "block", "ids", "rest"])
+    term = terms.dictionary.take(pa.array(code[row]))
+    return pa.table([pa.array(range_of(term.to_pylist(), first, cut)), term, pa.array(first), lists(row, ids.take(pa.array(doc))),
+                     lists(at, pa.array(rest))], ["part", "term", "block", "ids", "rest"])
 
 
 def unpack(batch: pa.RecordBatch) -> pa.Table:

@@ -18,8 +18,9 @@ from .manifest import Manifests
 BLOCK_BITS = 6
 #: Rows of a Parquet page of the postings, the least that a filter can leave out.
 PAGE_ROWS = 256
-#: Terms of all texts for which there is a file of postings at least, so that a task sorts its share in memory.
-PART_TERMS = 1 << 22
+#: Terms of all texts for which there is a file of postings, so that a task sorts its share in memory, and how many
+#: places are looked at for each, to find ranges of one size.
+PART_TERMS, SAMPLED = 1 << 21, 200
 #: Ranges of blocks that a filter on the files names at most.
 RANGES = 16
 #: Segments of about one size that are merged into one, and how a tier grows.
@@ -136,7 +137,8 @@ class TextIndex:
         Documents are sorted by length inside the tasks that read them and numbered as they are read
         back: a block is so many neighbours, and no text moves. A task gathers the places of a term in the
         documents of a batch, so they move as one row, dealt by sampled ranges of (term, block). So a rare
-        term is in one file, and one that is in a third of all blocks is in a third of the files.
+        term is in one file, and one that is in a third of all blocks is in a third of the files. The ranges are
+        known before, from a look at some places, so that documents are packed once.
         """
         name = f"segment-{uuid.uuid4().hex}"
         # numbered before the empty ones go: else the optimizer splits texts twice, once for their lengths
@@ -147,12 +149,9 @@ class TextIndex:
         numbers = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total"))
         self._write(f"{name}/numbers", numbers)
         held = self._read(f"{name}/numbers").first()
-        packed = postings.packed(docs, BLOCK_BITS)
-        parts = -(-held["total"] // PART_TERMS)
-        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
-            dealt = packed.repartitionByRange(parts, "term", "block")
-        else:
-            dealt = packed.repartitionByRange("term", "block")
+        parts = max(1, -(-held["total"] // PART_TERMS))
+        packed = postings.packed(docs, BLOCK_BITS, postings.cuts(docs, BLOCK_BITS, held["total"], parts, SAMPLED))
+        dealt = packed.repartitionById(parts, F.col("part")).drop("part")
         self._write(f"{name}/blocks", postings.unpacked(dealt.sortWithinPartitions("term", "block")),
                     **{"parquet.page.row.count.limit": PAGE_ROWS})
         terms = self._read(f"{name}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("freq").alias("freq"))

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,33 @@ def test_postings_by_definition(spark, tmp_path, monkeypatch, kind):
     assert len(blocks.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_documents_are_packed_once_and_dealt_evenly(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textindex, "PART_TERMS", 2000)
+    inner, log = postings.pack, str(tmp_path / "packed")
+
+    def counted(docs, *rest):
+        with open(log, "a") as f:
+            f.write(f"{docs.num_rows}\n")
+        return inner(docs, *rest)
+
+    monkeypatch.setattr(postings, "pack", counted)
+    text = F.concat_ws(" ", F.lit("same same"), F.concat(F.lit("x"), F.col("id") % 500), F.concat(F.lit("y"), F.col("id") % 3))
+    index = TextIndex.build(spark.range(5000, numPartitions=4).select("id", text.alias("t")), "id", "t", str(tmp_path / "ix"))
+    with open(log) as f:
+        assert sum(map(int, f)) == 5000
+    assert index.terms("same").first()["freq"] == 10_000 and index.postings("x7", "y1").count() == 10 + 1667
+    # a word of half of all places takes many files, but for the part of a batch that moves as one row
+    files = [r["n"] for r in index.blocks()[0].groupBy(F.input_file_name()).agg(F.sum("freq").alias("n")).collect()]
+    assert len(files) > 4 and max(files) <= 6000
+
+
+def test_ranges_of_terms_and_blocks():
+    cut = [("b", 3), ("b", 9), ("c", 0), ("é", 1)]
+    terms, blocks = ["a", "b", "b", "b", "b", "bb", "c", "z", "é", "é"], np.array([7, 2, 3, 8, 9, 0, 0, 5, 0, 1])
+    assert postings.range_of(terms, blocks, cut).tolist() == [0, 0, 1, 1, 2, 2, 3, 3, 3, 4]
+    assert postings.range_of(terms, blocks, []).tolist() == [0] * 10
+
+
 @pytest.mark.parametrize("indexed", [True, False])
 def test_similar_documents_in_shards(spark, tmp_path, monkeypatch, indexed):
     monkeypatch.setattr(similar, "SHARD", 60)
