@@ -16,6 +16,8 @@ GRAM = 3
 BEGIN, END = "\x02", "\x03"
 #: Letters of the beginning from which keys leave out letters, and how many they leave out at most.
 PREFIX, EDITS = 7, 2
+#: Keys of a beginning at most, and rows of a table for which there is a file at least, so that a task sorts its share in memory.
+KEYS, PART_ROWS = 29, 1 << 22
 
 
 def grams_of(marked: Column) -> Column:
@@ -31,6 +33,10 @@ def _shorter(word: Column) -> Column:
         F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))).otherwise(F.array().cast("array<string>"))
 
 
+def _start(word: Column) -> Column:
+    return F.substr(word, F.lit(1), F.lit(PREFIX))
+
+
 def keys_of(word: Column, edits: int = EDITS) -> Column:
     """The first ``PREFIX`` letters of a word, and what is left of them without up to ``edits`` letters.
 
@@ -38,8 +44,7 @@ def keys_of(word: Column, edits: int = EDITS) -> Column:
     out, on both sides, the letters that an edit touches: what remains of the two beginnings
     is one string, or begins with the other, and the side with fewer edits has letters to spare.
     """
-    start = F.substr(word, F.lit(1), F.lit(PREFIX))
-    out = level = F.array(start)
+    out = level = F.array(_start(word))
     for _ in range(edits):
         level = F.array_distinct(F.flatten(F.transform(level, _shorter)))
         out = F.concat(out, level)
@@ -96,8 +101,9 @@ def apart(a: Column, b: Column, edits: Column, swaps: bool) -> Column:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Three tables under ``path``: ``terms`` as they came, ``grams`` with ``(gram, term)`` and ``keys`` with
-    ``(key, term)``, each dealt by sampled ranges and sorted, so that what is asked for is a few pages."""
+    """Four tables under ``path``: ``terms`` as they came, ``grams`` with ``(gram, term)``, ``starts`` with the distinct
+    beginnings of ``PREFIX`` letters and ``keys`` with ``(key, start)``. All but the third are dealt by sampled ranges and
+    sorted, so that what is asked for is a few pages. Keys hang on the beginning alone, so terms that share one share its rows."""
 
     spark: SparkSession
     path: str
@@ -106,20 +112,34 @@ class Vocabulary:
     @classmethod
     def build(cls, terms: DataFrame, path: str) -> Vocabulary:
         """``terms`` has ``term``, each once, and any other columns. A frequent gram is spread over
-        the ranges that its share of the rows takes."""
+        the ranges that its share of the rows takes; there are as many ranges as the rows take."""
         spark, path = terms.sparkSession, path.rstrip("/")
         if Manifests(spark, path).latest() is not None:
             raise ValueError(f"vocabulary exists: {path}")
         new = cls(spark, path)
         terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("errorifexists").parquet(f"{path}/terms")
         stored = new.terms().where(F.col("term").isNotNull())
+        # equal beginnings are neighbours, so a task leaves most of them out before they move; keys take many tasks
+        beginnings = stored.select(_start(F.col("term")).alias("start")).distinct()
+        beginnings.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("errorifexists").parquet(f"{path}/starts")
+        starts = new._read("starts")
         marked = F.concat(F.lit(BEGIN), "term", F.lit(END))
-        for name, what in (("gram", grams_of(marked)), ("key", keys_of(F.col("term")))):
-            each = stored.select(F.explode(what).alias(name), "term")
-            each.repartitionByRange(name, "term").sortWithinPartitions(name, "term").write.mode("errorifexists").parquet(f"{path}/{name}s")
+        grams = stored.select(F.explode(grams_of(marked)).alias("gram"), "term")
+        keys = starts.select(F.explode(keys_of(F.col("start"))).alias("key"), "start")
+        new._deal(grams, "grams", stored.agg(F.coalesce(F.sum(F.length("term")), F.lit(0)).alias("n")).first()["n"])
+        new._deal(keys, "keys", starts.count() * KEYS)
         Manifests(spark, path).write(1, {})
         return new
 
+    def _deal(self, rows: DataFrame, name: str, most: int) -> None:
+        """Writes at most so many rows, sorted in sampled ranges."""
+        parts = -(-most // PART_ROWS)
+        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            dealt = rows.repartitionByRange(parts, *rows.columns)
+        else:
+            dealt = rows.repartitionByRange(*rows.columns)
+        dealt.sortWithinPartitions(*rows.columns).write.mode("errorifexists").parquet(f"{self.path}/{name}")
+
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Vocabulary:
         if Manifests(spark, path.rstrip("/")).latest() is None:
@@ -164,22 +184,25 @@ class Vocabulary:
         edits = A.auto_fuzziness(word) if edits is None else edits
         if edits > EDITS:
             raise ValueError(f"at most {EDITS} edits")
-        asked = self.spark.range(1).select(F.explode(keys_of(F.lit(word), edits))).collect()  # 29 keys at most
-        found = self._read("keys").where(F.col("key").isin([r[0] for r in asked])).select("term").distinct()
-        return self.terms().join(found, "term", "left_semi").where(A.within_edits(F.col("term"), word, edits))
+        asked = self.spark.range(1).select(F.explode(keys_of(F.lit(word), edits))).collect()  # KEYS at most
+        found = self._read("keys").where(F.col("key").isin([r[0] for r in asked])).select("start").distinct()
+        return self.terms().join(found, _start(F.col("term")) == F.col("start"), "left_semi").where(A.within_edits(F.col("term"), word, edits))
 
     def near_all(self, words: DataFrame, word: str = "word", *, edits: int | Column | None = None, swaps: bool = True) -> DataFrame:
         """``(word, edits, term, ..)``: for every distinct word of a table the terms within some edits.
 
-        Words and terms meet in an equi-join on their keys, at most 29 each; pairs are verified once. The number of
-        edits hangs on the length of the word, if nothing is said.
+        Words and beginnings of terms meet in an equi-join on their keys, ``KEYS`` each at most; then each pair of them
+        once meets the terms that begin so. The number of edits hangs on the length of the word, if nothing is said.
         """
-        w = F.col("word")
+        w, start = F.col("word"), F.col("start")
         by_length = F.when(F.length(w) < 3, 0).when(F.length(w) < 6, 1).otherwise(2)
         allowed = by_length if edits is None else edits if isinstance(edits, Column) else F.lit(edits)
         asked = words.select(F.lower(word).alias("word")).where("word IS NOT NULL").distinct().withColumn("edits", allowed)
         keyed = asked.select("word", "edits", F.explode(keys_of(w)).alias("key"))
-        pairs = (keyed.join(self._read("keys"), "key")
-                 .where(F.abs(F.length("word") - F.length("term")) <= F.col("edits"))
-                 .select("word", "edits", "term").distinct())
-        return pairs.where(apart(F.col("term"), w, F.col("edits"), swaps)).join(self.terms(), "term")
+        # a beginning with less than PREFIX letters is the whole term, others have terms of any length from there on
+        longer = F.length(w) - F.length(start)
+        fits = (longer >= -F.col("edits")) & ((longer <= F.col("edits")) | (F.length(start) == PREFIX))
+        pairs = keyed.join(self._read("keys"), "key").where(fits).select("word", "edits", "start").distinct()
+        found = (pairs.join(self.terms(), start == _start(F.col("term")))
+                 .where((F.abs(F.length("word") - F.length("term")) <= F.col("edits")) & apart(F.col("term"), w, F.col("edits"), swaps)))
+        return found.select("term", "word", "edits", *[c for c in self.terms().columns if c != "term"])

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docspark.functions import analysis as A
+from docspark.sources import vocabulary as module
 from docspark.sources.vocabulary import Vocabulary, pieces_of, required
 
 
@@ -98,3 +99,18 @@ def test_the_files_are_filtered(vocabulary):
     assert "PushedFilters: [In(key" in plan
     empty = Vocabulary.build(vocabulary.terms().limit(0), vocabulary.path + "-empty")
     assert empty.near("abc").count() == 0 and empty.like("contains", "abc").count() == 0
+
+
+def test_terms_of_one_beginning_share_its_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(module, "PART_ROWS", 3)
+    terms = [f"abcdefg{i}" for i in range(300)] + ["abcdefg", "abcdef", "bcdefgh", "acbdefg5"]
+    v = Vocabulary.build(spark.createDataFrame([(t, 1) for t in terms], "term string, df int"), str(tmp_path / "v"))
+    keys = spark.read.parquet(f"{v.path}/keys")
+    assert keys.count() == keys.distinct().count() <= 4 * module.KEYS
+    # as many files as the rows take, whatever the number of shuffle partitions is
+    assert len(keys.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = ["abcdefg7", "abcdef", "abcdefg", "bcdefgh", "xabcdefg12"]
+    got = v.near_all(spark.createDataFrame([(w,) for w in asked], "word string"), edits=2).collect()
+    assert sorted((x["word"], x["term"]) for x in got) == sorted((a, t) for a in asked for t in terms if abs(len(a) - len(t)) < 3 and close(a, t, 2))
+    for w in asked:
+        assert names(v.near(w, 2)) == sorted(t for t in terms if abs(len(w) - len(t)) < 3 and close(t, w, 2)), w
