@@ -7,12 +7,32 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows of the batches that tasks give back.
 BATCH = 1 << 14
+#: Terms of the documents that are packed at once, in whole blocks: what a task holds.
+PACKED = 1 << 22
+
+
+def is_joined(docs: DataFrame) -> bool:
+    """Whether ``terms`` is one string with a space between any two terms, else an array."""
+    return docs.schema["terms"].dataType == T.StringType()
+
+
+def term_array(docs: DataFrame) -> Column:
+    return F.split("terms", " ") if is_joined(docs) else F.col("terms")
+
+
+def doc_len(docs: DataFrame) -> Column:
+    """The number of terms; null or less than 1 where there is none."""
+    if not is_joined(docs):
+        return F.size("terms").cast("long")
+    spaces = F.octet_length("terms") - F.octet_length(F.replace("terms", F.lit(" "), F.lit("")))
+    return F.when(F.octet_length("terms") > 0, spaces + 1).cast("long")
 
 
 def cuts(docs: DataFrame, block_bits: int, total: int, parts: int, sampled: int) -> list[tuple[str, int]]:
@@ -26,9 +46,8 @@ def cuts(docs: DataFrame, block_bits: int, total: int, parts: int, sampled: int)
     step = max(1, total // (parts * sampled))
     nr = F.monotonically_increasing_id()
     rows = docs.select(F.shiftright(nr, block_bits).alias("block"), "terms", "doc_len", F.pmod(F.xxhash64(nr), F.lit(step)).alias("at"))
-    places = F.sequence("at", F.col("doc_len") - 1, F.lit(step).cast("long"))
-    some = rows.where("at < doc_len").select(F.explode(F.transform(places, lambda i: F.get("terms", i.cast("int")))).alias("term"), "block")
-    held = [tuple(r) for r in some.orderBy("term", "block").collect()]
+    some = rows.where("at < doc_len").select(F.explode(F.filter(term_array(docs), lambda t, i: i % step == F.col("at"))).alias("term"), "block")
+    held = sorted(tuple(r) for r in some.collect())  # a few MB: a sort in Spark would read all documents twice
     return [held[i * len(held) // parts] for i in range(1, parts)] if held else []
 
 
@@ -47,10 +66,11 @@ def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()
     Documents are numbered as they are read; those that follow each other are a block. A row has the
     documents of a term in some blocks, ``block`` being the first. ``rest`` has for each document how many
     blocks later it is, then for each how often it has the term, then their lengths, then the
-    places of the term in all of them. ``part`` is the range that (term, block) is in.
+    places of the term in all of them: the bytes of 32-bit numbers, so that a row moves at the cost of its size and
+    not of its numbers. ``part`` is the range that (term, block) is in.
     """
     schema = (T.StructType().add("part", T.IntegerType()).add("term", T.StringType()).add("block", T.LongType())
-              .add("ids", T.ArrayType(docs.schema["id"].dataType)).add("rest", T.ArrayType(T.IntegerType())))
+              .add("ids", T.ArrayType(docs.schema["id"].dataType)).add("rest", T.BinaryType()))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -61,8 +81,8 @@ def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()
                 continue
             numbers = table["block"].to_numpy()
             whole = int(np.searchsorted(numbers, numbers[-1]))  # the last block may go on in the next batch
-            if whole:
-                yield from pack(table.slice(0, whole), cut).to_batches(BATCH)
+            for some in groups(table.slice(0, whole), PACKED):
+                yield from pack(some, cut).to_batches(BATCH)
             held = table.slice(whole)
         if held is not None:
             yield from pack(held, cut).to_batches(BATCH)
@@ -71,6 +91,15 @@ def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()
     return docs.select(nr.alias("block"), "id", "doc_len", "terms").mapInArrow(each, schema)
 
 
+def groups(docs: pa.Table, most: int) -> Iterator[pa.Table]:
+    """Documents in groups of whole blocks, each with at most so many terms and a block."""
+    if docs.num_rows:
+        first, length = starts(docs["block"].to_numpy()), docs["doc_len"].to_numpy()
+        at = first[starts((np.cumsum(length) - length)[first] // most)]
+        for a, b in zip(at, [*at[1:], docs.num_rows]):
+            yield docs.slice(a, b - a)
+
+
 def unpacked(rows: DataFrame) -> DataFrame:
     """``(term, block, n, freq, max_tf, min_len, entries, positions)`` of packed rows, in their order."""
     long, id = T.LongType(), rows.schema["ids"].dataType.elementType
@@ -97,6 +126,14 @@ def lists(at: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(at, len(values)), pa.int32()), values)
 
 
+def numbers(at: np.ndarray, values: np.ndarray) -> pa.Array:
+    """32-bit numbers as bytes, a row from each start on."""
+    ends = np.append(at, len(values)).astype(np.int64) * 4
+    if ends[-1] >= 1 << 31:
+        raise ValueError("documents of a block have too many terms")
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+
+
 def within(sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each row, from ``first`` on, as many numbers as its size."""
     return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
@@ -106,7 +143,8 @@ def pack(docs: pa.Table, cut: Sequence[tuple[str, int]] = ()) -> pa.Table:
     """All places of terms sorted by term, document and place, cut where the term changes."""
     block, length = docs["block"].to_numpy(), docs["doc_len"].to_numpy()
     ids = docs["id"].combine_chunks()
-    terms = pa.concat_arrays([c.flatten() for c in docs["terms"].chunks]).dictionary_encode("encode")
+    each = docs["terms"] if pa.types.is_list(docs["terms"].type) else pc.split_pattern(docs["terms"], " ")
+    terms = pa.concat_arrays([c.flatten() for c in each.chunks]).dictionary_encode("encode")
     code, place = terms.indices.to_numpy(), within(length, np.zeros(len(length), int))
     own = starts(block, length, ids.dictionary_encode("encode").indices.to_numpy())  # rows of one id and length count as one
     number = np.zeros(len(length), int)
@@ -129,14 +167,16 @@ def pack(docs: pa.Table, cut: Sequence[tuple[str, int]] = ()) -> pa.Table:
     rest[within(freq, at + 3 * n)] = place
     term = terms.dictionary.take(pa.array(code[row]))
     return pa.table([pa.array(range_of(term.to_pylist(), first, cut)), term, pa.array(first), lists(row, ids.take(pa.array(doc))),
-                     lists(at, pa.array(rest))], ["part", "term", "block", "ids", "rest"])
+                     numbers(at, rest)], ["part", "term", "block", "ids", "rest"])
 
 
 def unpack(batch: pa.RecordBatch) -> pa.Table:
     """The rows of (term, block) that packed rows hold."""
-    ids, rest = batch["ids"], batch["rest"]
-    n, size = (np.diff(x.offsets.to_numpy()).astype(int) for x in (ids, rest))
-    at, rest, freq = np.cumsum(size) - size, rest.flatten().to_numpy(), size - 3 * n
+    ids, held = batch["ids"], batch["rest"].buffers()
+    n = np.diff(ids.offsets.to_numpy()).astype(int)
+    ends = np.frombuffer(held[1], np.int32)[batch["rest"].offset:][:batch.num_rows + 1] // 4
+    size = np.diff(ends).astype(int)
+    at, rest, freq = np.cumsum(size) - size, np.frombuffer(held[2], np.int32, ends[-1])[ends[0]:], size - 3 * n
     block = np.repeat(batch["block"].to_numpy(), n) + rest[within(n, at)]
     tf, length = (rest[within(n, at + k * n)].astype(int) for k in (1, 2))
     places = lists(np.cumsum(tf) - tf, pa.array(rest[within(freq, at + 3 * n)]))

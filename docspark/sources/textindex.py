@@ -33,7 +33,8 @@ class TextIndex:
 
     Its segments never change. One has, under ``path``:
 
-    ``docs``: ``(id, doc_len, terms)``, the analyzed documents, which a merge starts from;
+    ``docs``: ``(id, doc_len, terms)``, the analyzed documents, which a merge starts from; terms are one string with
+    spaces between them where the analyzer can tell it, else an array;
     ``blocks``: ``(term, block, n, freq, max_tf, min_len, entries, positions)``, a row for each term and
     block with the ``(id, tf, doc_len)`` of its documents and the positions of the term in each;
     ``terms``: ``(term, df, freq)``; ``numbers``: one row, documents and terms in all.
@@ -82,7 +83,8 @@ class TextIndex:
 
     def add(self, docs: DataFrame) -> TextIndex:
         """New documents are a segment of their own; whoever has read an older version keeps it."""
-        analyzed = docs.select(F.col(self.id).alias("id"), self.analyzer.column(F.col(self.field)).alias("terms"))
+        terms = self.analyzer.joined or self.analyzer.column
+        analyzed = docs.select(F.col(self.id).alias("id"), terms(F.col(self.field)).alias("terms"))
         return self._commit([*self.segments, self._segment(analyzed)])
 
     def delete(self, ids: DataFrame) -> TextIndex:
@@ -98,7 +100,7 @@ class TextIndex:
             numbers = dead.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total"))
             lost = numbers.first()["n"]
             if lost:
-                each = dead.select("id", F.explode("terms").alias("term")).groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"))
+                each = dead.select("id", F.explode(postings.term_array(dead)).alias("term")).groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"))
                 self._write(f"{folder}/terms", each.groupBy("term").agg((-F.count(F.lit(1))).alias("df"), (-F.sum("tf")).alias("freq"))
                             .sortWithinPartitions("term"))
                 self._write(f"{folder}/numbers", numbers.select((-F.col("n")).alias("n"), (-F.col("total")).alias("total")))
@@ -141,9 +143,9 @@ class TextIndex:
         known before, from a look at some places, so that documents are packed once.
         """
         name = f"segment-{uuid.uuid4().hex}"
-        # numbered before the empty ones go: else the optimizer splits texts twice, once for their lengths
-        rows = analyzed.select("id", "terms", F.size("terms").cast("long").alias("doc_len"),
-                               F.monotonically_increasing_id().alias("_nr")).where("doc_len > 0").drop("_nr")
+        # the empty ones go by a condition on a number: else the optimizer analyzes texts again for their lengths
+        rows = analyzed.select("id", "terms", postings.doc_len(analyzed).alias("doc_len"),
+                               F.monotonically_increasing_id().alias("_nr")).where("doc_len > 0 AND _nr >= 0").drop("_nr")
         self._write(f"{name}/docs", rows.sortWithinPartitions("doc_len", "id"))
         docs = self._read(f"{name}/docs")
         numbers = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total"))

@@ -4,9 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docspark.functions import analysis as A
 from docspark.operators import proximity, scoring, similar, writes
 from docspark.sources import postings, textindex
 from docspark.sources.textindex import TextIndex
@@ -99,6 +101,48 @@ def test_documents_are_packed_once_and_dealt_evenly(spark, tmp_path, monkeypatch
     assert len(files) > 4 and max(files) <= 6000
 
 
+@pytest.mark.parametrize("analyzer", [A.STANDARD, A.SIMPLE])
+def test_joined_terms_are_those_of_the_array(spark, analyzer):
+    odd = ["", None, "  ", "a", " it's  x_y 1²\x00z, É\t", "İstanbul ΑΣ.Σ \U0001d400b ﬀ—ß\n\n7", "...", "٣ ⅷ中文 e\u0301"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select(analyzer.column(F.col("t")).alias("a"), analyzer.joined(F.col("t")).alias("terms"))
+    for r in rows.select("a", postings.term_array(rows).alias("b"), postings.doc_len(rows).alias("n")).collect():
+        assert (r["a"], len(r["a"])) == (r["b"], r["n"]) if r["a"] else not r["n"]
+
+
+def test_texts_are_analyzed_once_and_kept_as_one_value(spark, tmp_path, monkeypatch):
+    plans, inner = [], TextIndex._write
+    monkeypatch.setattr(TextIndex, "_write", lambda self, name, rows, **o: plans.append(optimized(rows)) or inner(self, name, rows, **o))
+    spark.createDataFrame(texts(50, 5), "id long, t string").write.parquet(str(tmp_path / "docs"))
+    index = TextIndex.build(spark.read.parquet(str(tmp_path / "docs")), "id", "t", str(tmp_path / "ix"))
+    assert plans[0].count("lower(") == 1
+    assert spark.read.parquet(f"{index.path}/{index.segments[0][0]}/docs").schema["terms"].dataType.simpleString() == "string"
+    # an analyzer whose terms may have spaces
+    whole = TextIndex.build(spark.read.parquet(str(tmp_path / "docs")), "id", "t", str(tmp_path / "whole"), A.KEYWORD)
+    assert whole.terms("w1 w2 w1").first()["freq"] == 1
+
+
+@pytest.mark.parametrize("ids", [[7, 8, 9, 9, None], ["a", "b", "c", "c", None]])
+def test_places_move_as_bytes(ids):
+    terms = [["x", "y", "x"], ["é"], ["y", "x"], ["x", "y"], ["x"] * 5]
+    for kept in (terms, [" ".join(t) for t in terms]):
+        docs = pa.table({"block": pa.array([0, 0, 1, 1, 3]), "id": ids, "doc_len": pa.array([len(t) for t in terms]), "terms": kept})
+        moved = postings.pack(docs)
+        assert pa.types.is_binary(moved["rest"].type)
+        rows = [r for b in moved.to_batches(2) for r in postings.unpack(b).to_pylist()]
+        got = {(r["term"], r["block"]): [(e["id"], e["tf"], e["doc_len"], p) for e, p in zip(r["entries"], r["positions"])] for r in rows}
+        assert got == {("x", 0): [(ids[0], 2, 3, [0, 2])], ("y", 0): [(ids[0], 1, 3, [1])], ("é", 0): [(ids[1], 1, 1, [0])],
+                       ("y", 1): [(ids[2], 2, 2, [0, 1])], ("x", 1): [(ids[2], 2, 2, [0, 1])], ("x", 3): [(ids[4], 5, 5, [0, 1, 2, 3, 4])]}
+
+
+def test_documents_of_a_pack_are_bounded_by_terms():
+    docs = pa.table({"block": np.repeat(np.arange(50), 4), "doc_len": np.arange(200)})
+    parts = list(postings.groups(docs, 1000))
+    assert pa.concat_tables(parts).equals(docs) and len(parts) > 15
+    assert all(sum(p["doc_len"].to_pylist()) <= 1000 + 4 * 199 for p in parts)
+    blocks = [set(p["block"].to_pylist()) for p in parts]
+    assert not any(a & b for a, b in zip(blocks, blocks[1:])) and list(postings.groups(docs.slice(0, 0), 10)) == []
+
+
 def test_ranges_of_terms_and_blocks():
     cut = [("b", 3), ("b", 9), ("c", 0), ("é", 1)]
     terms, blocks = ["a", "b", "b", "b", "b", "bb", "c", "z", "é", "é"], np.array([7, 2, 3, 8, 9, 0, 0, 5, 0, 1])
