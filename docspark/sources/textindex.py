@@ -18,6 +18,8 @@ from .manifest import Manifests
 BLOCK_BITS = 6
 #: Rows of a Parquet page of the postings, the least that a filter can leave out.
 PAGE_ROWS = 256
+#: Postings are numbers near those before them: Parquet keeps the differences, and a dictionary of the terms alone.
+ENCODING = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false", "parquet.enable.dictionary#term": "true"}
 #: Terms of all texts for which there is a file of postings, so that a task sorts its share in memory, and how many
 #: places are looked at for each, to find ranges of one size.
 PART_TERMS, SAMPLED = 1 << 21, 200
@@ -155,7 +157,7 @@ class TextIndex:
         packed = postings.packed(docs, BLOCK_BITS, postings.cuts(docs, BLOCK_BITS, held["total"], parts, SAMPLED))
         dealt = packed.repartitionById(parts, F.col("part")).drop("part")
         self._write(f"{name}/blocks", postings.unpacked(dealt.sortWithinPartitions("term", "block")),
-                    **{"parquet.page.row.count.limit": PAGE_ROWS})
+                    **ENCODING, **{"parquet.page.row.count.limit": PAGE_ROWS})
         terms = self._read(f"{name}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("freq").alias("freq"))
         self._write(f"{name}/terms", terms.repartitionByRange("term").sortWithinPartitions("term"))
         return name, held["n"], ()

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,10 @@ def test_texts_are_analyzed_once_and_kept_as_one_value(spark, tmp_path, monkeypa
     index = TextIndex.build(spark.read.parquet(str(tmp_path / "docs")), "id", "t", str(tmp_path / "ix"))
     assert plans[0].count("lower(") == 1
     assert spark.read.parquet(f"{index.path}/{index.segments[0][0]}/docs").schema["terms"].dataType.simpleString() == "string"
+    # postings are kept as differences
+    file = pq.ParquetFile(index.blocks()[0].inputFiles()[0].removeprefix("file://"))
+    kept = {c.path_in_schema: c.encodings for c in (file.metadata.row_group(0).column(i) for i in range(file.metadata.num_columns))}
+    assert all("DELTA_BINARY_PACKED" in e for c, e in kept.items() if c.startswith(("entries", "positions"))) and "RLE_DICTIONARY" in kept["term"]
     # an analyzer whose terms may have spaces
     whole = TextIndex.build(spark.read.parquet(str(tmp_path / "docs")), "id", "t", str(tmp_path / "whole"), A.KEYWORD)
     assert whole.terms("w1 w2 w1").first()["freq"] == 1
