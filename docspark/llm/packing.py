@@ -7,9 +7,12 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -21,10 +24,12 @@ from .common import pinned
 GROUP_TOKENS = 1 << 24
 #: Groups whose underfull bins meet in one task of the next round.
 FAN_IN = 16
-#: Words, and runs of words, whose ids a task keeps, and the length of the longest of them.
-KEPT_WORDS, KEPT_LETTERS = 1 << 18, 64
-#: Bytes of one token id.
-WIDTH = 4
+#: Bytes of text whose words are looked up together, at most but for one text.
+PART_BYTES = 1 << 23
+#: Words whose ids a Python worker keeps, besides those of one part, and the length of the longest of them.
+KEPT_WORDS, KEPT_LETTERS = 1 << 19, 64
+#: Bytes of one token id, and no token's id.
+WIDTH, LINE_END = 4, (1 << 32) - 1
 
 
 def byte_letters() -> dict[int, int]:
@@ -37,7 +42,7 @@ def byte_letters() -> dict[int, int]:
 def word_splitter(path: str) -> Callable[[str], list[str]] | None:
     """What the tokenizer file does to a text before its model sees words; None for other kinds of files.
 
-    That is NFC, white space as blanks and lower case, then the words of a pattern.
+    That is NFC, white space as blanks and lower case, then the words of a pattern. Line feeds come back too.
     """
     with open(path, encoding="utf-8") as f:
         said = json.load(f)
@@ -48,18 +53,31 @@ def word_splitter(path: str) -> Callable[[str], list[str]] | None:
     split, level = before
     if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
         return None
-    words = regex.compile(split["pattern"]["Regex"]).findall
+    words = regex.compile("\\n|" + split["pattern"]["Regex"]).findall
     # a capital sigma becomes the same letter wherever it stands
     return lambda text: words(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
 
 
 def encoder(path: str) -> Callable[[str | None], bytes]:
-    """A function from texts to their ids, little-endian unsigned 32-bit numbers, without special tokens.
+    """A function from texts to their ids, little-endian unsigned 32-bit numbers, without special tokens."""
+    encode = column_encoder(path)
+    return lambda text: next(encode(pa.array([text], pa.string())))
 
-    The model encodes every word by itself, and no word reaches over ASCII white space. So the ids of
-    words, and of runs between white space, are kept, and a text's ids are those of its runs. A text that spells out an added token or has a letter
-    that is new in Unicode, and any text where the file splits words in another way, goes to the tokenizer
-    as a whole.
+
+def column_encoder(path: str) -> Callable[[pa.Array], Iterator[bytes]]:
+    """``encoder`` for columns of texts. A Python worker keeps the last one, with its words, for its next tasks."""
+    about = os.stat(path)
+    return kept_encoder(path, about.st_mtime_ns, about.st_size)
+
+
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, changed: int, size: int) -> Callable[[pa.Array], Iterator[bytes]]:
+    """``column_encoder`` for the file as it was changed last.
+
+    The model encodes every word by itself, and no word reaches over ASCII white space. So Arrow numbers the
+    distinct runs between white space, these are split into words all at once, the ids of words are kept, and a
+    text's ids are those of its runs. A text that spells out an added token or has a letter that is new in
+    Unicode, and any text where the file splits words in another way, goes to the tokenizer as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
     from tokenizers import Tokenizer
@@ -68,47 +86,75 @@ def encoder(path: str) -> Callable[[str | None], bytes]:
     model, split, letters = whole.model, word_splitter(path), byte_letters()
     added = [t.content for t in whole.get_added_tokens_decoder().values()]
     of_word: dict[str, bytes] = {}
-    of_run: dict[bytes, bytes] = {}
     assigned: set[str] = set()
 
-    def at_once(text: str) -> bytes:
-        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def at_once(text: str | None) -> bytes:
+        return np.array(whole.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids_of(word: str) -> bytes:
         spelled = word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(letters)
         return array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
 
-    def known(run: str) -> bytes | None:
-        """The ids of what stands between white space; None if it has a letter that is new in Unicode."""
-        if not run.isascii() and not assigned.issuperset(run):
-            if any(unicodedata.category(c) == "Cn" for c in run):
-                return None
-            assigned.update(run)
-        out = []
-        for word in split(run):
-            ids = of_word.get(word)
-            if ids is None:
-                ids = ids_of(word)
-                if len(word) <= KEPT_LETTERS:
-                    of_word[word] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        if split is None or any(a in text for a in added):
-            return at_once(text)
-        for kept in (of_word, of_run):
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-        runs, rare = text.encode("utf-8").split(), {}
-        for run in set(runs).difference(of_run):
-            ids = known(run.decode("utf-8"))
-            if ids is None:
-                return at_once(text)
-            (of_run if len(run) <= KEPT_LETTERS else rare)[run] = ids
-        return b"".join([of_run[r] if r in of_run else rare[r] for r in runs] if rare else map(of_run.__getitem__, runs))
+    def ids_of_lines(lines: str) -> np.ndarray:
+        """The ids of every line, each with ``LINE_END`` behind it."""
+        words = split(lines)
+        distinct = set(words)
+        if len(of_word) > KEPT_WORDS:  # those that are in use stay
+            kept = {word: of_word[word] for word in distinct.intersection(of_word)}
+            of_word.clear()
+            of_word.update(kept)
+        of_word["\n"] = np.array([LINE_END], "<u4").tobytes()
+        new = distinct.difference(of_word)
+        of_word.update((word, ids_of(word)) for word in new)
+        ids = np.frombuffer(b"".join(map(of_word.__getitem__, words)), "<u4")
+        for word in new:
+            if len(word) > KEPT_LETTERS:
+                del of_word[word]
+        return ids
+
+    def with_new_letters(lines: str) -> list[int]:
+        """The numbers of the lines that have a letter which is new in Unicode."""
+        unseen = set() if lines.isascii() else set(lines) - assigned
+        new = {c for c in unseen if unicodedata.category(c) == "Cn"}
+        assigned.update(unseen - new)
+        return [nr for nr, line in enumerate(lines.split("\n")) if not new.isdisjoint(line)] if new else []
+
+    def of_part(texts: pa.Array) -> list[bytes]:
+        by_text = pc.ascii_split_whitespace(texts)
+        counts = pc.fill_null(pc.list_value_length(by_text), 0).to_numpy()
+        runs = by_text.flatten().dictionary_encode()
+        if not len(runs):
+            return [b""] * len(texts)
+        all_runs = pa.LargeListArray.from_arrays([0, len(runs.dictionary)], runs.dictionary)
+        lines = pc.binary_join(all_runs, pa.scalar("\n", texts.type))[0].as_py() + "\n"
+        ids, numbers = ids_of_lines(lines), runs.indices.to_numpy()
+        ends = np.flatnonzero(ids == LINE_END)
+        if len(ends) != len(runs.dictionary):  # words of this file reach over lines
+            return [at_once(text.as_py()) for text in texts]
+        starts = np.append(0, ends - np.arange(len(ends))) * WIDTH
+        of_line = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(starts), pa.py_buffer(ids[ids != LINE_END])])
+        _, starts, joined = of_line.take(runs.indices).buffers()
+        starts = np.frombuffer(starts, np.int64)[np.append(0, np.cumsum(counts))].tolist()
+        joined = memoryview(joined or b"")
+        out = [bytes(joined[a:b]) for a, b in pairwise(starts)]
+        odd = np.zeros(len(texts), bool)
+        if new := with_new_letters(lines):
+            odd[np.repeat(np.arange(len(texts)), counts)[np.isin(numbers, new)]] = True
+        for token in added:
+            odd |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = at_once(texts[i].as_py())
+        return out
+
+    def encode(texts: pa.Array) -> Iterator[bytes]:
+        if split is None:
+            yield from (at_once(text.as_py()) for text in texts)
+            return
+        texts = texts.cast(pa.large_string())
+        length = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+        cuts = np.flatnonzero(np.diff(np.cumsum(length) // PART_BYTES)) + 1
+        for a, b in pairwise([0, *cuts.tolist(), len(texts)]):
+            yield from of_part(texts[a:b])
 
     return encode
 
@@ -153,7 +199,7 @@ def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, bytes]]:
         yield at // WIDTH, ids[at:at + capacity * WIDTH]
 
 
-def local_bins(docs: DataFrame, encode: Callable[[], Callable[[str | None], bytes]], capacity: int, end: int) -> DataFrame:
+def local_bins(docs: DataFrame, encode: Callable[[], Callable[[pa.Array], Iterable[bytes]]], capacity: int, end: int) -> DataFrame:
     """``(id, piece, start, ids, bin, offset, fill, part)``: every task packs what it reads.
 
     ``fill`` is set in the first row of a bin. A bin's number holds the task and its place there.
@@ -183,8 +229,8 @@ def local_bins(docs: DataFrame, encode: Callable[[], Callable[[str | None], byte
     def grouped(batches: Iterable[pa.RecordBatch], code) -> Iterator[list[tuple]]:
         pieces, held = [], 0
         for batch in batches:
-            for key, text in zip(batch["id"], batch["text"]):
-                ids = code(text.as_py()) + last
+            for key, ids in zip(batch["id"], code(batch["text"])):
+                ids += last
                 pieces += [(key, nr, start, part) for nr, (start, part) in enumerate(cut(ids, capacity))]
                 held += len(ids) // WIDTH
                 if held >= GROUP_TOKENS:
@@ -242,8 +288,14 @@ def packed(docs: DataFrame, tokenizer: str, *, text: str = "text", id: str = "do
     Null and empty texts are the one id ``end``. Null ids and repeated rows are rows like any
     other; an empty table gives none. Other columns are not looked at.
     """
+    def code() -> Callable[[pa.Array], Iterable[bytes]]:
+        if encode is None:
+            return column_encoder(tokenizer)
+        of_text = encode()
+        return lambda texts: map(of_text, texts.to_pylist())
+
     kept = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    placed = pinned(local_bins(kept, encode or (lambda: encoder(tokenizer)), capacity, end))
+    placed = pinned(local_bins(kept, code, capacity, end))
     open_ = placed.where(F.col("fill") < capacity).select("bin", "fill", "part")
     span, rounds = 1, []
     while True:

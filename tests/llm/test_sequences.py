@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,6 +67,43 @@ def test_words_have_the_ids_of_the_text():
         assert np.frombuffer(encode(t), "<u4").tolist() == want
 
 
+def test_columns_have_the_ids_of_their_texts(monkeypatch):
+    r, model = random.Random(4), Tokenizer.from_file(TOKENIZER)
+    odd = ["\u0378", "\U0003ffff", "<|endoftext|>", "\x85", "\xa0", "\x1c", "\u0301", "\u03a3", "e\u0301", "don't", "b" * 90, "\u2028", "\0"]
+    texts = [None, "", " ", "\n", "\u0378", *("".join(r.choice([*odd, *" \t\n\r", "Word", "x1", "two,"]) for _ in range(25)) for _ in range(200))]
+    texts += [" ".join(f"w{r.randrange(400)}" for _ in range(30)) for _ in range(100)] + ["", None]
+    want = [np.array(model.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for part, words in ((1, 0), (500, 50), (1 << 23, 1 << 19)):
+        monkeypatch.setattr(packing, "PART_BYTES", part)
+        monkeypatch.setattr(packing, "KEPT_WORDS", words)
+        for kind in (pa.string(), pa.large_string()):
+            column = pa.array(["before", *texts, "behind"], kind).slice(1, len(texts))
+            assert list(packing.column_encoder(TOKENIZER)(column)) == want
+    assert list(packing.column_encoder(TOKENIZER)(pa.array([], pa.string()))) == []
+    assert list(packing.column_encoder(TOKENIZER)(pa.array([None, None], pa.string()))) == [b"", b""]
+
+
+def test_a_worker_splits_runs_together_and_reads_a_tokenizer_once(monkeypatch, tmp_path):
+    """A call of the pattern for each run, and a load of the file for each task, were most of the packing's seconds."""
+    path, read, calls, splitter = tmp_path / "tokenizer.json", [], [], packing.word_splitter
+
+    def counting(of):
+        read.append(of)
+        split = splitter(of)
+        return split and (lambda text: calls.append(text) or split(text))
+
+    monkeypatch.setattr(packing, "word_splitter", counting)
+    path.write_text(Path(TOKENIZER).read_text(encoding="utf-8"), encoding="utf-8")
+    text = " ".join(f"A{i}b," for i in range(100))
+    want = packing.encoder(str(path))(text)
+    assert len(calls) == 1
+    assert packing.encoder(str(path))(text) == want and len(read) == 1
+    said = json.loads(path.read_text(encoding="utf-8"))
+    said["normalizer"] = None  # another file of this name: capitals stay
+    path.write_text(json.dumps(said), encoding="utf-8")
+    assert packing.encoder(str(path))(text) != want and len(read) == 2
+
+
 def packs(df, capacity):
     """The pieces by sequence: gapless from 0, none too long; returns the number of sequences."""
     by = defaultdict(list)
