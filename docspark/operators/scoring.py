@@ -25,6 +25,8 @@ from . import similar
 
 # Fixed values of the ranking function.
 K1, B = 1.2, 0.75
+#: Ids of sources that are sent to every task, at most.
+SENT = 1 << 20
 
 
 def idf(n_docs: Column, doc_freq: Column) -> Column:
@@ -564,22 +566,27 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
 
     Batch form: the characteristic terms of all sources (at most ``max_query_terms`` each) are sent to
     every shard of the documents, and a task sums up the scores of one source after the other. Each shard gives
-    ``size`` documents of a source at most: pairs are neither shuffled nor stored. A document has to share
-    ``min_should_match`` of the terms. For anything big pass a stored ``index`` and bound the
+    ``size`` documents of a source at most: pairs are neither shuffled nor stored, postings neither. Analyzed documents
+    go to their shards in packs of a few bytes a term. A document has to share ``min_should_match`` of the terms. For anything big pass a stored ``index`` and bound the
     terms by ``max_doc_share``, the share of the documents that may hold them.
     """
     if index is not None:
         post = index.postings().withColumnRenamed("id", id)
+        analyzed = index.documents().withColumnRenamed("id", id)
         numbers = index.numbers()
         n_stats = F.struct(numbers["n"].cast("double").alias("n"), F.try_divide(numbers["total"], numbers["n"]).alias("avg"))
         frequencies = index.terms()
     else:
         post = postings(docs, id, text, analyzer)
+        analyzed = docs.select(id, (analyzer.joined or analyzer.column)(F.col(text)).alias("terms"),
+                               F.monotonically_increasing_id().alias("block"))
         per_doc = post.groupBy(id).agg(F.first("doc_len").alias("l"))
         n_stats = per_doc.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
                                        F.avg("l").alias("avg")).alias("s")).scalar()
         frequencies = document_frequencies(post)
-    own = post.join(source.select(id).distinct(), id, "left_semi")
+    ids = pinned(source.select(id).distinct())
+    # told, as nothing is known of the size of a filtered table: else all postings are shuffled for the few of the sources
+    own = post.join(F.broadcast(ids) if ids.count() <= SENT else ids, id, "left_semi")
     usable = F.col("tf") >= min_term_freq
     if min_word_len:
         usable &= F.length("term") >= min_word_len
@@ -606,11 +613,8 @@ def more_like_this(docs: DataFrame, source: DataFrame, id: str, text: str, *,
     each = pinned(terms.select("source_id", "term", "_terms", (boost * idf(F.col("_n"), F.col("df"))).alias("weight")))
     asked = (each.groupBy("source_id").agg(F.collect_list(F.struct("term", "weight")).alias("t"), need.alias("need"))
              .select("source_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"), "need"))
-    candidates = (index.postings_of(each).withColumnRenamed("id", id) if index is not None
-                  else post.join(each.select("term").distinct(), "term", "left_semi"))
-    worth = tf_norm(F.col("tf").cast("double"), F.col("doc_len").cast("double"), n_stats["avg"])
     n_sources = each.agg(F.count_distinct("source_id")).scalar()
-    scored = similar.best_shared(candidates.select(id, "term", worth.alias("worth")), asked, id, n_stats["n"], n_sources, size)
+    scored = similar.best_shared(analyzed, asked, id, n_stats["n"], n_sources, n_stats["avg"], tf_norm, size)
     # a distributed sum varies in its last digits; copies must still tie and fall back to the id
     rank = Window.partitionBy("source_id").orderBy(F.desc(F.round("_score", 9)), F.asc(id))
     return (scored.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= size)

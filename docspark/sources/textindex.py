@@ -200,10 +200,14 @@ class TextIndex:
         """``(term, id, tf, doc_len)`` of all postings or of those of some terms."""
         return self._entries(self.blocks(*terms))
 
-    def postings_of(self, terms: DataFrame) -> DataFrame:
-        """Postings of the terms of a table, which blocks are left out by before they are opened."""
-        wanted = terms.select("term").distinct()
-        return self._entries([b.join(wanted, "term", "left_semi") for b in self.blocks()])
+    def documents(self) -> DataFrame:
+        """``(id, terms, block)`` of the analyzed documents. As in the postings, rows of one block, id and number of terms
+        are one document; ``block`` tells those of different segments apart."""
+        out, n = [], len(self.segments)
+        for i, (name, _, gone) in enumerate(self.segments):
+            block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS) * n + i
+            out.append(self._living(self._read(f"{name}/docs").select("id", "terms", block.alias("block")), gone))
+        return reduce(DataFrame.unionByName, out)
 
     def positions(self, *terms: str) -> DataFrame:
         """``(term, id, tf, doc_len, positions)``, the places of a term counted from 0."""

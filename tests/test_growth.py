@@ -183,3 +183,58 @@ def test_similar_documents_in_shards(spark, tmp_path, monkeypatch, indexed):
     got = sorted((x["source_id"], x["id"], x["rank"], round(x["_score"], 6)) for x in found.collect())
     assert [x[:3] for x in got] == [x[:3] for x in sorted(wanted, key=lambda x: (x[0], x[1]))]
     assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, sorted(wanted, key=lambda x: (x[0], x[1]))))
+
+
+@pytest.mark.parametrize("segments", [1, 2])
+def test_similar_documents_move_in_packs_and_repeated_ids_count_as_in_the_postings(spark, tmp_path, monkeypatch, segments):
+    monkeypatch.setattr(similar, "SHARD", 90)
+    monkeypatch.setattr(similar, "DENSE", 3)
+    data = [x for x in texts(300, 5) if x[0] is not None]
+    docs = spark.createDataFrame(data + data[::4] + [(i, "w1 w5 w5 w7") for i in range(0, 300, 11)], "id long, t string")
+    index = TextIndex.build(docs, "id", "t", str(tmp_path / "ix"))
+    if segments == 2:
+        index = index.add(docs.where("id % 3 = 1")).delete(spark.createDataFrame([(i,) for i in range(5, 300, 17)], "id long"))
+    sources = docs.where("id % 10 = 0").select("id")
+    found = scoring.more_like_this(docs, sources, "id", "t", max_doc_share=0.7, size=5, index=index)
+    assert "entries" not in optimized(found)  # no postings are shuffled
+    post = [tuple(x) for x in index.postings().select("id", "term", "tf", "doc_len").collect()]
+    n, total = index._read(index.segments[0][0] + "/numbers").select(index.numbers()["n"], index.numbers()["total"]).first()
+    df = {x["term"]: x["df"] for x in index.terms().collect()}
+    idf = {w: math.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
+    asked, of = {}, {}
+    for i, w, tf, length in post:
+        of.setdefault(w, []).append((i, tf / (tf + 1.2 * (0.25 + 0.75 * length / (total / n)))))
+        if i is not None and i % 10 == 0 and tf >= 2 and 5 <= df[w] <= n * 0.7:
+            asked.setdefault(i, []).append((-tf * idf[w], w))
+    wanted = []
+    for s, own in asked.items():
+        own, hits = [w for _, w in sorted(own)[:25]], {}
+        for w in own:
+            for i, x in of[w]:
+                if i != s:
+                    hits.setdefault(i, []).append(idf[w] * x)
+        enough = [(-round(math.fsum(x), 9), i) for i, x in hits.items() if len(x) >= max(1, math.floor(len(own) * 0.3))]
+        wanted += [(s, i, r + 1) for r, (_, i) in enumerate(sorted(enough)[:5])]
+    assert len(wanted) > 50 and sorted((x["source_id"], x["id"], x["rank"]) for x in found.collect()) == sorted(wanted)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.list_(pa.string())])
+def test_packs_of_documents_hold_every_term_in_a_few_bytes(kind):
+    r = random.Random(8)
+    words = [[f"w{int(r.expovariate(0.01))}" for _ in range(r.choice([0, 1, 30, 300]))] for _ in range(500)] + [["a"] * 300]
+    docs = pa.table({"part": pa.array([r.randrange(3) for _ in words], pa.int32()), "id": pa.array(range(len(words)), pa.int64()),
+                     "block": pa.array(range(len(words)), pa.int64()),
+                     "terms": pa.array([" ".join(w) if pa.types.is_string(kind) else w for w in words], kind)})
+    docs = pa.concat_tables([docs, pa.table({"part": [0], "id": [-1], "block": [-1], "terms": [None]}, docs.schema)])
+    packs = list(similar.docs_packs(docs))
+    got = {}
+    for part, pack in packs:
+        held = similar.opened(pa.scalar(pack))
+        at = np.cumsum(held["step"].to_numpy(), dtype=int)
+        which = np.repeat(np.arange(len(held["id"])), held["distinct"].to_numpy())
+        for d, a, tf in zip(which, at, held["tf"].to_pylist()):
+            got.setdefault((part, held["id"][d].as_py()), {})[held["terms"][a].as_py()] = tf
+        assert held["length"].to_pylist() == [len(words[i]) for i in held["id"].to_pylist()]
+    parts = docs["part"].to_pylist()
+    assert got == {(parts[i], i): {w: x.count(w) for w in x} for i, x in enumerate(words) if x}
+    assert sum(len(p) for _, p in packs) < 4 * sum(len(x) for x in got.values())
