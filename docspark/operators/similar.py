@@ -67,15 +67,11 @@ def best_shared(docs: DataFrame, sources: DataFrame, id: str, documents: Column,
 def sealed(**columns: np.ndarray | pa.Array) -> bytes:
     """Columns of any lengths as compressed bytes."""
     lists = {k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()}
-    table = pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in lists.items()})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
+    return postings.sealed(pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in lists.items()}))
 
 
 def opened(pack: pa.BinaryScalar) -> dict[str, pa.Array]:
-    table = pa.ipc.open_stream(pack.as_buffer()).read_all()
+    table = postings.opened(pack)
     return {k: table[k].chunk(0).flatten() for k in table.column_names}
 
 
@@ -89,18 +85,11 @@ def in_packs(packs: Callable[[pa.Table], Iterator[tuple[int, bytes]]]) -> Callab
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, pack in packs(pa.Table.from_batches([batch])):
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack], pa.binary())], ["part", "pack"])
+                yield postings.one_pack(part, pack)
 
     return each
 
 
-def by_part(parts: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The order that brings rows of a part together, and each part with where it begins and ends."""
-    order = np.argsort(parts, kind="stable")
-    first = postings.starts(parts[order]) if len(parts) else np.array([], int)
-    return order, [(int(parts[order[a]]), int(a), int(b)) for a, b in zip(first, [*first[1:], len(parts)])]
-
-
 def docs_packs(docs: pa.Table) -> Iterator[tuple[int, bytes]]:
     """Packs of documents: ids, blocks, lengths and numbers of distinct terms, then for each of these its
     place in ``terms``, as the difference to the one before, and how often the document has it."""
@@ -112,7 +101,7 @@ def docs_packs(docs: pa.Table) -> Iterator[tuple[int, bytes]]:
         docs = docs.filter(pc.greater(pc.list_value_length(docs["terms"]), 0))
         length = pc.list_value_length(docs["terms"])
     for some in postings.groups(docs.append_column("doc_len", pc.cast(length, pa.int64())), postings.PACKED):
-        order, parts = by_part(some["part"].to_numpy())
+        order, parts = postings.by_part(some["part"].to_numpy())
         ids, block, length = some["id"].combine_chunks(), some["block"].to_numpy()[order], some["doc_len"].to_numpy()
         each = pc.split_pattern(some["terms"], " ") if joined else some["terms"]
         terms = pa.concat_arrays([c.flatten() for c in each.chunks]).dictionary_encode("encode")
@@ -136,7 +125,7 @@ def docs_packs(docs: pa.Table) -> Iterator[tuple[int, bytes]]:
 
 def source_packs(sources: pa.Table) -> Iterator[tuple[int, bytes]]:
     """Packs of sources: ids, needs and numbers of terms, then for each of these its place among the distinct terms and weights."""
-    order, parts = by_part(sources["part"].to_numpy())
+    order, parts = postings.by_part(sources["part"].to_numpy())
     for part, a, b in parts:
         some = sources.take(pa.array(order[a:b]))
         lists, weights = some["terms"].combine_chunks(), some["weights"].combine_chunks().flatten().to_numpy()

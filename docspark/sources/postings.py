@@ -61,17 +61,14 @@ def range_of(terms: list[str], blocks: np.ndarray, cut: Sequence[tuple[str, int]
 
 
 def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()) -> DataFrame:
-    """``(part, term, block, ids, rest)`` of ``(id, doc_len, terms)``: a row for each term of the documents of a batch.
+    """``(part, pack)`` of ``(id, doc_len, terms)``: sealed rows ``(term, block, ids, rest)``, one for each term of the documents of a batch.
 
     Documents are numbered as they are read; those that follow each other are a block. A row has the
     documents of a term in some blocks, ``block`` being the first. ``rest`` has for each document how many
     blocks later it is, then for each how often it has the term, then their lengths, then the
-    places of the term in all of them: the bytes of 32-bit numbers, so that a row moves at the cost of its size and
-    not of its numbers. ``part`` is the range that (term, block) is in.
+    places of the term in all of them: the bytes of 32-bit numbers. ``part`` is the range that (term, block) is in: what a
+    batch has for it moves as one value, compressed as a whole.
     """
-    schema = (T.StructType().add("part", T.IntegerType()).add("term", T.StringType()).add("block", T.LongType())
-              .add("ids", T.ArrayType(docs.schema["id"].dataType)).add("rest", T.BinaryType()))
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
@@ -82,13 +79,43 @@ def packed(docs: DataFrame, block_bits: int, cut: Sequence[tuple[str, int]] = ()
             numbers = table["block"].to_numpy()
             whole = int(np.searchsorted(numbers, numbers[-1]))  # the last block may go on in the next batch
             for some in groups(table.slice(0, whole), PACKED):
-                yield from pack(some, cut).to_batches(BATCH)
+                yield from parted(pack(some, cut))
             held = table.slice(whole)
         if held is not None:
-            yield from pack(held, cut).to_batches(BATCH)
+            yield from parted(pack(held, cut))
 
     nr = F.shiftright(F.monotonically_increasing_id(), block_bits)
-    return docs.select(nr.alias("block"), "id", "doc_len", "terms").mapInArrow(each, schema)
+    return docs.select(nr.alias("block"), "id", "doc_len", "terms").mapInArrow(each, "part int, pack binary")
+
+
+def sealed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def opened(pack: pa.BinaryScalar) -> pa.Table:
+    return pa.ipc.open_stream(pack.as_buffer()).read_all()
+
+
+def parted(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """``(part, pack)``, the rows of each part sealed."""
+    order, parts = by_part(rows["part"].to_numpy())
+    rows = rows.drop_columns("part").take(pa.array(order))
+    for part, a, b in parts:
+        yield one_pack(part, sealed(rows.slice(a, b - a)))
+
+
+def one_pack(part: int, pack: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack], pa.binary())], ["part", "pack"])
+
+
+def by_part(parts: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order that brings rows of a part together, and each part with where it begins and ends."""
+    order = np.argsort(parts, kind="stable")
+    first = starts(parts[order]) if len(parts) else np.array([], int)
+    return order, [(int(parts[order[a]]), int(a), int(b)) for a, b in zip(first, [*first[1:], len(parts)])]
 
 
 def groups(docs: pa.Table, most: int) -> Iterator[pa.Table]:
@@ -100,16 +127,20 @@ def groups(docs: pa.Table, most: int) -> Iterator[pa.Table]:
             yield docs.slice(a, b - a)
 
 
-def unpacked(rows: DataFrame) -> DataFrame:
-    """``(term, block, n, freq, max_tf, min_len, entries, positions)`` of packed rows, in their order."""
-    long, id = T.LongType(), rows.schema["ids"].dataType.elementType
+def unpacked(rows: DataFrame, id: T.DataType) -> DataFrame:
+    """``(term, block, n, freq, max_tf, min_len, entries, positions)`` of the packs of a partition, in the order of (term, block)."""
+    long = T.LongType()
     entry = T.StructType().add("id", id).add("tf", long).add("doc_len", long)
     schema = (T.StructType().add("term", T.StringType()).add("block", long).add("n", long).add("freq", long).add("max_tf", long)
               .add("min_len", long).add("entries", T.ArrayType(entry)).add("positions", T.ArrayType(T.ArrayType(T.IntegerType()))))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        held = [opened(x) for batch in batches for x in batch["pack"]]
+        if held:
+            table = pa.concat_tables(held).combine_chunks()
+            held.clear()
+            table = table.take(pc.sort_indices(table, [("term", "ascending"), ("block", "ascending")])).combine_chunks()
+            for batch in table.to_batches(BATCH):
                 yield from unpack(batch).to_batches(BATCH)
 
     return rows.mapInArrow(each, schema)

@@ -140,7 +140,7 @@ class TextIndex:
 
         Documents are sorted by length inside the tasks that read them and numbered as they are read
         back: a block is so many neighbours, and no text moves. A task gathers the places of a term in the
-        documents of a batch, so they move as one row, dealt by sampled ranges of (term, block). So a rare
+        documents of a batch, and all it has for one sampled range of (term, block) moves as one value. So a rare
         term is in one file, and one that is in a third of all blocks is in a third of the files. The ranges are
         known before, from a look at some places, so that documents are packed once.
         """
@@ -155,15 +155,14 @@ class TextIndex:
         held = self._read(f"{name}/numbers").first()
         parts = max(1, -(-held["total"] // PART_TERMS))
         packed = postings.packed(docs, BLOCK_BITS, postings.cuts(docs, BLOCK_BITS, held["total"], parts, SAMPLED))
-        dealt = packed.repartitionById(parts, F.col("part")).drop("part")
-        self._write(f"{name}/blocks", postings.unpacked(dealt.sortWithinPartitions("term", "block")),
-                    **ENCODING, **{"parquet.page.row.count.limit": PAGE_ROWS})
+        dealt = packed.repartitionById(parts, F.col("part")).select("pack")
+        self._write(f"{name}/blocks", postings.unpacked(dealt, docs.schema["id"].dataType), **ENCODING, **{"parquet.page.row.count.limit": PAGE_ROWS})
         terms = self._read(f"{name}/blocks").groupBy("term").agg(F.sum("n").alias("df"), F.sum("freq").alias("freq"))
         self._write(f"{name}/terms", terms.repartitionByRange("term").sortWithinPartitions("term"))
         return name, held["n"], ()
 
     def _write(self, name: str, rows: DataFrame, **options) -> None:
-        rows.write.mode("errorifexists").options(**options).parquet(f"{self.path}/{name}")
+        rows.write.mode("errorifexists").options(compression="zstd", **options).parquet(f"{self.path}/{name}")
 
     def _read(self, *names: str) -> DataFrame:
         if names not in self.opened:

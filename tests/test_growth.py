@@ -238,3 +238,22 @@ def test_packs_of_documents_hold_every_term_in_a_few_bytes(kind):
     parts = docs["part"].to_pylist()
     assert got == {(parts[i], i): {w: x.count(w) for w in x} for i, x in enumerate(words) if x}
     assert sum(len(p) for _, p in packs) < 4 * sum(len(x) for x in got.values())
+
+
+def test_places_of_a_range_move_as_one_compressed_value(spark, tmp_path, monkeypatch):
+    r, moved, inner = random.Random(6), [], postings.unpacked
+    data = [(i, " ".join(r.choices(WORDS, [1 / (k + 1) for k in range(40)], k=200))) for i in range(2000)]
+    monkeypatch.setattr(textindex, "PART_TERMS", 100_000)
+    monkeypatch.setattr(postings, "unpacked", lambda rows, *rest: moved.append(rows) or inner(rows, *rest))
+    index = TextIndex.build(spark.createDataFrame(data, "id long, t string").coalesce(2), "id", "t", str(tmp_path / "ix"))
+    # of two tasks, the last block of each apart, for four ranges
+    packs = moved[0].select(F.length("pack").alias("n")).collect()
+    assert len(packs) <= 2 * 2 * 4 and sum(x["n"] for x in packs) < 2.5 * 200 * 2000
+    # files are in order and their postings whole
+    assert index.terms().agg(F.sum("freq")).first()[0] == 200 * 2000
+    for file in index.blocks()[0].inputFiles():
+        table = pq.read_table(file.removeprefix("file://"), columns=["term", "block"])
+        keys = list(zip(table["term"].to_pylist(), table["block"].to_pylist()))
+        assert keys == sorted(keys)
+    docs = index._read(index.segments[0][0] + "/docs").inputFiles()[0].removeprefix("file://")
+    assert pq.ParquetFile(docs).metadata.row_group(0).column(0).compression == "ZSTD"
